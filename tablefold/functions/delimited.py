@@ -19,6 +19,9 @@ FLOAT = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$"
 INFINITE = "^\\s*[+-]?(?i:inf|infinity|nan)\\s*$"
 BOOLEAN = "^(True|TRUE|true|False|FALSE|false)$"
 
+# Fixed value: longest field, in characters; a longer one spoils its record.
+FIELD_LIMIT = 131072
+
 LINE_END = "\r\n|\r|\n"
 
 # A quoted span beside a character that could be the delimiter:
@@ -109,8 +112,9 @@ def split_fields(record: Column, delimiter: Column) -> Column:
 
 
 def spoiled_field(field: Column) -> Column:
-    """A field that opens with a quote but does not close with one at its end."""
-    return field.startswith('"') & ~field.rlike(f'\\A{_QUOTED}"\\z')
+    """A field that opens with a quote but does not close with one at its end, or is too long."""
+    open_ended = field.startswith('"') & ~field.rlike(f'\\A{_QUOTED}"\\z')
+    return open_ended | (F.length(field) > FIELD_LIMIT)
 
 
 def unquote(field: Column) -> Column:

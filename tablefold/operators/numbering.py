@@ -1,8 +1,8 @@
-"""Running totals and top-k that never sort a whole group in one task."""
+"""Running aggregates and top-k that never sort a whole group in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,35 +10,40 @@ from pyspark.sql import functions as F
 BUCKET_ROWS = 500_000
 
 
-def running_total(
+def running(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     value: Column,
     out: str,
+    fold: Callable[[Column], Column] = F.sum,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Exclusive running total of ``value`` per ``keys`` along the whole-number ``order``.
+    """Adds ``out``: sum or maximum (``fold``) of ``value`` over the earlier rows of the group.
 
-    ``order`` is unique per key and ``keys`` are not null. The order is cut into buckets of ``bucket_rows``
-    positions: one pass sums each bucket, the bucket sums are accumulated (one
-    row per bucket), and a window sorts inside a bucket only. A key that holds
-    a third of all rows is thus spread over all its buckets.
+    ``order`` is a whole number, unique per key; ``keys`` are not null. The order
+    is cut into buckets of ``bucket_rows`` positions: one pass folds each bucket,
+    the bucket results are folded along (one row per bucket), and a window
+    sorts inside a bucket only. A key that holds a third of all rows is thus
+    spread over all its buckets. Null where no earlier value exists.
     """
     keys = list(keys)
     bucketed = df.withColumn("_bucket", F.floor(F.col(order) / bucket_rows)).withColumn("_value", value)
-    sums = bucketed.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_sum"))
+    folded = bucketed.groupBy(*keys, "_bucket").agg(fold("_value").alias("_fold"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = folded.select(*keys, "_bucket", fold("_fold").over(before).alias("_offset"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = bucketed.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return (
-        local.join(offsets, [*keys, "_bucket"])
-        .withColumn(out, F.col("_offset") + F.col("_local"))
-        .select(*df.columns, out)
-    )
+    local = bucketed.withColumn("_local", fold("_value").over(inside))
+    if fold is F.sum:
+        either = F.coalesce(F.col("_offset") + F.col("_local"), F.col("_offset"), F.col("_local"))
+    else:
+        either = F.greatest("_offset", "_local")
+    return local.join(offsets, [*keys, "_bucket"]).withColumn(out, either).select(*df.columns, out)
+
+
+def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Sum of ``value`` over the earlier rows of the group, zero for the first."""
+    return running(df, keys, order, value, out, F.sum, bucket_rows).withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: str, out: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
