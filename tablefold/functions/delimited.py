@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,14 +42,22 @@ def after_first_line(content: Column) -> Column:
     return F.get(F.split(content, LINE_END, 2), 1)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _most_frequent(values: Column, prefer_first: bool) -> Column:
     """Most frequent array member; ties go to the first seen or the highest."""
 
-    def tallied(value, position):
-        order = -position if prefer_first else F.lit(0)
-        return F.struct(F.size(F.filter(values, lambda v: v == value)), order, value.alias("value"))
+    def tally(bound: Column) -> Column:
+        def tallied(value, position):
+            order = -position if prefer_first else F.lit(0)
+            return F.struct(F.size(F.filter(bound, lambda v: v == value)), order, value.alias("value"))
+
+        return F.array_max(F.transform(F.array_distinct(bound), tallied))["value"]
 
-    return F.array_max(F.transform(F.array_distinct(values), tallied))["value"]
+    return bind(values, tally)
 
 
 def sniff_delimiter(header: Column) -> Column:
@@ -135,16 +145,26 @@ def index_width(width: Column, first: Column, second: Column) -> Column:
 def name_columns(fields: Column) -> Column:
     """Header names: empty ones become ``Unnamed: i``, repeats get ``.1``, ``.2``."""
     named = F.transform(fields, lambda f, i: F.when(f == "", F.concat(F.lit("Unnamed: "), i)).otherwise(f))
-    return _suffix_repeats(_suffix_repeats(named))
+    return bind(named, lambda n: bind(_suffix_repeats(n), _suffix_repeats))
 
 
 def _suffix_repeats(names: Column) -> Column:
-    def suffixed(name, position):
-        seen = F.size(F.filter(names, lambda n, i: (n == name) & (i < position)))
-        return F.when(seen > 0, F.concat(name, F.lit("."), seen)).otherwise(name)
+    """Number equal names by their place in the sorted list of names, then restore the order."""
+
+    def numbered(places: Column) -> Column:
+        def renamed(sorted_names: Column) -> Column:
+            def suffixed(place, i):
+                name = place["name"]
+                seen = i - F.array_position(sorted_names, name) + 1
+                return F.struct(place["i"], F.when(seen > 0, F.concat(name, F.lit("."), seen)).otherwise(name).alias("name"))
+
+            return F.transform(F.sort_array(F.transform(places, suffixed)), lambda p: p["name"])
+
+        return bind(F.transform(places, lambda p: p["name"]), renamed)
 
+    placed = F.sort_array(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("i"))))
     unique = F.size(F.array_distinct(names)) == F.size(names)
-    return F.when(unique, names).otherwise(F.transform(names, suffixed))
+    return F.when(unique, names).otherwise(bind(placed, numbered))
 
 
 def null_value(value: Column) -> Column:

@@ -34,6 +34,15 @@ class Parsed:
     rejects: DataFrame
 
 
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later expressions take as they are.
+
+    A plain projection would be merged into the next one and computed again for
+    every array member that a lambda visits; a one-row generator is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def sniff_delimiters(files: DataFrame, mode: str = "header") -> DataFrame:
     """``(file_id, delimiter)``; null where no delimiter can be told.
 
@@ -41,7 +50,8 @@ def sniff_delimiters(files: DataFrame, mode: str = "header") -> DataFrame:
     on every line and takes the one whose most common count covers most lines.
     """
     if mode == "header":
-        return files.select("file_id", d.sniff_delimiter(d.first_line(F.col("content"))).alias("delimiter"))
+        heads = settle(files.select("file_id", "content"), _head=d.first_line(F.col("content")))
+        return heads.select("file_id", d.sniff_delimiter(F.col("_head")).alias("delimiter"))
     lines = files.select("file_id", F.explode(F.split("content", d.LINE_END)).alias("line"))
     counts = (
         lines.select("file_id", F.explode(d.line_delimiter_counts(F.col("line"), CONSISTENT_CANDIDATES)).alias("c"))
@@ -55,63 +65,68 @@ def sniff_delimiters(files: DataFrame, mode: str = "header") -> DataFrame:
     return files.select("file_id").join(best, "file_id", "left")
 
 
-def parse_files(files: DataFrame) -> DataFrame:
-    """One row per file with its header and kept records as arrays.
-
-    Adds ``delimiter``, ``header`` (names), ``n_index`` (leading columns without
-    a header), ``records`` and ``n_bad`` to the columns of ``files``, which holds
-    ``file_id`` and ``content``.
-    """
-    base = [c for c in files.columns if c != "content"]
-    delimiter = F.col("delimiter")
-    split = files.withColumn("delimiter", d.sniff_delimiter(d.first_line(F.col("content")))).withColumn(
-        "header", d.name_columns(F.transform(d.split_fields(d.first_line(F.col("content")), delimiter), d.unquote))
-    )
-    body = d.after_first_line(F.col("content"))
-    records = F.transform(d.split_records(body, delimiter), lambda r: d.split_fields(r, delimiter))
-    spoiled = lambda r: F.exists(r, d.spoiled_field)
-    present = F.coalesce(F.filter(records, lambda r: ~d.blank_record(r)), F.array().cast("array<array<string>>"))
-    split = split.withColumn("_present", present).withColumn("_sound", F.filter("_present", lambda r: ~spoiled(r)))
-    width = F.size("header")
-    sizes = [F.size(F.get("_sound", i)) for i in (0, 1)]
-    sizes = [F.when(F.size("_sound") > i, s) for i, s in enumerate(sizes)]
-    split = split.withColumn("n_index", d.index_width(width, *sizes))
+def file_heads(files: DataFrame) -> DataFrame:
+    """``files`` with ``delimiter``, ``header`` (names) and ``body`` in place of ``content``."""
+    heads = settle(files, _parts=F.split("content", d.LINE_END, 2))
+    heads = settle(heads, _head=F.get("_parts", F.lit(0)))
+    heads = settle(heads, delimiter=d.sniff_delimiter(F.col("_head")))
+    fields = F.transform(d.split_fields(F.col("_head"), F.col("delimiter")), d.unquote)
+    body = F.get("_parts", F.lit(1))
+    return heads.withColumn("header", d.name_columns(fields)).withColumn("body", body).drop("content", "_parts", "_head")
+
+
+def file_records(heads: DataFrame) -> DataFrame:
+    """``heads`` with ``n_index`` (leading columns without a header), the kept ``records`` and ``n_bad``."""
+    delimiter, width = F.col("delimiter"), F.col("_width")
+    split = settle(heads.filter(delimiter.isNotNull()), _width=F.size("header"))
+    records = F.transform(d.split_records(F.col("body"), delimiter), lambda r: d.split_fields(r, delimiter))
+    present = F.filter(records, lambda r: ~d.blank_record(r))
+    split = settle(split, _present=F.coalesce(present, F.array().cast("array<array<string>>")))
+    split = settle(split, _sound=F.filter("_present", lambda r: ~F.exists(r, d.spoiled_field)))
+    sizes = [F.when(F.size("_sound") > i, F.size(F.get("_sound", F.lit(i)))) for i in (0, 1)]
+    split = settle(split, _first=sizes[0], _second=sizes[1])
     # The first record names the index columns when the second is as wide as both together.
-    named_index = F.coalesce(sizes[1] == sizes[0] + width, F.lit(False))
-    data = F.when(named_index, F.slice("_sound", F.lit(2), F.greatest(F.size("_sound") - 1, F.lit(0)))).otherwise(
-        F.col("_sound")
+    named_index = F.coalesce(F.col("_second") == F.col("_first") + width, F.lit(False))
+    split = settle(
+        split, n_index=d.index_width(width, F.col("_first"), F.col("_second")), _skipped=named_index.cast("int")
+    )
+    kept = F.filter(
+        "_sound", lambda r, i: (i >= F.col("_skipped")) & (F.size(r) <= width + F.col("n_index"))
+    )
+    split = settle(split, records=kept)
+    return split.withColumn("n_bad", F.size("_present") - F.col("_skipped") - F.size("records")).drop(
+        "body", "_present", "_sound", "_first", "_second", "_skipped"
     )
-    kept = F.filter(data, lambda r: F.size(r) <= width + F.col("n_index"))
-    split = split.withColumn("records", kept)
-    n_bad = F.size("_present") - named_index.cast("int") - F.size("records")
-    return split.withColumn("n_bad", n_bad).select(*base, "delimiter", "header", "n_index", "records", "n_bad")
 
 
 def trimmed_fields(record: Column, n_index: Column, width: Column) -> Column:
-    """Unquoted fields under the header: index columns cut off, short records padded with null."""
+    """Raw fields under the header: index columns cut off, short records padded with null."""
     picked = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.get(record, n_index + i))
     return F.when((n_index == 0) & (F.size(record) == width), record).otherwise(picked)
 
 
-def parsed_views(parsed: DataFrame, keep: list[str] | None = None) -> Parsed:
-    """The four tables of a corpus parsed by ``parse_files``; ``keep`` columns travel along."""
+def parse_files(files: DataFrame, keep: list[str] | None = None) -> Parsed:
+    """The four tables of ``files(file_id, content)``; ``keep`` columns travel along.
+
+    Each table reads only what it needs: columns come from first lines alone.
+    """
     keys = ["file_id", *(keep or [])]
-    sound = parsed.filter(F.col("delimiter").isNotNull())
-    rows = sound.select(
-        *keys, "n_index", F.size("header").alias("_width"), F.posexplode("records").alias("row_idx", "_record")
-    )
+    heads = file_heads(files.select(*keys, "content"))
+    sound = heads.filter(F.col("delimiter").isNotNull())
+    read = file_records(heads)
+    rows = read.select(*keys, "n_index", "_width", F.posexplode("records").alias("row_idx", "_record"))
     fields = F.transform(trimmed_fields(F.col("_record"), F.col("n_index"), F.col("_width")), d.unquote)
     return Parsed(
-        files=sound.select(
+        files=read.select(
             *keys,
             "delimiter",
             F.size("records").cast("bigint").alias("n_rows"),
-            F.size("header").alias("n_columns"),
+            F.col("_width").alias("n_columns"),
             F.col("n_bad").cast("bigint").alias("n_bad"),
         ),
         columns=sound.select(*keys, F.posexplode("header").alias("col_idx", "header")),
         rows=rows.select(*keys, F.col("row_idx").cast("bigint").alias("row_idx"), fields.alias("fields")),
-        rejects=parsed.filter(F.col("delimiter").isNull()).select(
+        rejects=heads.filter(F.col("delimiter").isNull()).select(
             *keys, F.lit("parse").alias("stage"), F.lit("no delimiter").alias("reason")
         ),
     )

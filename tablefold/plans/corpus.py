@@ -13,7 +13,7 @@ from tablefold.functions import text
 from tablefold.operators import domain, filters, match, names, privacy, stats
 from tablefold.operators.joins import sized_join
 from tablefold.operators.long_files import parse_lines
-from tablefold.operators.parse import cells_of, infer_dtypes, parse_files, parsed_views
+from tablefold.operators.parse import cells_of, infer_dtypes, parse_files
 
 # Columns a license brings along.
 _CARRIED = ["topic", "url_pos", "url", "license"]
@@ -60,7 +60,7 @@ def annotate_corpus(
     licensed = filters.filter_licensed(named, licenses).select("topic", "unique_name", "url_pos", "url", "license")
     by_name = licensed.withColumnRenamed("unique_name", "file_name")
     kept = sized_join(files, by_name, ["topic", "file_name"], salts=16, salt_by=["file_id"])
-    views = parsed_views(parse_files(kept.select("file_id", *_CARRIED, "content")))
+    views = parse_files(kept.select("file_id", "content"))
     shapes, columns, rows, rejects = views.files, views.columns, views.rows, views.rejects
     origins = kept.select("file_id", *_CARRIED)
     if long_files is not None:

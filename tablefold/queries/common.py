@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablefold.functions import delimited, text
 from tablefold.operators import ontology as onto
-from tablefold.operators.parse import Parsed, parse_files, parsed_views
+from tablefold.operators.parse import Parsed, parse_files
 
 DIM = 64
 
@@ -21,14 +21,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores, if the input has fewer splits than that; a no-op on large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "documents").select(
+    return spread(load(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("file_id"), F.col("source").alias("topic"), F.col("text").alias("content")
     )
 
 
 def parsed(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> Parsed:
-    return parsed_views(parse_files(files(spark, sf_dir)), keep)
+    return parse_files(files(spark, sf_dir), keep)
 
 
 def label_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
