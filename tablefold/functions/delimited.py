@@ -149,22 +149,28 @@ def name_columns(fields: Column) -> Column:
 
 
 def _suffix_repeats(names: Column) -> Column:
-    """Number equal names by their place in the sorted list of names, then restore the order."""
+    """Number equal names within their run in the sorted list of names, then restore the order."""
 
-    def numbered(places: Column) -> Column:
-        def renamed(sorted_names: Column) -> Column:
-            def suffixed(place, i):
-                name = place["name"]
-                seen = i - F.array_position(sorted_names, name) + 1
-                return F.struct(place["i"], F.when(seen > 0, F.concat(name, F.lit("."), seen)).otherwise(name).alias("name"))
+    def by_run(places: Column) -> Column:
+        def run_start(place, j):
+            return F.when((j > 0) & (F.get(places, j - 1)["name"] == place["name"]), None).otherwise(j)
 
-            return F.transform(F.sort_array(F.transform(places, suffixed)), lambda p: p["name"])
+        def numbered(starts: Column) -> Column:
+            def run(start, k):
+                end = F.coalesce(F.get(starts, k + 1), F.size(places)) - 1
+                return F.transform(F.sequence(start, end), lambda j: suffixed(F.get(places, j), j - start))
 
-        return bind(F.transform(places, lambda p: p["name"]), renamed)
+            return F.transform(F.sort_array(F.flatten(F.transform(starts, run))), lambda p: p["name"])
+
+        return bind(F.filter(F.transform(places, run_start), lambda j: j.isNotNull()), numbered)
+
+    def suffixed(place, seen):
+        name = place["name"]
+        return F.struct(place["i"], F.when(seen > 0, F.concat(name, F.lit("."), seen)).otherwise(name).alias("name"))
 
     placed = F.sort_array(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("i"))))
     unique = F.size(F.array_distinct(names)) == F.size(names)
-    return F.when(unique, names).otherwise(bind(placed, numbered))
+    return F.when(unique, names).otherwise(bind(placed, by_run))
 
 
 def null_value(value: Column) -> Column:

@@ -22,5 +22,5 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector at length one; null for a zero vector."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
+    scaled = lambda length: F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
+    return F.get(F.transform(F.array(norm(a)), scaled), 0)

@@ -1,4 +1,10 @@
-"""Joins that check a size before they broadcast, and spread hot keys otherwise."""
+"""Joins of heavy tables.
+
+Most joins here are plain: Spark broadcasts a side it measures as small, before
+or while the query runs, and splits hot keys of the shuffled side. Where the left
+side holds file content, even one shuffle is worth avoiding, so the right side
+is counted first.
+"""
 
 from __future__ import annotations
 
@@ -8,33 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side of at most this many narrow rows (about 100 bytes each) may be broadcast.
-BROADCAST_ROWS = 500_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+BROADCAST_ROWS = 2_000_000
 
 
 def sized_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = 1,
-    salt_by: Sequence[str] = (),
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Broadcast ``right`` if a count proves it small, else shuffle.
+    """Broadcast ``right`` if a count proves it small, so that ``left`` stays in place; else shuffle.
 
-    With ``salts`` > 1 the shuffled join copies ``right`` once per salt and
-    spreads every key of ``left`` over that many tasks, by a hash of ``salt_by``.
+    The count stops at ``max_rows``. ``right`` should be cheap to read twice.
     """
-    on = list(on)
-    if fits(right, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    if salts <= 1:
-        return left.join(right, on, how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    small = right.limit(max_rows + 1).count() <= max_rows
+    return left.join(F.broadcast(right) if small else right, list(on), how)

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.functions import text, vectors as v
-from tablefold.operators.joins import sized_join
 
 SIMILARITY_THRESHOLD = 0.56  # fixed value
 # Type vectors up to this many numbers (128 MB as doubles) are broadcast as one matrix.
@@ -31,7 +30,7 @@ def match_syntactic(columns: DataFrame, ontology: DataFrame, key: str = "file_id
     """Columns whose clean header equals a type label; the first such column of a table wins."""
     labelled = columns.select(key, "col_idx", "header", text.clean_header(F.col("header")).alias("cleaned_label"))
     types = ontology.select("ontology", "cleaned_label", "type_pos")
-    matched = sized_join(labelled, types, ["cleaned_label"], salts=16, salt_by=[key, "col_idx"])
+    matched = labelled.join(types, "cleaned_label")
     first = matched.groupBy(key, "ontology", "cleaned_label", "type_pos").agg(
         F.min(F.struct("col_idx", "header")).alias("c")
     )
@@ -41,20 +40,18 @@ def match_syntactic(columns: DataFrame, ontology: DataFrame, key: str = "file_id
     )
 
 
-def embed_text(texts: DataFrame, word_vectors: DataFrame, dim: int, id_col: str = "text", salts: int = 64) -> DataFrame:
+def embed_text(texts: DataFrame, word_vectors: DataFrame, dim: int, id_col: str = "text") -> DataFrame:
     """``(id_col, vec)``: mean of the unit vectors of the words of each distinct text.
 
     Unknown and zero-length words are skipped; a text with none left is absent.
     The sums are plain aggregates, one per dimension, and combine before the
-    shuffle. Frequent words are spread over ``salts`` tasks in the vector join.
+    shuffle.
     """
     tokens = texts.select(id_col, F.explode(text.words(F.col(id_col))).alias("word"))
     counted = tokens.groupBy(id_col, "word").agg(F.count("*").alias("times"))
-    units = word_vectors.select("word", v.unit(F.col("vec")).alias("u")).filter(F.col("u").isNotNull())
-    joined = sized_join(
-        counted, units, ["word"], max_rows=BROADCAST_NUMBERS // dim, salts=salts, salt_by=[id_col]
-    )
-    sums = [F.sum(F.col("times") * F.col("u")[i]).alias(f"s{i}") for i in range(dim)]
+    known = word_vectors.select("word", "vec", v.norm(F.col("vec")).alias("length")).filter(F.col("length") > 0)
+    joined = counted.join(known, "word").withColumn("weight", F.col("times") / F.col("length"))
+    sums = [F.sum(F.col("weight") * F.get("vec", F.lit(i))).alias(f"s{i}") for i in range(dim)]
     summed = joined.groupBy(id_col).agg(F.sum("times").alias("n"), *sums)
     return summed.select(id_col, F.array(*[F.col(f"s{i}") / F.col("n") for i in range(dim)]).alias("vec"))
 
@@ -203,13 +200,13 @@ def match_semantic(
     usable = columns.filter(text.eligible_header(F.col("header"))).select(
         key, "col_idx", "header", text.clean_header(F.col("header")).alias("_clean")
     )
-    distinct = usable.select(F.trim(F.lit("\n"), F.col("_clean")).alias("text")).distinct()
+    distinct = usable.select(F.trim(F.col("_clean"), F.lit("\n")).alias("text")).distinct()
     headers = embed_text(distinct, word_vectors, dim).withColumnRenamed("text", "header")
     best = best_types(headers, type_vectors, dim, threshold)
     labelled = best.join(ontology.select("ontology", "type_pos", "cleaned_label"), ["ontology", "type_pos"])
     labelled = labelled.withColumnRenamed("header", "_match")
-    usable = usable.withColumn("_match", F.trim(F.lit("\n"), F.col("_clean")))
-    joined = sized_join(usable, labelled, ["_match"], salts=64, salt_by=[key, "col_idx"])
+    usable = usable.withColumn("_match", F.trim(F.col("_clean"), F.lit("\n")))
+    joined = usable.join(labelled, "_match")
     return joined.select(
         key, "col_idx", "header", "ontology", F.lit("semantic").alias("method"),
         "type_pos", "cleaned_label", F.round("similarity", 4).alias("similarity"),

@@ -77,7 +77,7 @@ def stand_in(personal_type: Column, seed: int, key: Column, col_idx: Column, row
 
 def anonymize_cells(cells: DataFrame, replaced: DataFrame, seed: int = 0, key: str = "file_id") -> DataFrame:
     """Cells ``(key, col_idx, row_idx, value)`` with every value of replaced columns made up."""
-    marked = sized_join(cells, final_types(replaced, key), [key, "col_idx"], "left", salts=64, salt_by=["row_idx"])
+    marked = sized_join(cells, final_types(replaced, key), [key, "col_idx"], "left")
     value = F.when(
         F.col("personal_type").isNotNull(),
         stand_in(F.col("personal_type"), seed, F.col(key), F.col("col_idx"), F.col("row_idx")),
@@ -95,7 +95,7 @@ def anonymize_rows(rows: DataFrame, replaced: DataFrame, seed: int = 0, key: str
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "personal_type"))).alias("_types"))
     )
-    marked = sized_join(rows, per_table, [key], "left", salts=64, salt_by=["row_idx"])
+    marked = sized_join(rows, per_table, [key], "left")
     made = F.transform(
         "fields",
         lambda v, i: F.when(
@@ -141,7 +141,7 @@ def bias_counts(types: DataFrame, groups: DataFrame | None = None) -> DataFrame:
 def bias_values(cells: DataFrame, types: DataFrame, key: str = "file_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """Cells of bias columns with their type; run it on anonymised cells."""
     marked = bias_columns(types).select(key, "col_idx", "bias_type")
-    joined = sized_join(cells, marked, [key, "col_idx"], salts=64, salt_by=["row_idx"])
+    joined = sized_join(cells, marked, [key, "col_idx"])
     return joined.filter(F.col("value").isNotNull()).select(*carry, key, "col_idx", "row_idx", "bias_type", "value")
 
 

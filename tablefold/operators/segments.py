@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefold.operators.joins import sized_join
-
 RESULT_LIMIT = 1000  # fixed value
 # Quartiles of file size in bytes.
 SIZE_BOUNDS = [256, 2750, 4756, 23459, 53531]
@@ -64,7 +62,7 @@ def assign_segments(
     per_topic = steps.groupBy("topic").agg(
         F.collect_list(F.struct("range_pos", "range_lo", "range_hi", "whole_step", "n_points")).alias("ranges")
     )
-    joined = sized_join(files, per_topic, ["topic"], salts=64, salt_by=["size"])
+    joined = files.join(per_topic, "topic")
     inside = joined.select(*files.columns, F.explode("ranges").alias("r")).filter(
         F.col("size").between(F.col("r.range_lo"), F.col("r.range_hi"))
     )

@@ -59,7 +59,7 @@ def annotate_corpus(
     named = names.dedup_file_names(manifest)
     licensed = filters.filter_licensed(named, licenses).select("topic", "unique_name", "url_pos", "url", "license")
     by_name = licensed.withColumnRenamed("unique_name", "file_name")
-    kept = sized_join(files, by_name, ["topic", "file_name"], salts=16, salt_by=["file_id"])
+    kept = sized_join(files, by_name, ["topic", "file_name"])
     views = parse_files(kept.select("file_id", "content"))
     shapes, columns, rows, rejects = views.files, views.columns, views.rows, views.rejects
     origins = kept.select("file_id", *_CARRIED)
@@ -74,7 +74,7 @@ def annotate_corpus(
 
     columns = cut(infer_dtypes(columns, cells_of(rows)))
     social = filters.social_tables(columns)
-    shaped = sized_join(origins.join(shapes, "file_id"), social, ["file_id"], "left_anti")
+    shaped = origins.join(shapes, "file_id").join(social, "file_id", "left_anti")
     tables = stats.assign_table_ids(shaped)
     shown = columns.join(social, "file_id", "left_anti")
     type_vectors = match.embed_types(ontology, word_vectors, dim) if type_vectors is None else type_vectors

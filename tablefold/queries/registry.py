@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablefold.queries import parsing
+from tablefold.queries import annotation, parsing
 
-MODULES = [parsing]
+MODULES = [parsing, annotation]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql.strip() for module in MODULES for name, sql in module.ORACLE.items()}
