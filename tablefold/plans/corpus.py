@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,100 +14,140 @@ from tablefold.functions import text
 from tablefold.operators import domain, filters, match, names, privacy, stats
 from tablefold.operators.joins import sized_join
 from tablefold.operators.long_files import parse_lines
-from tablefold.operators.parse import cells_of, infer_dtypes, parse_files
+from tablefold.operators.parse import Parsed, cells_of, infer_dtypes, parse_files
 
-# Columns a license brings along.
-_CARRIED = ["topic", "url_pos", "url", "license"]
+_ORIGIN = ["topic", "url_pos", "url", "license"]
 
 
 @dataclass
 class Corpus:
-    """Tables of an annotated corpus, keyed by ``file_id``."""
-
-    licensed: DataFrame
-    staged: DataFrame
-    rejects: DataFrame
-    tables: DataFrame
-    columns: DataFrame
-    rows: DataFrame
-    annotations: DataFrame
-    domains: DataFrame
-    types: DataFrame
-    replaced: DataFrame
-
-
-def annotate_corpus(
-    files: DataFrame,
-    manifest: DataFrame,
-    licenses: DataFrame,
-    ontology: DataFrame,
-    word_vectors: DataFrame,
-    dim: int,
-    long_files: DataFrame | None = None,
-    type_vectors: DataFrame | None = None,
-    threshold: float = match.SIMILARITY_THRESHOLD,
-    seed: int = 0,
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> Corpus:
-    """Plan the job over all topics at once.
+    """An annotation job over all topics at once; its tables are keyed by ``file_id``.
 
     ``files(topic, file_name, file_id, content)`` meet the ``manifest(topic,
-    url_pos, url, file_name)`` by name. Licenses are applied to the manifest
-    before any content is parsed. ``cut`` is called on the tables that several
-    outputs read (columns and annotations): pass ``session.cut_lineage``, or a
-    function that writes a table and reads it back, on a cluster.
+    url_pos, url, file_name)`` by name; files too long for one row come as
+    ``long_files(topic, file_name, file_id, line_pos, line)``. ``domains`` are
+    the domain votes of types, taken from the lists in ``ontology`` unless given.
+
+    Tables are planned when first asked for. ``cut`` is applied to those that
+    several others read (columns and annotations): on a cluster pass
+    ``session.cut_lineage``, or a function that writes a table and reads it back.
     """
-    named = names.dedup_file_names(manifest)
-    licensed = filters.filter_licensed(named, licenses).select("topic", "unique_name", "url_pos", "url", "license")
-    by_name = licensed.withColumnRenamed("unique_name", "file_name")
-    kept = sized_join(files, by_name, ["topic", "file_name"])
-    views = parse_files(kept.select("file_id", "content"))
-    shapes, columns, rows, rejects = views.files, views.columns, views.rows, views.rejects
-    origins = kept.select("file_id", *_CARRIED)
-    if long_files is not None:
-        found = long_files.select("topic", "file_name", "file_id").distinct()
-        long_origins = found.join(by_name, ["topic", "file_name"]).select("file_id", *_CARRIED)
-        lines = sized_join(long_files.select("file_id", "line_pos", "line"), long_origins.select("file_id"), ["file_id"])
-        more = parse_lines(lines)
-        shapes, columns = shapes.unionByName(more.files), columns.unionByName(more.columns)
-        rows, rejects = rows.unionByName(more.rows), rejects.unionByName(more.rejects)
-        origins = origins.unionByName(long_origins)
-
-    columns = cut(infer_dtypes(columns, cells_of(rows)))
-    social = filters.social_tables(columns)
-    shaped = origins.join(shapes, "file_id").join(social, "file_id", "left_anti")
-    tables = stats.assign_table_ids(shaped)
-    shown = columns.join(social, "file_id", "left_anti")
-    type_vectors = match.embed_types(ontology, word_vectors, dim) if type_vectors is None else type_vectors
-    annotations = cut(
-        match.match_syntactic(shown, ontology).unionByName(
-            match.match_semantic(shown, ontology, type_vectors, word_vectors, dim, threshold)
+
+    files: DataFrame
+    manifest: DataFrame
+    licenses: DataFrame
+    ontology: DataFrame
+    word_vectors: DataFrame
+    dim: int
+    domain_votes: DataFrame | None = None
+    long_files: DataFrame | None = None
+    type_vectors: DataFrame | None = None
+    threshold: float = match.SIMILARITY_THRESHOLD
+    seed: int = 0
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df
+
+    @cached_property
+    def named(self) -> DataFrame:
+        """The manifest with a unique file name per URL."""
+        return names.dedup_file_names(self.manifest)
+
+    @cached_property
+    def licensed(self) -> DataFrame:
+        """Manifest rows under a named license. Needs no file content."""
+        kept = filters.filter_licensed(self.named, self.licenses)
+        return kept.select("topic", F.col("unique_name").alias("file_name"), "url_pos", "url", "license")
+
+    @cached_property
+    def _kept_files(self) -> DataFrame:
+        return sized_join(self.files, self.licensed, ["topic", "file_name"])
+
+    @cached_property
+    def _kept_long(self) -> DataFrame | None:
+        if self.long_files is None:
+            return None
+        found = self.long_files.select("topic", "file_name", "file_id").distinct()
+        return found.join(self.licensed, ["topic", "file_name"]).select("file_id", *_ORIGIN)
+
+    @cached_property
+    def origins(self) -> DataFrame:
+        """``file_id`` with topic, URL and license of every licensed file."""
+        short = self._kept_files.select("file_id", *_ORIGIN)
+        return short if self._kept_long is None else short.unionByName(self._kept_long)
+
+    @cached_property
+    def parsed(self) -> Parsed:
+        short = parse_files(self._kept_files.select("file_id", "content"))
+        if self._kept_long is None:
+            return short
+        lines = self.long_files.select("file_id", "line_pos", "line")
+        long = parse_lines(sized_join(lines, self._kept_long.select("file_id"), ["file_id"]))
+        both = {n: getattr(short, n).unionByName(getattr(long, n)) for n in ("files", "columns", "rows", "rejects")}
+        return Parsed(**both)
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.parsed.rejects
+
+    @cached_property
+    def _all_columns(self) -> DataFrame:
+        return self.cut(infer_dtypes(self.parsed.columns, cells_of(self.parsed.rows)))
+
+    @cached_property
+    def social(self) -> DataFrame:
+        """``file_id`` of tables left out for their social-platform headers."""
+        return filters.social_tables(self._all_columns)
+
+    @cached_property
+    def columns(self) -> DataFrame:
+        return self._all_columns.join(self.social, "file_id", "left_anti")
+
+    @cached_property
+    def tables(self) -> DataFrame:
+        shaped = self.origins.join(self.parsed.files, "file_id").join(self.social, "file_id", "left_anti")
+        return stats.assign_table_ids(shaped)
+
+    @cached_property
+    def annotations(self) -> DataFrame:
+        vectors = self.type_vectors
+        if vectors is None:
+            vectors = match.embed_types(self.ontology, self.word_vectors, self.dim)
+        exact = match.match_syntactic(self.columns, self.ontology)
+        alike = match.match_semantic(self.columns, self.ontology, vectors, self.word_vectors, self.dim, self.threshold)
+        return self.cut(exact.unionByName(alike))
+
+    @cached_property
+    def domains(self) -> DataFrame:
+        votes = domain.type_domains(self.ontology) if self.domain_votes is None else self.domain_votes
+        return domain.table_domain(self.annotations, votes)
+
+    @cached_property
+    def types(self) -> DataFrame:
+        return filters.column_types(self.annotations)
+
+    @cached_property
+    def replaced(self) -> DataFrame:
+        return privacy.replaced_columns(self.types)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """Rows of the kept tables with personal data replaced."""
+        kept = sized_join(self.parsed.rows, self.social, ["file_id"], "left_anti")
+        return privacy.anonymize_rows(kept, self.replaced, self.seed)
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        """One row per manifest URL with the stages it reached."""
+        parsed = self.parsed.files.select("file_id", F.lit(True).alias("parsed"))
+        flags = (
+            self.origins.select("file_id", "topic")
+            .join(parsed, "file_id", "left")
+            .join(self.social.withColumn("social", F.lit(True)), "file_id", "left")
+            .fillna(False, ["parsed", "social"])
+            .select("topic", F.lit(True).alias("licensed"), "parsed", "social")
         )
-    )
-    types = filters.column_types(annotations)
-    replaced = privacy.replaced_columns(types)
-    flags = (
-        origins.select("file_id", "topic")
-        .join(shapes.select("file_id", F.lit(True).alias("parsed")), "file_id", "left")
-        .join(social.withColumn("social", F.lit(True)), "file_id", "left")
-        .fillna(False, ["parsed", "social"])
-        .withColumn("licensed", F.lit(True))
-    )
-    unlicensed = named.join(licensed.select("topic", "url_pos"), ["topic", "url_pos"], "left_anti").select(
-        "topic", F.lit(False).alias("parsed"), F.lit(False).alias("social"), F.lit(False).alias("licensed")
-    )
-    return Corpus(
-        licensed=licensed,
-        staged=flags.drop("file_id").unionByName(unlicensed),
-        rejects=rejects,
-        tables=tables,
-        columns=shown,
-        rows=privacy.anonymize_rows(sized_join(rows, social, ["file_id"], "left_anti"), replaced, seed),
-        annotations=annotations,
-        domains=domain.table_domain(annotations, domain.type_domains(ontology)),
-        types=types,
-        replaced=replaced,
-    )
+        missing = self.named.join(self.licensed.select("topic", "url_pos"), ["topic", "url_pos"], "left_anti")
+        no = F.lit(False)
+        return flags.unionByName(missing.select("topic", no.alias("licensed"), no.alias("parsed"), no.alias("social")))
 
 
 def table_metadata(corpus: Corpus) -> DataFrame:
@@ -156,7 +197,10 @@ def _counts_map(df: DataFrame, name: str, count: str, out: str) -> DataFrame:
 
 
 def topic_stats(corpus: Corpus) -> DataFrame:
-    """One row per topic with all counts; its lists per table are in ``topic_series``."""
+    """One row per topic with all counts; its lists per table are in ``topic_series``.
+
+    The maps are as long as there are licenses, types or top values.
+    """
     topics = corpus.staged.select("topic").distinct()
     placed = corpus.tables.select("file_id", "topic", "table_id")
     annotated = corpus.annotations.join(placed, "file_id")
