@@ -8,15 +8,20 @@ The key column may have another name, given as ``key``.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.functions import text, vectors as v
 
+# Executors need not have this package installed: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SIMILARITY_THRESHOLD = 0.56  # fixed value
 # Type vectors up to this many numbers (128 MB as doubles) are broadcast as one matrix.
 BROADCAST_NUMBERS = 16_000_000
@@ -124,7 +129,7 @@ def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float
         "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     )
     right = types.withColumn("block", F.floor(F.col("type_pos") / BLOCK_TYPES).cast("int")).withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).cast("long")
+        "slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint")))
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefold import sinks
@@ -159,7 +159,14 @@ def table_metadata(corpus: Corpus) -> DataFrame:
     shares = stats.dtype_shares(corpus.columns).groupBy(key).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("dtype", "share")))).alias("dtypes_percentages")
     )
-    dtypes = _header_map(corpus.columns, F.col("dtype"), "dtypes")
+    dtypes = corpus.columns.groupBy(key).agg(_header_map(F.lit(True), F.col("dtype"), "dtypes"))
+    maps = []
+    for ontology in stats.ONTOLOGIES:
+        for method in stats.METHODS:
+            mine = (F.col("ontology") == ontology) & (F.col("method") == method)
+            maps.append(_header_map(mine, F.col("cleaned_label"), f"{ontology}_{method}_column_types"))
+            if method == "semantic":
+                maps.append(_header_map(mine, F.col("similarity"), f"{ontology}_semantic_similarities"))
     joined = (
         corpus.tables.select(
             key, "table_id", "topic", F.col("url").alias("table_csv_url"), F.col("n_rows").alias("number_rows"),
@@ -167,15 +174,10 @@ def table_metadata(corpus: Corpus) -> DataFrame:
         )
         .join(dtypes, key, "left")
         .join(shares, key, "left")
+        .join(corpus.annotations.groupBy(key).agg(*maps), key, "left")
         .join(privacy.anonymized_headers(corpus.replaced), key, "left")
         .withColumn("anonymized_columns", F.coalesce("anonymized_columns", F.array().cast("array<string>")))
     )
-    for ontology in stats.ONTOLOGIES:
-        for method in stats.METHODS:
-            mine = corpus.annotations.filter((F.col("ontology") == ontology) & (F.col("method") == method))
-            joined = joined.join(_header_map(mine, F.col("cleaned_label"), f"{ontology}_{method}_column_types"), key, "left")
-            if method == "semantic":
-                joined = joined.join(_header_map(mine, F.col("similarity"), f"{ontology}_semantic_similarities"), key, "left")
     kind = F.concat_ws("_", "ontology", "method")
     votes = corpus.domains.groupBy(key).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct(kind.alias("kind"), "domain")))).alias("table_domain")
@@ -185,10 +187,10 @@ def table_metadata(corpus: Corpus) -> DataFrame:
     return joined.select(key, "table_id", "topic", F.to_json(F.struct(*described)).alias("metadata"))
 
 
-def _header_map(df: DataFrame, value, out: str, key: str = "file_id") -> DataFrame:
-    entries = F.sort_array(F.collect_list(F.struct("col_idx", "header", value.alias("v"))))
-    pairs = F.transform(entries, lambda e: F.struct(e["header"], e["v"]))
-    return df.groupBy(key).agg(F.map_from_entries(pairs).alias(out))
+def _header_map(keep: Column, value: Column, out: str) -> Column:
+    """Aggregate: header to value of the rows to keep, in column order."""
+    entries = F.sort_array(F.collect_list(F.when(keep, F.struct("col_idx", "header", value.alias("v")))))
+    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["header"], e["v"]))).alias(out)
 
 
 def _counts_map(df: DataFrame, name: str, count: str, out: str) -> DataFrame:

@@ -8,6 +8,7 @@ from tablefold.functions import text
 from tablefold.operators import domain, filters, match, stats
 from tablefold.operators import ontology as onto
 from tablefold.queries import common as c
+from tablefold.session import cut_lineage
 
 THRESHOLD = match.SIMILARITY_THRESHOLD
 
@@ -38,8 +39,9 @@ def text_vectors(spark, sf_dir):
 
 
 def _semantic(spark, sf_dir):
-    columns, ontology = _columns(spark, sf_dir), c.ontology(spark, sf_dir)
-    vectors = _vectors(spark, sf_dir, ontology, columns)
+    # In use, ontology and vectors are stored tables; here they are stored once derived.
+    columns, ontology = _columns(spark, sf_dir), cut_lineage(c.ontology(spark, sf_dir))
+    vectors = cut_lineage(_vectors(spark, sf_dir, ontology, columns))
     types = match.embed_types(ontology, vectors, c.DIM)
     return match.match_semantic(columns, ontology, types, vectors, c.DIM, THRESHOLD)
 

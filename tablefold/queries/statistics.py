@@ -11,6 +11,7 @@ from tablefold.operators.numbering import row_index
 from tablefold.plans import corpus as plan
 from tablefold.queries import common as c
 from tablefold.queries import extraction
+from tablefold.session import cut_lineage
 
 CHUNK = 16
 
@@ -21,9 +22,9 @@ def _corpus(spark, sf_dir, cut=lambda df: df) -> plan.Corpus:
     files = docs.select("topic", name.alias("file_name"), "file_id", "content")
     manifest = extraction._doc_manifest(spark, sf_dir)
     manifest = manifest.withColumn("file_name", text.url_file_name(F.col("url")))
-    ontology = c.ontology(spark, sf_dir)
+    ontology = cut(c.ontology(spark, sf_dir))
     headers = c.parsed(spark, sf_dir).columns.select(text.clean_header(F.col("header")).alias("text"))
-    vectors = c.word_vectors(spark, sf_dir, c.vocabulary(headers, ontology.select("cleaned_label")))
+    vectors = cut(c.word_vectors(spark, sf_dir, c.vocabulary(headers, ontology.select("cleaned_label"))))
     return plan.Corpus(
         files=files, manifest=manifest, licenses=extraction._licenses(spark, sf_dir), ontology=ontology,
         word_vectors=vectors, dim=c.DIM, domain_votes=c.domains(spark, sf_dir), cut=cut,
@@ -67,17 +68,17 @@ def dtype_share_lists(spark, sf_dir):
 
 def domain_lists(spark, sf_dir):
     """Domain of every table and kind of annotation, null where there is none."""
-    job = _corpus(spark, sf_dir)
+    job = _corpus(spark, sf_dir, cut=cut_lineage)
     ids = job.tables.select("file_id", "topic", "table_id")
     return stats.table_domains_or_none(ids, job.domains).drop("file_id")
 
 
 def table_metadata_json(spark, sf_dir):
-    return plan.table_metadata(_corpus(spark, sf_dir))
+    return plan.table_metadata(_corpus(spark, sf_dir, cut=cut_lineage))
 
 
 def topic_stats(spark, sf_dir):
-    out = plan.topic_stats(_corpus(spark, sf_dir))
+    out = plan.topic_stats(_corpus(spark, sf_dir, cut=cut_lineage))
     maps = [x for x, t in out.dtypes if t.startswith("map")]
     return out.select(*[F.to_json(x).alias(x) if x in maps else F.col(x) for x in out.columns])
 
