@@ -27,8 +27,11 @@ SIMILARITY_THRESHOLD = 0.56  # fixed value
 BROADCAST_NUMBERS = 16_000_000
 BLOCK_TYPES = 4096
 BLOCK_HEADERS = 50_000
-# Similarities are compared at this precision, so that equal vectors tie exactly.
-DECIMALS = 12
+# Products are taken in tiles that stay in a core's cache.
+TILE_HEADERS = 256
+TILE_TYPES = 2048
+# Similarities this close are a tie.
+TOLERANCE = 1e-12
 
 
 def match_syntactic(columns: DataFrame, ontology: DataFrame, key: str = "file_id") -> DataFrame:
@@ -62,29 +65,41 @@ def embed_text(texts: DataFrame, word_vectors: DataFrame, dim: int, id_col: str
 
 
 def _unit_rows(column: pa.ListArray | pa.ChunkedArray, n_rows: int) -> np.ndarray:
-    """Vectors of a list column as the rows of a matrix, at length one; zero vectors become nan."""
+    """Vectors of a list column as the rows of a matrix, at length one; zero vectors stay zero."""
     flat = pa.chunked_array(column) if isinstance(column, pa.ListArray) else column
     numbers = np.asarray(flat.combine_chunks().flatten(), dtype=np.float64).reshape(n_rows, -1)
     lengths = np.linalg.norm(numbers, axis=1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return numbers / lengths
-
-
-def _similarities(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return np.nan_to_num(np.round(left @ right.T, DECIMALS), nan=-2.0)
-
-
-def _best_of(similarities: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
-    """Rows with a best type above the threshold, that type's position and the similarity."""
-    best = similarities.argmax(axis=1)
-    score = similarities[np.arange(len(best)), best]
-    rows = np.nonzero(score > threshold)[0]
-    return rows, positions[best[rows]], score[rows]
-
-
-def _all_above(similarities: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
-    rows, found = np.nonzero(similarities > threshold)
-    return rows, positions[found], similarities[rows, found]
+    return np.divide(numbers, lengths, out=np.zeros_like(numbers), where=lengths > 0)
+
+
+def _best_of(left: np.ndarray, right: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    """Rows with a type above the threshold, the first best type's position and the similarity."""
+    score = np.full(len(left), float(threshold))
+    found = np.full(len(left), -1, dtype=np.int64)
+    for rows in range(0, len(left), TILE_HEADERS):
+        top, at = score[rows : rows + TILE_HEADERS], found[rows : rows + TILE_HEADERS]
+        for cols in range(0, len(right), TILE_TYPES):
+            tile = left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T
+            best = tile.max(axis=1)
+            # Within the tolerance of an earlier type the earlier one stays; the threshold is strict.
+            better = np.nonzero(best > np.where(at < 0, top, top + TOLERANCE))[0]
+            if len(better):
+                first = (tile[better] >= best[better, None] - TOLERANCE).argmax(axis=1)
+                top[better], at[better] = best[better], positions[cols + first]
+    kept = np.nonzero(found >= 0)[0]
+    return kept, found[kept], score[kept]
+
+
+def _all_above(left: np.ndarray, right: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    parts = []
+    for rows in range(0, len(left), TILE_HEADERS):
+        for cols in range(0, len(right), TILE_TYPES):
+            tile = left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T
+            r, f = np.nonzero(tile > threshold)
+            parts.append((r + rows, positions[f + cols], tile[r, f]))
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float, choose, max_numbers: int) -> DataFrame:
@@ -108,7 +123,7 @@ def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float
                     continue
                 left = _unit_rows(batch.column("vec"), batch.num_rows)
                 for name, (positions, matrix) in shared.value.items():
-                    rows, found, score = choose(_similarities(left, matrix), positions, threshold)
+                    rows, found, score = choose(left, matrix, positions, threshold)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("header").take(pa.array(rows)),
@@ -119,7 +134,10 @@ def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float
                         names=["header", "ontology", "type_pos", "similarity"],
                     )
 
-        return headers.mapInArrow(scan, schema)
+        # The product is the work here, not the bytes: keep it spread over all tasks.
+        spark = headers.sparkSession
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        return headers.repartition(tasks, "header").mapInArrow(scan, schema)
 
     # Too many types to hold at once: every slice of headers meets every block of types.
     sizes = types.agg(F.max("type_pos").alias("t")).first()
@@ -142,7 +160,7 @@ def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float
             for name in sorted(set(names)):
                 mine = np.nonzero(names == name)[0]
                 mine = mine[np.argsort(positions[mine])]
-                rows, found, score = choose(_similarities(rows_of, matrix[mine]), positions[mine], threshold)
+                rows, found, score = choose(rows_of, matrix[mine], positions[mine], threshold)
                 parts.append(
                     pa.table(
                         {

@@ -16,7 +16,7 @@ WORKED = [
     '"x","y z","w"\r\n1,"a ""q"" b",3\r\n4,"u"v,5\r\n5,6" x,7\r\n',
     'a,b\n1,"x\ny\nz"\n2,"p""\n\n"",q"\n3,4\n"5","6\n7"x,8\n9,10\n"11\n12","13\n14"\n15,16',
     'k,v\n1,a"b"c\n2,"q"\n"z\n"\n""",",3', "a\tb,c\n1,2\n", "k:v\n1:2\n-3:4\n", "a,b\n1.5,inf\n2,-3e4\n",
-    "'a';'b c';'d'\n1;2;3\n", "id,id,id.1\n1,2,3\n", "a,b\n 1 ,x\n2,\n",
+    "'a';'b c';'d'\n1;2;3\n", "a,b\n 1 ,x\n2,\n",
 ]
 
 
@@ -79,6 +79,11 @@ def test_unreadable_files_are_rejected(spark):
     assert [r.file_id for r in parsed.files.collect()] == [3]
 
 
+def test_made_up_names_count_as_repeats(spark):
+    got = parse_files(frame(spark, ["id,id,id.1\n1,2,3", "a,a.1,a\n1,2,3"])).columns.orderBy("file_id", "col_idx").collect()
+    assert [r.header for r in got] == ["id", "id.1", "id.1.1", "a", "a.1", "a.1.1"]
+
+
 def test_consistent_mode(spark):
     got = sniff_delimiters(frame(spark, ["a b|c\n1|2\n3|4", "x"]), mode="consistent").orderBy("file_id").collect()
     assert [r.delimiter for r in got] == ["|", None]
