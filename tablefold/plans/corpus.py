@@ -29,8 +29,9 @@ class Corpus:
     the domain votes of types, taken from the lists in ``ontology`` unless given.
 
     Tables are planned when first asked for. ``cut`` is applied to those that
-    several others read (columns and annotations): on a cluster pass
-    ``session.cut_lineage``, or a function that writes a table and reads it back.
+    several others read (licensed URLs, columns, tables, annotations; never
+    cells): on a cluster pass ``session.cut_lineage``, or a function that writes
+    a table and reads it back.
     """
 
     files: DataFrame
@@ -55,7 +56,7 @@ class Corpus:
     def licensed(self) -> DataFrame:
         """Manifest rows under a named license. Needs no file content."""
         kept = filters.filter_licensed(self.named, self.licenses)
-        return kept.select("topic", F.col("unique_name").alias("file_name"), "url_pos", "url", "license")
+        return self.cut(kept.select("topic", F.col("unique_name").alias("file_name"), "url_pos", "url", "license"))
 
     @cached_property
     def _kept_files(self) -> DataFrame:
@@ -104,7 +105,7 @@ class Corpus:
     @cached_property
     def tables(self) -> DataFrame:
         shaped = self.origins.join(self.parsed.files, "file_id").join(self.social, "file_id", "left_anti")
-        return stats.assign_table_ids(shaped)
+        return self.cut(stats.assign_table_ids(shaped))
 
     @cached_property
     def annotations(self) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tablefold import sinks
 from tablefold.operators import ontology
 from tablefold.plans.corpus import Corpus, write_corpus
+from tablefold.session import cut_lineage
 from tablefold.sources import landed, ontologies
 from tablefold.streaming.incremental import process_pending
 
@@ -81,7 +82,7 @@ def test_whole_job(spark, tmp_path):
               ("dbpedia", 0, "city", ["Place"])]
     types = spark.createDataFrame(labels, "ontology string, type_pos bigint, cleaned_label string, domain array<string>")
     words = spark.createDataFrame(
-        [("email", [1.0, 0.0, 0.0]), ("name", [0.0, 1.0, 0.0]), ("city", [0.0, 0.0, 1.0]), ("id", [1.0, 1.0, 1.0])],
+        [("email", [1.0, 0.0, 0.0]), ("name", [0.0, 1.0, 0.0]), ("city", [0.0, 0.0, 1.0]), ("id", [-1.0, -1.0, -1.0])],
         "word string, vec array<float>",
     )
     source = str(tmp_path / "files")
@@ -91,7 +92,7 @@ def test_whole_job(spark, tmp_path):
             files=landed.read_files(spark, source, limit), long_files=landed.read_long_files(spark, source, limit),
             manifest=landed.read_manifest(spark, str(tmp_path / "manifests")),
             licenses=landed.read_licenses(spark, str(tmp_path / "licenses.json")),
-            ontology=types, word_vectors=words, dim=3,
+            ontology=types, word_vectors=words, dim=3, cut=cut_lineage,
         )
         tables = {(r.topic, r.url.split("/")[-1]): (r.table_id, r.n_rows, r.n_columns) for r in job.tables.collect()}
         assert tables == {("people", "p.csv"): (0, 2, 3), ("big city", "c.csv"): (0, 50, 2)}
@@ -102,7 +103,7 @@ def test_whole_job(spark, tmp_path):
 
     job = Corpus(
         files=landed.read_files(spark, source), manifest=landed.read_manifest(spark, str(tmp_path / "manifests")),
-        licenses=landed.read_licenses(spark, str(tmp_path / "licenses.json")), ontology=types, word_vectors=words, dim=3,
+        licenses=landed.read_licenses(spark, str(tmp_path / "licenses.json")), ontology=types, word_vectors=words, dim=3, cut=cut_lineage,
     )
     out = str(tmp_path / "out")
     write_corpus(job, out)
