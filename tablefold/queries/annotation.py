@@ -98,7 +98,9 @@ def type_counts(spark, sf_dir):
 
 def type_similarities(spark, sf_dir):
     out = stats.type_similarities(_semantic(spark, sf_dir))
-    return out.withColumn("mean_similarity", F.round("mean_similarity", 6)).withColumn("std_similarity", F.round("std_similarity", 6))
+    total = F.round(F.col("mean_similarity") * F.col("n"), 4)
+    return out.select("ontology", "cleaned_label", "n", total.alias("total_similarity"),
+                      F.round("std_similarity", 6).alias("std_similarity"), "min_similarity", "max_similarity")
 
 
 def annotated_columns(spark, sf_dir):
@@ -182,7 +184,7 @@ FROM sem GROUP BY file_id, col_idx""",
     "type_counts": f"""{_ANN}, a AS (SELECT * FROM syn UNION ALL BY NAME SELECT * FROM sem)
 SELECT source AS topic, ontology, method, cleaned_label, count(*) AS n_columns
 FROM a JOIN documents ON doc_id = file_id GROUP BY ALL""",
-    "type_similarities": f"""{_ANN} SELECT ontology, cleaned_label, count(*) AS n, round(avg(similarity), 6) AS mean_similarity,
+    "type_similarities": f"""{_ANN} SELECT ontology, cleaned_label, count(*) AS n, round(sum(similarity), 4) AS total_similarity,
 round(stddev_pop(similarity), 6) AS std_similarity, min(similarity) AS min_similarity, max(similarity) AS max_similarity FROM sem GROUP BY ALL""",
     "annotated_columns": f"""{_ANN}, a AS (SELECT * FROM syn UNION ALL BY NAME SELECT * FROM sem),
 n AS (SELECT file_id, ontology, method, count(*) AS n FROM a GROUP BY ALL)
