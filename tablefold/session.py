@@ -24,20 +24,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder the cluster names, so lost executors cost no replay.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a single-machine
-    session without that setting gets a folder of its own.
+    Only a single-machine session without that setting gets a folder of its own,
+    one per session.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared:
-            context.setCheckpointDir(shared)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="tablefold-ckpt-"))
-        else:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="tablefold-ckpt-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder, so lost executors cost no replay."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
