@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefold.llm import decontaminate, language, minhash, packing, secrets
+from tablefold.llm import chat, decontaminate, language, minhash, neighbours, packing, quality, secrets, toxicity
 from tablefold.llm.common import id_remainder, table
 
 
@@ -13,6 +13,14 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.learn(docs, labels.filter(~held_out))
+    return toxicity.score(docs, model, ["doc_id", held_out.alias("held_out")]).withColumn("evidence", F.array_join("evidence", " "))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     longest = F.array_max(F.transform("tiles", lambda t: t["length"]))
@@ -25,6 +33,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality.classify(table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.find(docs, secrets.learn(docs))
@@ -39,6 +52,53 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = neighbours.indexed(table(spark, sf_dir, "embeddings"))
+    return neighbours.search(index, index.filter("vec_id % 20 = 0"))
+
+
+#: Tools that the derived calls of ``op9_chat`` name, with the schemas of their arguments.
+TOOLS = {
+    "lookup": {
+        "type": "object", "required": ["query"], "additionalProperties": False,
+        "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 20}},
+    },
+    "combine": {
+        "type": "object", "required": ["parts", "query"],
+        "properties": {"parts": {"type": "array", "items": {"type": "string"}}, "query": {"type": "string"}},
+    },
+}
+
+
+def tool_messages(turns: DataFrame) -> DataFrame:
+    """Messages with tool calls, derived from plain turns.
+
+    An assistant's turn calls ``lookup`` with its first sentence and ``combine``,
+    which needs the lookup; a user's turn is also the report of the lookup of the turn
+    before it. Every word count divisible by 7 leaves the limit out of its range.
+    """
+    n_words = F.size(F.split("text", r"\s+"))
+    call = F.concat_ws("-", "conv_id", "turn")
+    looked = F.to_json(F.struct(F.when(n_words % 7 == 0, 0).otherwise(n_words % 20 + 1).alias("limit"), F.substring_index("text", ".", 1).alias("query")))
+    combined = F.to_json(F.struct(F.array(F.concat(F.lit("a"), call)).alias("parts"), F.col("role").alias("query")))
+    nothing = F.array().cast("array<string>")
+    calls = F.array(
+        F.struct(F.concat(F.lit("b"), call).alias("call_id"), F.lit("combine").alias("name"), combined.alias("arguments"), F.array(F.concat(F.lit("a"), call)).alias("needs")),
+        F.struct(F.concat(F.lit("a"), call).alias("call_id"), F.lit("lookup").alias("name"), looked.alias("arguments"), nothing.alias("needs")),
+    )
+    said = turns.select("conv_id", "turn", "role", F.col("text").alias("content"), F.when(F.col("role") == "assistant", calls).alias("calls"), F.lit(None).cast("string").alias("call_id"))
+    reported = turns.filter("role = 'user' and turn > 0").select(
+        "conv_id", "turn", F.lit("tool").alias("role"), F.col("text").alias("content"), F.lit(None).cast(said.schema["calls"].dataType).alias("calls"),
+        F.concat(F.lit("a"), F.concat_ws("-", F.col("conv_id"), F.col("turn") - 1)).alias("call_id"),
+    )
+    return said.unionByName(reported)
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.format_chats(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+    return out.withColumn("problems", F.array_join("problems", "; "))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
@@ -48,13 +108,28 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_toxicity": op2_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
+    "op8_neighbours": op8_neighbours,
+    "op9_chat": op9_chat,
     "op10_language": op10_language,
 }
 
 ORACLE = {
+    "op8_neighbours": """
+WITH sound AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM sound q JOIN sound c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
     "op1_minhash": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
