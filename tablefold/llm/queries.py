@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefold.llm import chat, decontaminate, language, minhash, neighbours, packing, quality, secrets, toxicity
+from tablefold.llm import chat, decontaminate, language, minhash, neighbours, packing, quality, secrets, suffixes, toxicity
 from tablefold.llm.common import id_remainder, table
 
 
@@ -21,6 +21,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id", held_out.alias("held_out")]).withColumn("evidence", F.array_join("evidence", " "))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     longest = F.array_max(F.transform("tiles", lambda t: t["length"]))
@@ -109,6 +115,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
+    "op3_suffixes": op3_suffixes,
     "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
