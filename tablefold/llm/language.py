@@ -123,10 +123,10 @@ def identify(docs: DataFrame, model: Model, keep: list[str | Column] | None = No
     tasks once; its size is fixed by ``BITS`` and the number of languages. Names of
     these columns in ``docs`` are replaced; rows are kept as they are, repeated ones too.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table))
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, names, table = Grams(), shared.value.languages, shared.value.table
+        grams, (names, table) = Grams(), shared.value
         for batch in batches:
             pred, score, langs, other = [], [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():

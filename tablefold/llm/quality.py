@@ -86,10 +86,10 @@ def probabilities(counted: DataFrame) -> DataFrame:
         here = by_order[order]
         context = F.shiftrightunsigned("gram", BITS)
         kinds = here.groupBy("lang").agg(*[F.count_if(F.col("c") == k).cast("double").alias(f"t{k}") for k in range(1, 5)])
-        y = F.col("t1") / (F.col("t1") + 2 * F.col("t2"))
+        y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
 
         def discount(k: int) -> Column:
-            raw = k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}")
+            raw = k - (k + 1) * y * F.try_divide(F.col(f"t{k + 1}"), F.col(f"t{k}"))
             # with no n-gram of such a count, or by chance out of range, half of the smallest count
             return F.least(F.greatest(F.coalesce(raw, F.lit(0.5)), F.lit(0.1)), F.lit(float(k)))
 

@@ -129,11 +129,11 @@ def find(docs: DataFrame, model: Markov, id_col: str = "doc_id", text_col: str =
     empty text has no spans; null identifiers and repeated rows are kept as they are.
     """
     kind = dict(docs.dtypes)[id_col]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.ratio)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        markov = shared.value
+        markov = Markov(shared.value)
         for batch in batches:
             found = (all_spans(text or "", markov, min_ratio) for text in batch.column(1).to_pylist())
             out = [[{"kind": k, "start": s, "end": e} for s, _, k, e, _ in x] for x in found]
@@ -148,12 +148,12 @@ def masked(docs: DataFrame, model: Markov, text_col: str = "text", min_ratio: fl
 
     Columns and rows stay as they are; a null text stays null.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.ratio)
     at = docs.columns.index(text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def cleaned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        markov = shared.value
+        markov = Markov(shared.value)
         for batch in batches:
             texts = [t if not t else _mask(t, all_spans(t, markov, min_ratio)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))

@@ -230,9 +230,8 @@ def _from_six(data: bytes) -> np.ndarray:
 class KeyFilter:
     """Bits of a set of keys in slices of equal size; a key of the set always passes, another one seldom."""
 
-    def __init__(self, bits: list[np.ndarray]):
-        self.bits = np.concatenate(bits)
-        self.slice_bits = len(bits[0]) * 8
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.slice_bits = bits, len(bits) * 8 // SLICES
 
     @staticmethod
     def places(keys: np.ndarray, slice_bits: int) -> list[np.ndarray]:
@@ -274,7 +273,7 @@ def key_filter(keys: DataFrame) -> Broadcast:
     found = keys.mapInArrow(sliced, "slice int, key bigint").groupBy("slice").applyInArrow(built, "slice int, bits binary").collect()
     parts = {r["slice"]: np.frombuffer(r["bits"], np.uint8) for r in found}
     empty = np.zeros(slice_bits // 8, np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(KeyFilter([parts.get(i, empty) for i in range(SLICES)]))
+    return keys.sparkSession.sparkContext.broadcast(np.concatenate([parts.get(i, empty) for i in range(SLICES)]))
 
 
 def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, buckets: int) -> DataFrame:
@@ -282,9 +281,9 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
 
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[dict[bytes, int], list]] = {}
-        size = 0
+        known, size = KeyFilter(wanted.value), 0
         for chunk in _chunks(batches, window, gram):
-            use = np.flatnonzero(wanted.value.passes(chunk.key))
+            use = np.flatnonzero(known.passes(chunk.key))
             data = chunk.data.tobytes()
             bucket = (mixed(chunk.key[use]) % np.uint64(buckets)).tolist()
             first, past, text = chunk.first[use], chunk.past[use] - 1 + window, chunk.text[use]
@@ -410,9 +409,10 @@ def _maybe(given: DataFrame, marks: Broadcast) -> DataFrame:
     """Adds ``maybe``: whether the filter may hold the identifier; never for copies and null identifiers."""
 
     def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = KeyFilter(marks.value)
         for batch in batches:
             keys = batch.column(3).to_numpy(zero_copy_only=False)
-            hit = marks.value.passes(keys) & ~np.array(batch.column(2).to_pylist(), bool) & np.array(batch.column(0).is_valid())
+            hit = known.passes(keys) & ~np.array(batch.column(2).to_pylist(), bool) & np.array(batch.column(0).is_valid())
             yield pa.record_batch([*batch.columns[:3], pa.array(hit)], ["doc_id", "text", "copy", "maybe"])
 
     return given.withColumn("key", F.xxhash64("doc_id")).mapInArrow(marked, "doc_id bigint, text string, copy boolean, maybe boolean")

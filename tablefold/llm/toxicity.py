@@ -210,10 +210,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
     used = marked.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(labelled_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(used), "_id")
-    shared = spark.sparkContext.broadcast(characters)
+    shared = spark.sparkContext.broadcast((characters.triples, characters.pairs))
 
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(shared.value)
+        known = Words(CharacterModel(*shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -272,13 +272,16 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
 
     Null and empty texts get the score of a text without evidence; rows stay as they are, repeated ones too.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts = model.characters.triples, model.characters.pairs, model.weights, model.slope, model.base
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(shared.value.characters, set(shared.value.weights))
+        triples, pairs, *rest = shared.value
+        own = Model(CharacterModel(triples, pairs), *rest)
+        known = Words(own.characters, set(own.weights))
         for batch in batches:
             found = [known.features(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            scores = [shared.value.score(f) for f in found]
+            scores = [own.score(f) for f in found]
             new = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array([sorted(f) for f in found], pa.list_(pa.string()))]
             yield pa.record_batch([*batch.columns[:-1], *new], [*batch.schema.names[:-1], "score", "predicted", "evidence"])
 
