@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+from collections import defaultdict
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Executors need not have this package installed: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Delimiters in order of preference when several would do.
 PREFERRED_DELIMITERS = [",", "\t", ";", " ", ":"]
 
@@ -21,9 +28,6 @@ FLOAT = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$"
 INFINITE = "^\\s*[+-]?(?i:inf|infinity|nan)\\s*$"
 BOOLEAN = "^(True|TRUE|true|False|FALSE|false)$"
 
-# Fixed value: longest field, in characters; a longer one spoils its record.
-FIELD_LIMIT = 131072
-
 LINE_END = "\r\n|\r|\n"
 
 # A quoted span beside a character that could be the delimiter:
@@ -37,11 +41,6 @@ def first_line(content: Column) -> Column:
     return F.get(F.split(content, LINE_END, 2), 0)
 
 
-def after_first_line(content: Column) -> Column:
-    """Everything below the first line; null for a one-line text."""
-    return F.get(F.split(content, LINE_END, 2), 1)
-
-
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
     return F.get(F.transform(F.array(value), use), 0)
@@ -121,10 +120,10 @@ def split_fields(record: Column, delimiter: Column) -> Column:
     return F.when(F.contains(record, F.lit('"')), quoted).otherwise(F.split(record, d, -1))
 
 
-def spoiled_field(field: Column) -> Column:
-    """A field that opens with a quote but does not close with one at its end, or is too long."""
+def spoiled_field(field: Column, longest: int | None = None) -> Column:
+    """A field that opens with a quote but does not close with one at its end, or has over ``longest`` characters."""
     open_ended = field.startswith('"') & ~field.rlike(f'\\A{_QUOTED}"\\z')
-    return open_ended | (F.length(field) > FIELD_LIMIT)
+    return open_ended if longest is None else open_ended | (F.length(field) > longest)
 
 
 def unquote(field: Column) -> Column:
@@ -143,34 +142,32 @@ def index_width(width: Column, first: Column, second: Column) -> Column:
 
 
 def name_columns(fields: Column) -> Column:
-    """Header names: empty ones become ``Unnamed: i``, repeats get ``.1``, ``.2``."""
+    """Header names: empty ones become ``Unnamed: i``, repeats get ``.1``, ``.2``; no name occurs twice."""
     named = F.transform(fields, lambda f, i: F.when(f == "", F.concat(F.lit("Unnamed: "), i)).otherwise(f))
-    return bind(named, lambda n: bind(_suffix_repeats(n), _suffix_repeats))
-
-
-def _suffix_repeats(names: Column) -> Column:
-    """Number equal names within their run in the sorted list of names, then restore the order."""
-
-    def by_run(places: Column) -> Column:
-        def run_start(place, j):
-            return F.when((j > 0) & (F.get(places, j - 1)["name"] == place["name"]), None).otherwise(j)
-
-        def numbered(starts: Column) -> Column:
-            def run(start, k):
-                end = F.coalesce(F.get(starts, k + 1), F.size(places)) - 1
-                return F.transform(F.sequence(start, end), lambda j: suffixed(F.get(places, j), j - start))
-
-            return F.transform(F.sort_array(F.flatten(F.transform(starts, run))), lambda p: p["name"])
-
-        return bind(F.filter(F.transform(places, run_start), lambda j: j.isNotNull()), numbered)
-
-    def suffixed(place, seen):
-        name = place["name"]
-        return F.struct(place["i"], F.when(seen > 0, F.concat(name, F.lit("."), seen)).otherwise(name).alias("name"))
-
-    placed = F.sort_array(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("i"))))
-    unique = F.size(F.array_distinct(names)) == F.size(names)
-    return F.when(unique, names).otherwise(bind(placed, by_run))
+    repeated = F.size(F.array_distinct(named)) < F.size(named)
+    # only headers with repeats, which are few, go through Python
+    return F.coalesce(_numbered_apart()(F.when(repeated, named)), named)
+
+
+def numbered(names: list[str]) -> list[str]:
+    """Names in order; one that is taken gets its number of earlier takers, again and again until it is free."""
+    taken: dict[str, int] = defaultdict(int)
+    out = []
+    for name in names:
+        while taken[name]:
+            taken[name] += 1
+            name = f"{name}.{taken[name] - 1}"
+        taken[name] = 1
+        out.append(name)
+    return out
+
+
+def _numbered_apart():
+    @F.pandas_udf("array<string>")
+    def apart(names: pd.Series) -> pd.Series:
+        return names.map(lambda x: None if x is None else numbered(list(x)))
+
+    return apart
 
 
 def null_value(value: Column) -> Column:

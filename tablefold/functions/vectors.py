@@ -13,14 +13,3 @@ def dot(a: Column, b: Column) -> Column:
 
 def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; null when either vector has length zero."""
-    return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
-
-
-def unit(a: Column) -> Column:
-    """The vector at length one; null for a zero vector."""
-    scaled = lambda length: F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length))
-    return F.get(F.transform(F.array(norm(a)), scaled), 0)

@@ -3,7 +3,7 @@
 Most joins here are plain: Spark broadcasts a side it measures as small, before
 or while the query runs, and splits hot keys of the shuffled side. Where the left
 side holds file content, even one shuffle is worth avoiding, so the right side
-is counted first.
+is stored and its bytes are measured first.
 """
 
 from __future__ import annotations
@@ -13,16 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side of at most this many narrow rows (about 100 bytes each) may be broadcast.
-BROADCAST_ROWS = 2_000_000
+from tablefold.session import cut_lineage
+
+# A side of at most this many bytes, counted as JSON text, may be broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def sized_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Broadcast ``right`` if a count proves it small, so that ``left`` stays in place; else shuffle.
+    """Broadcast ``right`` if its measured size allows, so that ``left`` stays in place; else shuffle.
 
-    The count stops at ``max_rows``. ``right`` should be cheap to read twice.
+    ``right`` is computed once: it is stored, measured, and joined as stored.
     """
-    small = right.limit(max_rows + 1).count() <= max_rows
-    return left.join(F.broadcast(right) if small else right, list(on), how)
+    right = cut_lineage(right)
+    size = right.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return left.join(F.broadcast(right) if size <= max_bytes else right, list(on), how)

@@ -30,8 +30,8 @@ BLOCK_HEADERS = 50_000
 # Products are taken in tiles that stay in a core's cache.
 TILE_HEADERS = 256
 TILE_TYPES = 2048
-# Similarities this close are a tie.
-TOLERANCE = 1e-12
+# Similarities are compared after rounding, so that the order of a sum decides nothing.
+DECIMALS = 12
 
 
 def match_syntactic(columns: DataFrame, ontology: DataFrame, key: str = "file_id") -> DataFrame:
@@ -79,13 +79,12 @@ def _best_of(left: np.ndarray, right: np.ndarray, positions: np.ndarray, thresho
     for rows in range(0, len(left), TILE_HEADERS):
         top, at = score[rows : rows + TILE_HEADERS], found[rows : rows + TILE_HEADERS]
         for cols in range(0, len(right), TILE_TYPES):
-            tile = left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T
-            best = tile.max(axis=1)
-            # Within the tolerance of an earlier type the earlier one stays; the threshold is strict.
-            better = np.nonzero(best > np.where(at < 0, top, top + TOLERANCE))[0]
-            if len(better):
-                first = (tile[better] >= best[better, None] - TOLERANCE).argmax(axis=1)
-                top[better], at[better] = best[better], positions[cols + first]
+            tile = np.round(left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T, DECIMALS)
+            first = tile.argmax(axis=1)
+            best = tile[np.arange(len(tile)), first]
+            # An equal earlier type stays; the threshold is strict.
+            better = np.nonzero(best > top)[0]
+            top[better], at[better] = best[better], positions[cols + first[better]]
     kept = np.nonzero(found >= 0)[0]
     return kept, found[kept], score[kept]
 
@@ -94,7 +93,7 @@ def _all_above(left: np.ndarray, right: np.ndarray, positions: np.ndarray, thres
     parts = []
     for rows in range(0, len(left), TILE_HEADERS):
         for cols in range(0, len(right), TILE_TYPES):
-            tile = left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T
+            tile = np.round(left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T, DECIMALS)
             r, f = np.nonzero(tile > threshold)
             parts.append((r + rows, positions[f + cols], tile[r, f]))
     if not parts:
@@ -236,6 +235,16 @@ def match_semantic(
     )
 
 
+# What an annotation carries of its type, beside the label.
+ENTRY = ["id", "description", "domain", "range"]
+
+
+def with_entries(annotations: DataFrame, ontology: DataFrame) -> DataFrame:
+    """``annotations`` with the type's ``id, description, domain, range``; null where the ontology lacks them."""
+    known = [F.col(c) if c in ontology.columns else F.lit(None).cast("array<string>").alias(c) for c in ENTRY]
+    return annotations.join(ontology.select("ontology", "type_pos", *known), ["ontology", "type_pos"], "left")
+
+
 def embed_types(ontology: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
     """``(ontology, type_pos, vec)`` of every type label."""
     labels = ontology.select(F.col("cleaned_label").alias("text")).distinct()

@@ -119,7 +119,7 @@ def properties_outer(
     superproperties: DataFrame,
     language: str = "en",
 ) -> DataFrame:
-    """Distinct combinations of the optional attributes of each property, in property order.
+    """Distinct combinations of the optional attributes of each property.
 
     Inputs are ``(property, value)``; comments also carry ``lang``.
     """
@@ -161,26 +161,22 @@ def collapse_attribute(rows: DataFrame, attribute: str, label: str = "cleaned_la
 
 
 def collapse_labels(
-    rows: DataFrame, attributes: Sequence[str], label: str = "cleaned_label", pos: str = "row_pos",
-    max_list: int = 100_000,
+    rows: DataFrame, attributes: Sequence[str], label: str = "cleaned_label", pos: str = "row_pos"
 ) -> DataFrame:
-    """One row per label with every attribute as a list in row order.
+    """One row per label with every attribute as a list.
 
-    Lists of equal members shrink to one member. A list longer than
-    ``max_list`` is refused: keep such an attribute in the counted form of
-    ``collapse_attribute``.
+    A list holds each value as often as rows have it, values in the order they
+    come first; one value that all rows agree on is there once. Rows are counted
+    per value before they are gathered.
     """
-    longest = rows.groupBy(label).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    if longest > max_list:
-        raise ValueError(f"a label has {longest} rows; use collapse_attribute")
-
-    def listed(attribute: str) -> Column:
-        members = F.sort_array(F.collect_list(F.struct(pos, attribute)))
-        values = F.transform(members, lambda m: m[attribute])
-        shrunk = F.when(F.size(F.array_distinct(values)) == 1, F.slice(values, 1, 1)).otherwise(values)
-        return F.filter(shrunk, lambda x: x.isNotNull()).alias(attribute)
-
-    return rows.groupBy(label).agg(*[listed(a) for a in attributes])
+    out = rows.groupBy(label).agg(F.count("*").alias("_n")).drop("_n")
+    for attribute in attributes:
+        counted = collapse_attribute(rows, attribute, label, pos)
+        entries = F.sort_array(F.collect_list(F.struct("first_pos", "value", F.col("votes").cast("int").alias("votes"))))
+        repeated = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["value"], e["votes"])))
+        out = out.join(counted.groupBy(label).agg(repeated.alias(attribute)), label, "left")
+        out = out.withColumn(attribute, F.coalesce(attribute, F.array().cast("array<string>")))
+    return out
 
 
 def build_property_ontology(bindings: DataFrame, name: str = "dbpedia") -> DataFrame:

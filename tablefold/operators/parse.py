@@ -7,6 +7,7 @@ the tables described in ``Parsed``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tablefold.functions import delimited as d
 
+UNREADABLE = "not UTF-8"
+
 # Delimiters tried by the consistency count.
 CONSISTENT_CANDIDATES = [",", "\t", ";", "|", ":", " "]
 
@@ -66,7 +69,8 @@ def sniff_delimiters(files: DataFrame, mode: str = "header") -> DataFrame:
 
 
 def file_heads(files: DataFrame) -> DataFrame:
-    """``files`` with ``delimiter``, ``header`` (names) and ``body`` in place of ``content``."""
+    """``files`` with ``delimiter``, ``header`` (names), ``readable`` and ``body`` in place of ``content``."""
+    files = files.withColumn("readable", F.col("content").isNotNull())
     heads = settle(files, _parts=F.split("content", d.LINE_END, 2))
     heads = settle(heads, _head=F.get("_parts", F.lit(0)))
     heads = settle(heads, delimiter=d.sniff_delimiter(F.col("_head")))
@@ -75,14 +79,17 @@ def file_heads(files: DataFrame) -> DataFrame:
     return heads.withColumn("header", d.name_columns(fields)).withColumn("body", body).drop("content", "_parts", "_head")
 
 
-def file_records(heads: DataFrame) -> DataFrame:
-    """``heads`` with ``n_index`` (leading columns without a header), the kept ``records`` and ``n_bad``."""
+def file_records(heads: DataFrame, longest_field: int | None = None) -> DataFrame:
+    """``heads`` with ``n_index`` (leading columns without a header), the kept ``records`` and ``n_bad``.
+
+    Files without a delimiter have no records and null counts.
+    """
     delimiter, width = F.col("delimiter"), F.col("_width")
-    split = settle(heads.filter(delimiter.isNotNull()), _width=F.size("header"))
+    split = settle(heads, _width=F.size("header"))
     records = F.transform(d.split_records(F.col("body"), delimiter), lambda r: d.split_fields(r, delimiter))
     present = F.filter(records, lambda r: ~d.blank_record(r))
     split = settle(split, _present=F.coalesce(present, F.array().cast("array<array<string>>")))
-    split = settle(split, _sound=F.filter("_present", lambda r: ~F.exists(r, d.spoiled_field)))
+    split = settle(split, _sound=F.filter("_present", lambda r: ~F.exists(r, lambda f: d.spoiled_field(f, longest_field))))
     sizes = [F.when(F.size("_sound") > i, F.size(F.get("_sound", F.lit(i)))) for i in (0, 1)]
     split = settle(split, _first=sizes[0], _second=sizes[1])
     # The first record names the index columns when the second is as wide as both together.
@@ -105,15 +112,23 @@ def trimmed_fields(record: Column, n_index: Column, width: Column) -> Column:
     return F.when((n_index == 0) & (F.size(record) == width), record).otherwise(picked)
 
 
-def parse_files(files: DataFrame, keep: list[str] | None = None) -> Parsed:
+def parse_files(
+    files: DataFrame, keep: list[str] | None = None, cut: Callable[[DataFrame], DataFrame] | None = None,
+    longest_field: int | None = None,
+) -> Parsed:
     """The four tables of ``files(file_id, content)``; ``keep`` columns travel along.
 
-    Each table reads only what it needs: columns come from first lines alone.
+    Each table reads only what it needs: columns come from first lines alone. With
+    ``cut``, which stores a table, content is read once: the parsed files are
+    stored, and all four tables come from there.
     """
     keys = ["file_id", *(keep or [])]
     heads = file_heads(files.select(*keys, "content"))
+    every = file_records(heads, longest_field)
+    if cut is not None:
+        every = heads = cut(every)
     sound = heads.filter(F.col("delimiter").isNotNull())
-    read = file_records(heads)
+    read = every.filter(F.col("delimiter").isNotNull())
     rows = read.select(*keys, "n_index", "_width", F.posexplode("records").alias("row_idx", "_record"))
     fields = F.transform(trimmed_fields(F.col("_record"), F.col("n_index"), F.col("_width")), d.unquote)
     return Parsed(
@@ -127,7 +142,7 @@ def parse_files(files: DataFrame, keep: list[str] | None = None) -> Parsed:
         columns=sound.select(*keys, F.posexplode("header").alias("col_idx", "header")),
         rows=rows.select(*keys, F.col("row_idx").cast("bigint").alias("row_idx"), fields.alias("fields")),
         rejects=heads.filter(F.col("delimiter").isNull()).select(
-            *keys, F.lit("parse").alias("stage"), F.lit("no delimiter").alias("reason")
+            *keys, F.lit("parse").alias("stage"), F.when(F.col("readable"), "no delimiter").otherwise(UNREADABLE).alias("reason")
         ),
     )
 

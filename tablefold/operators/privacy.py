@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablefold.functions.delimited import null_value
 from tablefold.operators.joins import sized_join
 from tablefold.operators.names import seeded_hash
 from tablefold.operators.numbering import top_k
@@ -68,11 +69,10 @@ def final_types(replaced: DataFrame, key: str = "file_id") -> DataFrame:
 def stand_in(personal_type: Column, seed: int, key: Column, col_idx: Column, row_idx: Column) -> Column:
     """A made-up value that depends on the place of the cell, not on what it holds."""
     digest = F.conv(F.substring(seeded_hash(seed, key, col_idx, row_idx), 1, 8), 16, 10).cast("bigint")
-    chosen = F.lit(None).cast("string")
-    for name, values in REPLACEMENTS.items():
-        options = F.array(*[F.lit(v) for v in values])
-        chosen = F.when(personal_type == name, F.get(options, F.pmod(digest, F.lit(len(values))).cast("int"))).otherwise(chosen)
-    return chosen
+    known = F.create_map(*[x for name, values in REPLACEMENTS.items() for x in (F.lit(name), F.array(*map(F.lit, values)))])
+    sizes = {len(values) for values in REPLACEMENTS.values()}
+    assert len(sizes) == 1  # one size, so one remainder serves every type
+    return F.get(F.element_at(known, personal_type), F.pmod(digest, F.lit(sizes.pop())).cast("int"))
 
 
 def anonymize_cells(cells: DataFrame, replaced: DataFrame, seed: int = 0, key: str = "file_id") -> DataFrame:
@@ -145,6 +145,15 @@ def bias_values(cells: DataFrame, types: DataFrame, key: str = "file_id", carry:
     return joined.filter(F.col("value").isNotNull()).select(*carry, key, "col_idx", "row_idx", "bias_type", "value")
 
 
+def bias_values_of_rows(rows: DataFrame, types: DataFrame, key: str = "file_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``bias_values`` from rows ``(key, row_idx, fields)``: only the bias columns of a row are taken out."""
+    marked = bias_columns(types).groupBy(key).agg(F.collect_list(F.struct("col_idx", "bias_type")).alias("_columns"))
+    joined = sized_join(rows, marked, [key]).select(*carry, key, "row_idx", "fields", F.explode("_columns").alias("_c"))
+    value = F.get("fields", F.col("_c.col_idx"))
+    taken = joined.select(*carry, key, "_c.col_idx", "row_idx", "_c.bias_type", F.when(~null_value(value), value).alias("value"))
+    return taken.filter(F.col("value").isNotNull())
+
+
 def bias_top_values(values: DataFrame, order: list[str], k: int = TOP_VALUES, groups: tuple[str, ...] = ()) -> DataFrame:
     """The ``k`` most frequent values per bias type; ties go to the value seen first in ``order``."""
     counted = values.groupBy(*groups, "bias_type", "value").agg(

@@ -94,12 +94,13 @@ def table_domains_or_none(tables: DataFrame, domains: DataFrame, key: str = "fil
 def funnel(staged: DataFrame, topic: str = "topic") -> DataFrame:
     """Files per topic that reach each stage.
 
-    ``staged`` has one row per file with the flags ``licensed``, ``parsed`` and ``social``.
+    ``staged`` has one row per URL with the flags ``licensed``, ``landed``, ``parsed`` and ``social``.
     """
     parsed = F.col("licensed") & F.col("parsed")
     return staged.groupBy(topic).agg(
         F.count("*").alias("files"),
         F.count_if("licensed").alias("licensed_files"),
+        F.count_if(F.col("licensed") & F.col("landed")).alias("landed_files"),
         F.count_if(parsed & F.col("social")).alias("removed_social_tables"),
         F.count_if(parsed & ~F.col("social")).alias("written_tables"),
     )

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefold import sinks
-from tablefold.functions import text
 from tablefold.operators import domain, filters, match, names, privacy, stats
 from tablefold.operators.joins import sized_join
 from tablefold.operators.long_files import parse_lines
 from tablefold.operators.parse import Parsed, cells_of, infer_dtypes, parse_files
+from tablefold.session import cut_lineage
 
 _ORIGIN = ["topic", "url_pos", "url", "license"]
 
@@ -28,10 +28,11 @@ class Corpus:
     ``long_files(topic, file_name, file_id, line_pos, line)``. ``domains`` are
     the domain votes of types, taken from the lists in ``ontology`` unless given.
 
-    Tables are planned when first asked for. ``cut`` is applied to those that
-    several others read (licensed URLs, columns, tables, annotations; never
-    cells): on a cluster pass ``session.cut_lineage``, or a function that writes
-    a table and reads it back.
+    Tables are planned when first asked for. ``cut`` stores those that several
+    others read (licensed URLs, parsed files, columns, tables, annotations), so that
+    content is read and parsed once: ``session.cut_lineage``, or a function that
+    writes a table and reads it back. ``name_mode`` and ``name_base`` say how landed
+    files were named (``dedup_file_names``).
     """
 
     files: DataFrame
@@ -45,12 +46,14 @@ class Corpus:
     type_vectors: DataFrame | None = None
     threshold: float = match.SIMILARITY_THRESHOLD
     seed: int = 0
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df
+    cut: Callable[[DataFrame], DataFrame] = cut_lineage
+    name_mode: str = "exact"
+    name_base: str = "cut"
 
     @cached_property
     def named(self) -> DataFrame:
         """The manifest with a unique file name per URL."""
-        return names.dedup_file_names(self.manifest)
+        return self.cut(names.dedup_file_names(self.manifest, self.name_mode, self.name_base))
 
     @cached_property
     def licensed(self) -> DataFrame:
@@ -71,23 +74,34 @@ class Corpus:
 
     @cached_property
     def origins(self) -> DataFrame:
-        """``file_id`` with topic, URL and license of every licensed file."""
+        """``file_id`` with topic, URL and license of every licensed file that has landed."""
         short = self._kept_files.select("file_id", *_ORIGIN)
-        return short if self._kept_long is None else short.unionByName(self._kept_long)
+        return self.cut(short if self._kept_long is None else short.unionByName(self._kept_long))
 
     @cached_property
     def parsed(self) -> Parsed:
-        short = parse_files(self._kept_files.select("file_id", "content"))
+        short = parse_files(self._kept_files.select("file_id", "content"), cut=self.cut)
         if self._kept_long is None:
             return short
-        lines = self.long_files.select("file_id", "line_pos", "line")
-        long = parse_lines(sized_join(lines, self._kept_long.select("file_id"), ["file_id"]))
+        lines = self.long_files.drop("topic", "file_name")
+        long = parse_lines(sized_join(lines, self._kept_long.select("file_id"), ["file_id"]), cut=self.cut)
         both = {n: getattr(short, n).unionByName(getattr(long, n)) for n in ("files", "columns", "rows", "rejects")}
         return Parsed(**both)
 
+    @cached_property
+    def missing(self) -> DataFrame:
+        """Licensed URLs whose file has not landed."""
+        return self.licensed.join(self.origins.select("topic", "url_pos"), ["topic", "url_pos"], "left_anti")
+
     @property
     def rejects(self) -> DataFrame:
-        return self.parsed.rejects
+        """``(topic, url, file_id, stage, reason)`` of licensed files that are not there or cannot be parsed."""
+        unread = self.parsed.rejects.join(self.origins, "file_id").select("topic", "url", "file_id", "stage", "reason")
+        absent = self.missing.select(
+            "topic", "url", F.lit(None).cast(dict(unread.dtypes)["file_id"]).alias("file_id"),
+            F.lit("missing").alias("stage"), F.lit("not landed").alias("reason"),
+        )
+        return unread.unionByName(absent)
 
     @cached_property
     def _all_columns(self) -> DataFrame:
@@ -114,7 +128,7 @@ class Corpus:
             vectors = match.embed_types(self.ontology, self.word_vectors, self.dim)
         exact = match.match_syntactic(self.columns, self.ontology)
         alike = match.match_semantic(self.columns, self.ontology, vectors, self.word_vectors, self.dim, self.threshold)
-        return self.cut(exact.unionByName(alike))
+        return self.cut(match.with_entries(exact.unionByName(alike), self.ontology))
 
     @cached_property
     def domains(self) -> DataFrame:
@@ -138,17 +152,19 @@ class Corpus:
     @cached_property
     def staged(self) -> DataFrame:
         """One row per manifest URL with the stages it reached."""
-        parsed = self.parsed.files.select("file_id", F.lit(True).alias("parsed"))
-        flags = (
-            self.origins.select("file_id", "topic")
+        yes = F.lit(True)
+        licensed = self.licensed.select("topic", "url_pos", yes.alias("licensed"))
+        landed = self.origins.select("topic", "url_pos", "file_id", yes.alias("landed"))
+        parsed = self.parsed.files.select("file_id", yes.alias("parsed"))
+        return (
+            self.named.select("topic", "url_pos")
+            .join(licensed, ["topic", "url_pos"], "left")
+            .join(landed, ["topic", "url_pos"], "left")
             .join(parsed, "file_id", "left")
-            .join(self.social.withColumn("social", F.lit(True)), "file_id", "left")
-            .fillna(False, ["parsed", "social"])
-            .select("topic", F.lit(True).alias("licensed"), "parsed", "social")
+            .join(self.social.withColumn("social", yes), "file_id", "left")
+            .fillna(False, ["licensed", "landed", "parsed", "social"])
+            .select("topic", "licensed", "landed", "parsed", "social")
         )
-        missing = self.named.join(self.licensed.select("topic", "url_pos"), ["topic", "url_pos"], "left_anti")
-        no = F.lit(False)
-        return flags.unionByName(missing.select("topic", no.alias("licensed"), no.alias("parsed"), no.alias("social")))
 
 
 def table_metadata(corpus: Corpus) -> DataFrame:
@@ -165,7 +181,7 @@ def table_metadata(corpus: Corpus) -> DataFrame:
     for ontology in stats.ONTOLOGIES:
         for method in stats.METHODS:
             mine = (F.col("ontology") == ontology) & (F.col("method") == method)
-            maps.append(_header_map(mine, F.col("cleaned_label"), f"{ontology}_{method}_column_types"))
+            maps.append(_header_map(mine, F.struct("cleaned_label", *match.ENTRY), f"{ontology}_{method}_column_types"))
             if method == "semantic":
                 maps.append(_header_map(mine, F.col("similarity"), f"{ontology}_semantic_similarities"))
     joined = (
@@ -209,10 +225,7 @@ def topic_stats(corpus: Corpus) -> DataFrame:
     annotated = corpus.annotations.join(placed, "file_id")
     counts = stats.type_counts(annotated, "topic").withColumn("kind", F.concat_ws("_", "ontology", "method"))
     per_kind = _nested_counts(counts, "kind", "cleaned_label", "n_columns", "annotation_type_counts")
-    bias = privacy.bias_values(
-        cells_of(corpus.rows.join(placed, "file_id").select("file_id", "topic", "table_id", "row_idx", "fields")),
-        corpus.types, carry=("topic", "table_id"),
-    )
+    bias = privacy.bias_values_of_rows(corpus.rows, corpus.types).join(placed, "file_id")
     top = privacy.bias_top_values(bias, ["table_id", "col_idx", "row_idx"], groups=("topic",))
     typed = corpus.types.join(placed, "file_id")
     return (
@@ -261,16 +274,16 @@ def topic_series(corpus: Corpus, chunk_tables: int = stats.CHUNK_TABLES) -> Data
 
 
 def write_corpus(corpus: Corpus, path: str) -> None:
-    """All tables of the corpus as Parquet by topic; statistics as JSON, last."""
+    """All tables of the corpus as Parquet by topic; statistics as JSON, last.
+
+    Topics written before stay unless this corpus has them too; writing a corpus
+    again changes nothing.
+    """
     topics = corpus.tables.select("file_id", "topic")
     sinks.write_partitioned(corpus.tables, f"{path}/tables")
     for name in ("columns", "annotations", "domains", "replaced", "rows"):
         sinks.write_partitioned(getattr(corpus, name).join(topics, "file_id"), f"{path}/{name}")
     sinks.write_partitioned(table_metadata(corpus), f"{path}/metadata")
-    topic_series(corpus).write.mode("overwrite").partitionBy("series").json(f"{path}/topic_series")
+    sinks.write_partitioned(corpus.rejects, f"{path}/rejects")
+    sinks.write_partitioned(topic_series(corpus), f"{path}/topic_series")
     sinks.write_topic_stats(topic_stats(corpus), f"{path}/topic_stats")
-
-
-def output_name(unique_name):
-    """Name of a table's own file."""
-    return F.concat(text.strip_extension(unique_name), F.lit(".parquet"))

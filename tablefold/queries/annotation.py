@@ -61,9 +61,9 @@ def similarity_pairs(spark, sf_dir):
 
 
 def nearest_label(spark, sf_dir):
-    """For each embedding the best one of every label by similarity; labels act as ontologies."""
+    """For each embedding, read backwards, the best one of every label by similarity; labels act as ontologies."""
     rows = c.load(spark, sf_dir, "embeddings")
-    heads = rows.select(F.col("vec_id").cast("string").alias("header"), F.col("embedding").alias("vec"))
+    heads = rows.select(F.col("vec_id").cast("string").alias("header"), F.reverse("embedding").alias("vec"))
     types = rows.select(F.col("label").cast("string").alias("ontology"), F.col("vec_id").alias("type_pos"), F.col("embedding").alias("vec"))
     best = match.best_types(c.spread(heads), types, c.DIM, 0.3)
     return best.select(F.col("header").cast("bigint").alias("vec_id"), F.col("ontology").cast("int").alias("label"),
@@ -78,6 +78,16 @@ def column_types(spark, sf_dir):
     return filters.column_types(_semantic(spark, sf_dir))
 
 
+def annotation_entries(spark, sf_dir):
+    """Exact annotations with the entry of their type: its first row as id, its domains as a list."""
+    rows = c.label_rows(spark, sf_dir, "schema")
+    entry = onto.collapse_labels(rows.withColumn("id", F.col("row_pos").cast("string")), ["id", "domain"])
+    ontology = c.ontology(spark, sf_dir).join(entry.withColumn("ontology", F.lit("schema")), ["ontology", "cleaned_label"])
+    found = match.with_entries(_syntactic(spark, sf_dir).filter(F.col("ontology") == "schema"), ontology)
+    return found.select("file_id", "col_idx", "header", "type_pos", F.size("id").alias("n_ids"), F.array_join("domain", ",").alias("domains"),
+                        F.col("description").isNull().alias("undescribed"))
+
+
 def type_domains(spark, sf_dir):
     return c.domains(spark, sf_dir)
 
@@ -109,8 +119,8 @@ def annotated_columns(spark, sf_dir):
 
 
 def label_uniqueness(spark, sf_dir):
-    """Labels per ontology and how many of them repeat."""
-    types = c.ontology(spark, sf_dir)
+    """Labels per ontology and domain, and how many of them repeat over domains."""
+    types = c.domains(spark, sf_dir).select("ontology", "cleaned_label")
     repeated = onto.assert_unique_labels(types)
     return types.groupBy("ontology").agg(F.count("*").alias("n_labels")).join(
         repeated.groupBy("ontology").agg(F.count("*").alias("n_repeated")), "ontology", "left"
@@ -120,7 +130,7 @@ def label_uniqueness(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        syntactic_types, text_vectors, semantic_types, similarity_pairs, nearest_label, column_types, type_domains,
+        syntactic_types, text_vectors, semantic_types, similarity_pairs, nearest_label, column_types, annotation_entries, type_domains,
         table_domains, table_domains_semantic, type_counts, type_similarities, annotated_columns, label_uniqueness,
     )
 }
@@ -172,9 +182,15 @@ ORACLE = {
     "semantic_types": f"{_ANN} SELECT * FROM sem",
     "similarity_pairs": f"""SELECT a.vec_id, b.vec_id AS other_id, round({_COS}, 4) AS similarity
 FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_COS} > 0.3""",
-    "nearest_label": f"""WITH s AS (SELECT a.vec_id, b.label, b.vec_id AS other_id, round({_COS}, 12) AS sim FROM embeddings a, embeddings b)
+    "nearest_label": f"""WITH s AS (SELECT a.vec_id, b.label, b.vec_id AS other_id, round({_COS.replace('a.embedding', 'list_reverse(a.embedding)')}, 12) AS sim FROM embeddings a, embeddings b)
 SELECT vec_id, label, other_id, round(sim, 4) AS similarity FROM s WHERE sim > 0.3
 QUALIFY row_number() OVER (PARTITION BY vec_id, label ORDER BY sim DESC, other_id) = 1""",
+    "annotation_entries": f"""WITH {_SYN},
+ids AS (SELECT cleaned_label, count(DISTINCT row_pos) AS k, count(*) AS n FROM label_rows WHERE ontology = 'schema' GROUP BY ALL),
+doms AS (SELECT cleaned_label, string_agg(array_to_string(list_transform(range(votes), lambda i: domain), ','), ',' ORDER BY first_pos, domain) AS domains
+  FROM type_domains WHERE ontology = 'schema' GROUP BY ALL)
+SELECT file_id, col_idx, header, type_pos, CASE WHEN k = 1 THEN 1 ELSE n END::INT AS n_ids, domains, true AS undescribed
+FROM syn JOIN ids USING (cleaned_label) JOIN doms USING (cleaned_label) WHERE ontology = 'schema'""",
     "column_types": f"""{_ANN} SELECT file_id, col_idx, min(header) AS header,
 max(cleaned_label) FILTER (ontology = 'dbpedia') AS dbpedia_type, max(cleaned_label) FILTER (ontology = 'schema') AS schema_type
 FROM sem GROUP BY file_id, col_idx""",
@@ -191,5 +207,7 @@ n AS (SELECT file_id, ontology, method, count(*) AS n FROM a GROUP BY ALL)
 SELECT d.doc_id AS file_id, o.ontology, m.method, coalesce(n.n, 0) AS n_columns FROM documents d,
 (VALUES ('dbpedia'), ('schema')) o(ontology), (VALUES ('syntactic'), ('semantic')) m(method)
 LEFT JOIN n ON n.file_id = d.doc_id AND n.ontology = o.ontology AND n.method = m.method""",
-    "label_uniqueness": f"WITH {c.LABELS_SQL} SELECT ontology, count(*) AS n_labels, 0::BIGINT AS n_repeated FROM types GROUP BY ontology",
+    "label_uniqueness": f"""WITH {c.LABELS_SQL},
+n AS (SELECT ontology, cleaned_label, count(*) AS n FROM type_domains WHERE domain IS NOT NULL GROUP BY ALL)
+SELECT ontology, sum(n)::BIGINT AS n_labels, count(*) FILTER (n > 1) AS n_repeated FROM n GROUP BY ontology""",
 }

@@ -14,10 +14,11 @@ from tablefold.queries import extraction
 from tablefold.session import cut_lineage
 
 CHUNK = 16
+LANDED_CHARS = 1000
 
 
-def _corpus(spark, sf_dir, cut=lambda df: df) -> plan.Corpus:
-    docs = c.files(spark, sf_dir)
+def _corpus(spark, sf_dir, cut=cut_lineage, files=None) -> plan.Corpus:
+    docs = c.files(spark, sf_dir) if files is None else files
     name = F.concat("file_id", F.lit(".csv"))
     files = docs.select("topic", name.alias("file_name"), "file_id", "content")
     manifest = extraction._doc_manifest(spark, sf_dir)
@@ -36,8 +37,22 @@ def corpus_tables(spark, sf_dir):
     return tables.select("topic", "table_id", "file_id", "n_rows", "n_columns", F.col("license.name").alias("license"))
 
 
+def _faulty(spark, sf_dir) -> plan.Corpus:
+    """Short documents have not landed, Spanish ones have a social header, French ones no header line."""
+    docs = c.load(spark, sf_dir, "documents").filter(F.length("text") >= LANDED_CHARS)
+    content = F.when(F.col("lang") == "es", F.concat(F.lit("tweet "), "text")).when(F.col("lang") == "fr", F.concat(F.lit("\n"), "text"))
+    return _corpus(spark, sf_dir, files=c.spread(docs).select(
+        F.col("doc_id").alias("file_id"), F.col("source").alias("topic"), F.coalesce(content, "text").alias("content")
+    ))
+
+
 def funnel(spark, sf_dir):
-    return stats.funnel(_corpus(spark, sf_dir).staged)
+    return stats.funnel(_faulty(spark, sf_dir).staged)
+
+
+def corpus_rejects(spark, sf_dir):
+    """Licensed files that are not there or cannot be parsed, with their URLs."""
+    return _faulty(spark, sf_dir).rejects
 
 
 def table_ids(spark, sf_dir):
@@ -88,13 +103,13 @@ def typed_table(spark, sf_dir):
     cols = {"c_custkey": "int64", "c_name": "object", "c_nationkey": "int64", "c_acctbal": "float64", "c_mktsegment": "object"}
     fields = F.array(*[F.col(x).cast("string") for x in cols])
     rows = c.load(spark, sf_dir, "customer").select(fields.alias("fields"))
-    return rows.select(*[sinks.typed_value(F.get("fields", F.lit(i)), t).alias(x) for i, (x, t) in enumerate(cols.items())])
+    return rows.select(*sinks.typed_columns(F.col("fields"), list(cols), list(cols.values())))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        corpus_tables, funnel, table_ids, event_ids, shape_lists, dtype_share_lists, domain_lists, table_metadata_json,
+        corpus_tables, funnel, corpus_rejects, table_ids, event_ids, shape_lists, dtype_share_lists, domain_lists, table_metadata_json,
         topic_stats, typed_table,
     )
 }
@@ -123,11 +138,17 @@ ann AS (SELECT * FROM syn UNION ALL BY NAME SELECT * FROM sem),
 
 ORACLE = {
     "corpus_tables": f"WITH {_PARSE}, {_TABLES} SELECT * FROM tables",
-    "funnel": f"""WITH {_PARSE}, {_TABLES}
-SELECT source AS topic, count(*) AS files, count(kept.url_pos) AS licensed_files,
-  count(*) FILTER (kept.url_pos IS NOT NULL AND w.social) AS removed_social_tables,
-  count(*) FILTER (kept.url_pos IS NOT NULL AND NOT w.social) AS written_tables
-FROM documents LEFT JOIN kept ON kept.url_pos = doc_id LEFT JOIN w ON w.file_id = doc_id GROUP BY source""",
+    "funnel": f"""WITH {extraction._LICENSES},
+l AS (SELECT source, lang, url_pos IS NOT NULL AS licensed, url_pos IS NOT NULL AND length(text) >= {LANDED_CHARS} AS landed
+  FROM documents LEFT JOIN kept ON kept.url_pos = doc_id)
+SELECT source AS topic, count(*) AS files, count(*) FILTER (licensed) AS licensed_files, count(*) FILTER (landed) AS landed_files,
+  count(*) FILTER (landed AND lang = 'es') AS removed_social_tables,
+  count(*) FILTER (landed AND lang NOT IN ('es', 'fr')) AS written_tables
+FROM l GROUP BY source""",
+    "corpus_rejects": f"""WITH {extraction._LICENSES},
+l AS (SELECT d.*, 'https://host/' || source || '/' || lang || '/blob/main/' || doc_id || '.csv' AS url FROM documents d JOIN kept ON url_pos = doc_id)
+SELECT source AS topic, url, NULL::BIGINT AS file_id, 'missing' AS stage, 'not landed' AS reason FROM l WHERE length(text) < {LANDED_CHARS}
+UNION ALL SELECT source, url, doc_id, 'parse', 'no delimiter' FROM l WHERE length(text) >= {LANDED_CHARS} AND lang = 'fr'""",
     "table_ids": "SELECT doc_id, source AS topic, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS table_id FROM documents",
     "event_ids": "SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS place FROM events",
     "shape_lists": f"""WITH {_PARSE}, {_TABLES} SELECT topic, (table_id // {CHUNK})::BIGINT AS chunk,

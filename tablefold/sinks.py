@@ -3,43 +3,64 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tablefold.functions import text
 from tablefold.functions.delimited import null_value
 
 METADATA_KEY = "table_annotations"
+HEADER_KEY = "header"
 # Spark types of the inferred column types.
 SPARK_TYPES = {"int64": "bigint", "float64": "double", "bool": "boolean", "uint64": "decimal(20,0)", "object": "string"}
 
 
-def write_partitioned(df: DataFrame, path: str, topic: str = "topic", mode: str = "overwrite") -> None:
-    """Parquet by topic. The rebalance hint sizes the files and splits large topics over tasks."""
+def _by_topic(df: DataFrame, topic: str = "topic") -> DataFrameWriter:
+    """Written by topic; topics that are written again are replaced, others stay.
+
+    The rebalance hint sizes the files and splits large topics over tasks.
+    """
     keyed = df.withColumn("topic_key", text.topic_key(F.col(topic)))
-    keyed.hint("rebalance", F.col("topic_key")).write.mode(mode).partitionBy("topic_key").parquet(path)
+    writer = keyed.hint("rebalance", F.col("topic_key")).write.mode("overwrite")
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy("topic_key")
+
+
+def write_partitioned(df: DataFrame, path: str, topic: str = "topic") -> None:
+    """Parquet by topic."""
+    _by_topic(df, topic).parquet(path)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """File name to URL, one JSON object per line under each topic."""
-    named = manifest.select("topic", "url_pos", F.col("unique_name").alias("file_name"), "url")
-    keyed = named.withColumn("topic_key", text.topic_key(F.col("topic")))
-    keyed.hint("rebalance", F.col("topic_key")).write.mode("overwrite").partitionBy("topic_key").json(path)
+    _by_topic(manifest.select("topic", "url_pos", F.col("unique_name").alias("file_name"), "url")).json(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.write.mode("append").json(path)
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Extraction counts, one JSON object per topic."""
+    _by_topic(metrics).json(path)
 
 
 def write_topic_stats(stats: DataFrame, path: str) -> None:
     """One JSON object per topic. Written last: a topic found here is finished."""
-    stats.write.mode("append").json(path)
+    _by_topic(stats).json(path)
 
 
 def read_finished(spark: SparkSession, path: str) -> DataFrame:
-    """Topics with statistics."""
-    return spark.read.schema("topic string").json(path).distinct()
+    """``(topic, files)``: topics with statistics and how many files they count; none before the first run."""
+    schema = "topic string, files bigint"
+    try:
+        return spark.read.schema(schema).json(path).groupBy("topic").agg(F.max("files").alias("files"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def with_table_metadata(df: DataFrame, metadata: dict) -> DataFrame:
@@ -47,7 +68,7 @@ def with_table_metadata(df: DataFrame, metadata: dict) -> DataFrame:
     described = []
     for field in df.schema.fields:
         merged = {METADATA_KEY: json.dumps(metadata), **field.metadata}
-        described.append(F.col(f"`{field.name}`").alias(field.name, metadata=merged))
+        described.append(_named(field.name).alias(field.name, metadata=merged))
     return df.select(*described)
 
 
@@ -64,6 +85,27 @@ def typed_value(field: Column, dtype: str) -> Column:
     return value if dtype == "object" else F.trim(value).try_cast(SPARK_TYPES[dtype])
 
 
+def physical_names(headers: Sequence[str]) -> list[str]:
+    """Column names that differ in more than case: a header that an earlier one equals gets its place as a suffix."""
+    taken: set[str] = set()
+    out = []
+    for i, name in enumerate(headers):
+        while name.lower() in taken:
+            name = f"{name}_{i}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def typed_columns(fields: Column, headers: Sequence[str], dtypes: Sequence[str]) -> list[Column]:
+    """Typed columns of a row's fields; each keeps its header in the field's metadata."""
+    named = zip(physical_names(headers), headers, dtypes, strict=True)
+    return [
+        typed_value(F.get(fields, F.lit(i)), dtype).alias(name, metadata={HEADER_KEY: header})
+        for i, (name, header, dtype) in enumerate(named)
+    ]
+
+
 def wide_table(rows: DataFrame, columns: DataFrame, file_id) -> DataFrame:
     """One table of the corpus as a DataFrame of its own, typed and in row order.
 
@@ -71,7 +113,7 @@ def wide_table(rows: DataFrame, columns: DataFrame, file_id) -> DataFrame:
     """
     heads = columns.filter(F.col("file_id") == F.lit(file_id)).orderBy("col_idx").select("header", "dtype").collect()
     mine = rows.filter(F.col("file_id") == F.lit(file_id)).orderBy("row_idx")
-    return mine.select(*[typed_value(F.get("fields", F.lit(i)), h["dtype"]).alias(h["header"]) for i, h in enumerate(heads)])
+    return mine.select(*typed_columns(F.col("fields"), [h["header"] for h in heads], [h["dtype"] for h in heads]))
 
 
 def write_wide(rows: DataFrame, columns: DataFrame, file_id, path: str, metadata: dict | None = None) -> None:

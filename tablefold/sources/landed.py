@@ -11,6 +11,7 @@ SEARCH_SCHEMA = "total_count bigint, items array<struct<html_url:string>>"
 LICENSE_SCHEMA = (
     "owner string, repo string, status int, license struct<key:string,name:string,spdx_id:string,url:string>"
 )
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 # Files up to this size are parsed inside one row; larger ones as lines.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
@@ -106,11 +107,13 @@ def read_licenses(spark: SparkSession, path: str) -> DataFrame:
 def read_files(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """``(topic, file_name, file_id, n_bytes, content)`` of files small enough for one row.
 
-    Bytes that are not UTF-8 give a null content, which the parser rejects.
+    Bytes that are not UTF-8 give a null content, which the parser rejects; a
+    byte-order mark is dropped.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.url_decode(F.element_at(F.split("path", "/"), -1))
-    decoded = F.col("content").cast("string")
+    bare = F.when(F.substring("content", 1, 3) == BYTE_ORDER_MARK, F.expr("substring(content, 4)")).otherwise(F.col("content"))
+    decoded = bare.cast("string")
     return files.filter(F.col("length") <= max_bytes).select(
         _folder(F.col("path")).alias("topic"), name.alias("file_name"), F.col("path").alias("file_id"),
         F.col("length").alias("n_bytes"), F.when(F.is_valid_utf8(decoded), decoded).alias("content"),
@@ -118,21 +121,35 @@ def read_files(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES
 
 
 def read_long_files(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """``(topic, file_name, file_id, line_pos, line)`` of the files ``read_files`` leaves out.
+    """``(topic, file_name, file_id, line_pos, line, line_end, readable)`` of the files ``read_files`` leaves out.
 
     A file is read in splits by many tasks. Each line starts at its own byte, and
     a split at a multiple of many bytes, so split start plus place in the split
-    grows along the file.
+    grows along the file. Lines are cut at line feeds and then at carriage returns;
+    ``line_end`` keeps what ended a line, as quoted fields may hold it; ``readable`` is
+    false for bytes that are not UTF-8.
     """
-    lines = spark.read.text(path, recursiveFileLookup=True).filter(F.col("_metadata.file_size") > max_bytes)
+    lines = spark.read.text(path, recursiveFileLookup=True, lineSep="\n").filter(F.col("_metadata.file_size") > max_bytes)
     lines = lines.select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_id"),
+        F.split("value", "\r", -1).alias("parts"), F.is_valid_utf8("value").alias("readable"), F.col("_metadata.file_path").alias("file_id"),
         F.col("_metadata.file_block_start").alias("block"),
     ).withColumn("place", F.monotonically_increasing_id())
-    inside = Window.partitionBy("file_id", "block").orderBy("place")
-    numbered = lines.withColumn("line_pos", F.col("block") + F.row_number().over(inside) - 1)
+    last = F.size("parts") - 1
+    returned = (last > 0) & (F.element_at("parts", -1) == "")  # the line feed followed a carriage return
+    cut = lines.select(
+        "file_id", "block", "place", "readable", (last - returned.cast("int")).alias("last"), returned.alias("returned"),
+        F.posexplode("parts").alias("part", "line"),
+    ).filter(F.col("part") <= F.col("last"))
+    ended = F.when(F.col("part") < F.col("last"), "\r").when(F.col("returned"), "\r\n").otherwise("\n")
+    # a part takes a byte at least, so numbers stay below the start of the next split
+    inside = Window.partitionBy("file_id", "block").orderBy("place", "part")
+    numbered = cut.withColumn("line_end", ended).withColumn("line_pos", F.col("block") + F.row_number().over(inside) - 1)
+    marked = (F.col("line_pos") == 0) & F.startswith("line", F.lit("\ufeff"))
+    bare = F.when(marked, F.substring("line", F.lit(2), F.length("line"))).otherwise(F.col("line"))
     name = F.url_decode(F.element_at(F.split("file_id", "/"), -1))
-    return numbered.select(_folder(F.col("file_id")).alias("topic"), name.alias("file_name"), "file_id", "line_pos", "line")
+    return numbered.select(
+        _folder(F.col("file_id")).alias("topic"), name.alias("file_name"), "file_id", "line_pos", bare.alias("line"), "line_end", "readable"
+    )
 
 
 def read_word_vectors(spark: SparkSession, path: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Link fields hold one object or a list, so they are read as JSON text.
+# Fields of a node. Link fields hold one object or a list, so they are read as JSON text.
 _NODE_FIELDS = [
     "@id", "@type", "rdfs:comment", "rdfs:label", "rdfs:subClassOf", "schema:domainIncludes",
     "schema:rangeIncludes", "rdfs:subPropertyOf",
@@ -41,13 +43,13 @@ def explode_bindings(pages: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "binding_pos", *[F.col(f"b.{f}.value").alias(f) for f in BINDING_FIELDS])
 
 
-def read_sparql_json(spark: SparkSession, path: str, page_rows: int = 1_000_000) -> DataFrame:
-    """All rows of landed result pages; ``row_pos`` orders them by page file name and place."""
+def read_sparql_json(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of landed result pages; ``row_pos`` orders them by page number, page file name and place."""
     pages = spark.read.schema(PAGE_SCHEMA).json(path, multiLine=True)
     pages = pages.withColumn("page", F.col("_metadata.file_name"))
     rows = explode_bindings(pages, "page")
     number = F.coalesce(F.regexp_extract("page", "([0-9]+)", 1).try_cast("bigint"), F.lit(0))
-    return rows.withColumn("row_pos", number * page_rows + F.col("binding_pos")).drop("page", "binding_pos")
+    return rows.withColumn("row_pos", F.struct(number.alias("number"), "page", "binding_pos")).drop("page", "binding_pos")
 
 
 def snapshot_stamp(date: str | None = None) -> str:
@@ -66,8 +68,29 @@ def write_ontology(ontology: DataFrame, path: str, date: str | None = None) -> N
     )
 
 
-def read_ontology(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """The snapshot of a date; only its folders are read."""
-    table = spark.read.option("basePath", path).parquet(path)
-    stamp = F.col("snapshot_date").cast("string") == snapshot_stamp(date)
-    return table.filter(stamp).drop("snapshot_date")
+def read_ontology(
+    spark: SparkSession, path: str, date: str | None = None, build: Callable[[], DataFrame] | None = None
+) -> DataFrame:
+    """The snapshot of a date; only its folders are read.
+
+    One that is absent is built, stored and read back; without ``build`` it is an error.
+    """
+    stamp = snapshot_stamp(date)
+
+    def stored() -> DataFrame | None:
+        try:
+            table = spark.read.option("basePath", path).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        found = table.filter(F.col("snapshot_date").cast("string") == stamp).drop("snapshot_date")
+        return None if found.isEmpty() else found
+
+    found = stored()
+    if found is None and build is not None:
+        write_ontology(build(), path, stamp)
+        found = stored()
+    if found is None:
+        raise ValueError(f"no ontology of {stamp} in {path}")
+    return found

@@ -18,19 +18,22 @@ from tablefold.operators.names import pending_topics
 
 
 def process_pending(
-    spark: SparkSession, landing: str, finished: str | None, checkpoint: str, handle: Callable[[DataFrame], None]
+    spark: SparkSession, landing: str, finished: str, checkpoint: str, handle: Callable[[DataFrame], None]
 ) -> None:
-    """Call ``handle`` with the URL rows of landed Parquet manifests whose topic is not finished.
+    """Call ``handle`` with all landed URL rows of each topic that has new ones and is not finished.
 
-    ``handle`` must write the topic statistics last, as they mark a topic finished.
+    A topic is finished when its statistics count as many files as have landed; one
+    that goes on landing is handled again as a whole. ``handle`` must write the
+    topic statistics last, as they mark a topic finished.
     """
     schema = "topic string, url_pos bigint, url string, file_name string"
 
     def run(batch: DataFrame, _batch_id: int) -> None:
-        done = sinks.read_finished(spark, finished) if finished else spark.createDataFrame([], "topic string")
-        topics = batch.select("topic").distinct()
-        todo = pending_topics(topics, batch.filter(F.col("url").isNotNull()), done)
-        handle(batch.join(todo, "topic", "left_semi"))
+        landed = spark.read.schema(schema).parquet(landing).filter(F.col("url").isNotNull())
+        counts = landed.groupBy("topic").agg(F.count("*").alias("landed"))
+        done = sinks.read_finished(spark, finished).join(counts, "topic").filter(F.col("files") >= F.col("landed"))
+        todo = pending_topics(batch.select("topic").distinct(), landed, done)
+        handle(landed.join(todo, "topic", "left_semi"))
 
     (
         spark.readStream.schema(schema)

@@ -1,9 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablefold import sinks
-from tablefold.operators import ontology
+from tablefold.operators import names, ontology
+from tablefold.operators.long_files import parse_lines
+from tablefold.operators.parse import parse_files
 from tablefold.plans.corpus import Corpus, write_corpus
 from tablefold.session import cut_lineage
 from tablefold.sources import landed, ontologies
@@ -58,6 +61,64 @@ def test_topics_and_search(spark, tmp_path):
     assert [(r.topic, r.raw_url) for r in got] == [("a", "https://h/o/r/blob/m/x.csv?raw=true")] * 2
 
 
+def test_snapshot_is_built_when_absent(spark, tmp_path):
+    table = spark.createDataFrame([("schema", 0, "x")], "ontology string, type_pos bigint, cleaned_label string")
+    path = str(tmp_path / "o")
+    with pytest.raises(ValueError):
+        ontologies.read_ontology(spark, path, "20240101")
+    assert ontologies.read_ontology(spark, path, "20240101", lambda: table).count() == 1
+    assert ontologies.read_ontology(spark, path, "20240101").count() == 1
+    with pytest.raises(ValueError):
+        ontologies.read_ontology(spark, path, "20240102")
+
+
+CONTENTS = {
+    "mark.csv": b"\xef\xbb\xbfid,name\n1,a\n", "returns.csv": b'a,b\r\n"x\r\ny",1\r\nz,2\r\n', "old.csv": b"a,b\r1,2\r3,4\r",
+    "mixed.csv": b'a,b\n"p\rq\ns",1\n', "latin.csv": b"a,b\n\xe9,1\n", "plain.csv": b"a,a\n1,2", "long.csv": b"a,b\n" + b"x" * 140_000 + b",1\n",
+}
+
+
+def test_both_readers_give_the_same_tables(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    for name, content in CONTENTS.items():
+        (tmp_path / "t" / name).write_bytes(content)
+    path = str(tmp_path)
+    short = parse_files(landed.read_files(spark, path).select("file_id", "content"))
+    long = parse_lines(landed.read_long_files(spark, path, 0).drop("topic", "file_name"))
+    name = F.element_at(F.split("file_id", "/"), -1)
+    for table in ("files", "columns", "rows", "rejects"):
+        one, two = (sorted(map(str, getattr(p, table).withColumn("file_id", name).collect())) for p in (short, long))
+        assert one == two, table
+    rows = {(r.file_id.split("/")[-1], r.row_idx): r.fields for r in short.rows.collect()}
+    assert rows["returns.csv", 0] == ["x\r\ny", "1"] and rows["mixed.csv", 0] == ["p\rq\ns", "1"] and rows["old.csv", 1] == ["3", "4"]
+    assert len(rows["long.csv", 0][0]) == 140_000
+    assert {r.header for r in short.columns.filter(F.col("file_id").endswith("mark.csv")).collect()} == {"id", "name"}
+    assert [r.reason for r in short.rejects.collect()] == ["not UTF-8"]
+
+
+def test_wide_table_with_odd_headers(spark, tmp_path):
+    heads = ["ID", "id", "a`b", "x.y", "a,b"]
+    columns = spark.createDataFrame([(1, i, h, "int64") for i, h in enumerate(heads)], "file_id int, col_idx int, header string, dtype string")
+    rows = spark.createDataFrame([(1, 0, ["1", "2", "3", "4", "5"])], "file_id int, row_idx bigint, fields array<string>")
+    sinks.write_wide(rows, columns, 1, str(tmp_path / "w"), {"table_id": 7})
+    back = spark.read.parquet(str(tmp_path / "w"))
+    assert list(back.first()) == [1, 2, 3, 4, 5] and sinks.read_table_metadata(back) == {"table_id": 7}
+    assert [f.metadata[sinks.HEADER_KEY] for f in back.schema.fields] == heads
+
+
+def test_maps_and_metrics_are_replaced_by_topic(spark, tmp_path):
+    path = str(tmp_path / "m")
+    manifest = spark.createDataFrame([("a b", 0, "u0", "x.csv"), ("c", 0, "u1", "y.csv")], "topic string, url_pos bigint, url string, file_name string")
+    named = names.dedup_file_names(manifest)
+    sinks.write_manifest(named, path)
+    sinks.write_manifest(named.filter("topic = 'c'"), path)
+    assert sorted((r.topic, r.url, r.file_name) for r in spark.read.json(path).collect()) == [("a b", "u0", "x.csv"), ("c", "u1", "y.csv")]
+    topics = spark.createDataFrame([("a b", 0), ("c", 1)], "topic string, topic_pos int")
+    for _ in range(2):
+        sinks.write_metrics(names.extraction_metrics(topics, manifest), str(tmp_path / "n"))
+    assert sorted((r.topic, r.running_files) for r in spark.read.json(str(tmp_path / "n")).collect()) == [("a b", 2), ("c", 1)]
+
+
 def land(tmp_path):
     files = {
         "people": {"p.csv": "email,name,id\na@b.c,Ann,1\nd@e.f,Bob,2\n", "s.csv": "tweet,id\nhi,1\n", "bad.csv": "\n"},
@@ -101,6 +162,7 @@ def test_whole_job(spark, tmp_path):
         results.append(sorted((r.header, r.ontology, r.method, r.cleaned_label) for r in job.annotations.collect()))
     assert results[0] == results[1] and ("city", "dbpedia", "semantic", "city") in results[0]
 
+    (tmp_path / "manifests" / "people" / "urls.txt").open("a").write("https://h/o/r/blob/m/gone.csv\n")
     job = Corpus(
         files=landed.read_files(spark, source), manifest=landed.read_manifest(spark, str(tmp_path / "manifests")),
         licenses=landed.read_licenses(spark, str(tmp_path / "licenses.json")), ontology=types, word_vectors=words, dim=3, cut=cut_lineage,
@@ -109,6 +171,9 @@ def test_whole_job(spark, tmp_path):
     write_corpus(job, out)
     stats = {r["topic"]: r for r in map(json.loads, (x.value for x in spark.read.text(out + "/topic_stats").collect()))}
     assert stats["people"]["pii_column_counts"]["email"] == 1 and stats["people"]["pii_column_counts"]["name"] == 1
+    assert (stats["people"]["files"], stats["people"]["landed_files"]) == (4, 3)
+    rejects = sorted((r.url.split("/")[-1], r.stage) for r in spark.read.parquet(out + "/rejects").collect())
+    assert rejects == [("bad.csv", "parse"), ("gone.csv", "missing")]
     assert stats["people"]["removed_social_tables"] == 1 and stats["big city"]["written_tables"] == 1
     assert sum(stats["big city"]["dbpedia_bias_type_values"]["city"].values()) == 50
     assert {r.topic for r in sinks.read_finished(spark, out + "/topic_stats").collect()} == {"people", "big city"}
@@ -122,6 +187,32 @@ def test_whole_job(spark, tmp_path):
     assert sinks.read_table_metadata(back) == {"table_id": 0}
 
 
+def test_batches_keep_earlier_topics(spark, tmp_path):
+    land(tmp_path)
+    types = spark.createDataFrame([("schema", 0, "id", ["Thing"])], "ontology string, type_pos bigint, cleaned_label string, domain array<string>")
+    words = spark.createDataFrame([("id", [1.0])], "word string, vec array<float>")
+    manifest = landed.read_manifest(spark, str(tmp_path / "manifests")).drop("raw_url")
+    out, landing = str(tmp_path / "out"), str(tmp_path / "land")
+
+    def handle(batch):
+        write_corpus(Corpus(
+            files=landed.read_files(spark, str(tmp_path / "files")), manifest=batch, ontology=types, word_vectors=words, dim=1,
+            licenses=landed.read_licenses(spark, str(tmp_path / "licenses.json")),
+        ), out)
+
+    def state():
+        stats = spark.read.json(out + "/topic_stats")
+        return sorted(map(str, stats.select("topic", "files", "written_tables").collect())), spark.read.parquet(out + "/tables").count()
+
+    for topic in ("people", "big city"):
+        manifest.filter(F.col("topic") == topic).write.mode("append").parquet(landing)
+        process_pending(spark, landing, out + "/topic_stats", str(tmp_path / "ckpt"), handle)
+    first = state()
+    assert len(first[0]) == 2 and first[1] == 2
+    handle(manifest)  # all of it once more
+    assert state() == first
+
+
 def test_only_unfinished_topics_are_handled(spark, tmp_path):
     rows = [("a", 0, "u", "x.csv"), ("b", 0, "u", "x.csv")]
     manifest = spark.createDataFrame(rows, "topic string, url_pos bigint, url string, file_name string")

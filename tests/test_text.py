@@ -1,8 +1,4 @@
-import re
-
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablefold.functions import text
@@ -10,7 +6,8 @@ from tablefold.functions import text
 CASES = {
     "firstName": "first name", "userID": "user id", "HTMLParser": "html parser", "IDs": "i ds", "Name1": "name 1",
     "A1b": "a 1b", "street_name": "street name", "First_Name": "first   name", "first_Name": "first  name",
-    "Postal Code": "postal code", "Unnamed: 3": "unnamed : 3",
+    "Postal Code": "postal code", "Unnamed: 3": "unnamed : 3", "URLs2Go": "ur ls 2 go", "aÉb": "a b", "größe": "gr e",
+    "x[0]": "x 0", "ABC": "abc", "a٣b": "a٣b", "": "",
 }
 
 
@@ -23,18 +20,6 @@ def test_clean_header(spark):
     assert cleaned(spark, CASES) == list(CASES.values())
 
 
-def by_look_ahead(header):
-    """The token rule written with a look-ahead, for comparison."""
-    token = r"""[0-9a-z,."#!$%^&*;:{}=\-_`~()\n\t]+|[A-Z](?:[A-Z]*(?![a-z])|[a-z]*)"""
-    return re.sub("[_-]", " ", " ".join(re.findall(token, header))).lower()
-
-
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.text("ABCabc019 _-./'é\n", max_size=20), min_size=100, max_size=200))
-def test_clean_header_equals_look_ahead_form(spark, headers):
-    assert cleaned(spark, headers) == [by_look_ahead(h) for h in headers]
-
-
 @pytest.mark.parametrize(
     "url, owner, repo",
     [("https://host/own/rep/blob/main/a/b.csv", "own", "rep"), ("https://host/o/r/blob/x/blob.csv", "o", "r")],
