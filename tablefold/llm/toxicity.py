@@ -32,7 +32,7 @@ REMEMBERED = 300_000
 _SIGNS = set(LEET) | set(".-_*'`~^#%&/\\:,;=?")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…¿"
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
+_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S[.,;:!?]*(?!\S)")
 
 
 def _trigrams(codes: np.ndarray) -> np.ndarray:
@@ -136,6 +136,7 @@ def restored(token: str, model: CharacterModel, beam: int = BEAM) -> str:
 
 def _joined(run: str, model: CharacterModel) -> str:
     """A run of single characters as one word, if the character model finds that likelier than separate words."""
+    run = run.rstrip(".,;:!?") or run
     pieces = run.split()
     apart = sum(model.cost("  ", c) + model.cost(" " + c, " ") for c in pieces if c.isalpha())
     word = restored("".join(pieces), model)
