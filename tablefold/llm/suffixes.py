@@ -11,13 +11,14 @@ recursion, the remaining suffixes merged), and adjacent prefixes are compared.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.llm.common import mixed, stored
@@ -138,6 +139,8 @@ class Chunk:
 
     def __init__(self, ids: list[int], texts: list[bytes], window: int, gram: int):
         self.ids = np.array(ids, np.int64)
+        #: Tells apart texts of rows that repeat an identifier.
+        self.tags = np.array([zlib.crc32(t) for t in texts], np.int64)
         sizes = np.array([len(t) for t in texts])
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum(sizes)
@@ -225,7 +228,7 @@ def _from_six(data: bytes) -> np.ndarray:
 
 
 def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, buckets: int) -> DataFrame:
-    """``doc_id, start, end``: bytes covered by windows that a text with a smaller identifier holds too."""
+    """``doc_id, tag, start, end``: bytes covered by windows that a text with a smaller identifier holds too."""
 
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[dict[bytes, int], list]] = {}
@@ -235,10 +238,10 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
             data = chunk.data.tobytes()
             bucket = (mixed(chunk.key[use]) % np.uint64(buckets)).tolist()
             first, past, text = chunk.first[use], chunk.past[use] - 1 + window, chunk.text[use]
-            ids, places = chunk.ids[text].tolist(), (first - chunk.begins[text]).tolist()
-            for b, a, z, doc, place in zip(bucket, first.tolist(), past.tolist(), ids, places, strict=True):
+            rows = zip(chunk.ids[text].tolist(), chunk.tags[text].tolist(), (first - chunk.begins[text]).tolist(), strict=True)
+            for b, a, z, row in zip(bucket, first.tolist(), past.tolist(), rows, strict=True):
                 strings, found = held.setdefault(b, ({}, []))
-                found.append((strings.setdefault(data[a:z], len(strings)), doc, place))
+                found.append((strings.setdefault(data[a:z], len(strings)), *row))
                 size += z - a
             if size > SEND_BYTES // 2:
                 yield pieces(held)
@@ -247,26 +250,28 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
             yield pieces(held)
 
     def pieces(held: dict) -> pa.RecordBatch:
-        out: dict[str, list] = {"bucket": list(held), "lengths": [], "strings": [], "string": [], "doc": [], "place": []}
+        out: dict[str, list] = {"bucket": list(held), "lengths": [], "strings": [], "string": [], "doc": [], "tag": [], "place": []}
         for strings, found in held.values():
             out["lengths"].append(np.array([len(s) for s in strings], "<u4").tobytes())
             out["strings"].append(b"".join(strings))
-            string, doc, place = zip(*found, strict=True)
+            string, doc, tag, place = zip(*found, strict=True)
             out["string"].append(np.array(string, "<u4").tobytes())
             out["doc"].append(np.array(doc, "<i8").tobytes())
+            out["tag"].append(np.array(tag, "<u4").tobytes())
             out["place"].append(np.array(place, "<u4").tobytes())
         return pa.record_batch([pa.array(v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()], list(out))
 
     def judged(table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
-        string, doc, place = [], [], []
+        string, doc, tag, place = [], [], [], []
         for row in table.to_pylist():
             ends = np.cumsum(np.frombuffer(row["lengths"], "<u4")).tolist()
             here = [known.setdefault(row["strings"][a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
             string.append(np.array(here)[np.frombuffer(row["string"], "<u4")])
             doc.append(np.frombuffer(row["doc"], "<i8"))
+            tag.append(np.frombuffer(row["tag"], "<u4").astype(np.int64))
             place.append(np.frombuffer(row["place"], "<u4").astype(np.int64))
-        string, doc, place = np.concatenate(string), np.concatenate(doc), np.concatenate(place)
+        string, doc, tag, place = map(np.concatenate, (string, doc, tag, place))
         sizes = np.array([len(s) for s in known])
         begins = np.cumsum(sizes + 1) - sizes - 1
         text = np.zeros(int((sizes + 1).sum()), np.int16)
@@ -287,13 +292,13 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
         gone = least[before[string][row] + offset] < doc[row]
         row, offset = row[gone], offset[gone]
         if not len(row):
-            return pa.table({"doc_id": pa.array([], pa.int64()), "start": pa.array([], pa.int64()), "end": pa.array([], pa.int64())})
+            return pa.table({"doc_id": pa.array([], pa.int64()), "tag": pa.array([], pa.int64()), "start": pa.array([], pa.int64()), "end": pa.array([], pa.int64())})
         new = np.concatenate(([True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)))
         last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(row) - 1]))
-        return pa.table({"doc_id": doc[row[new]], "start": place[row[new]] + offset[new], "end": place[row[last]] + offset[last] + window})
+        return pa.table({"doc_id": doc[row[new]], "tag": tag[row[new]], "start": place[row[new]] + offset[new], "end": place[row[last]] + offset[last] + window})
 
-    strings = texts.mapInArrow(sent, "bucket int, lengths binary, strings binary, string binary, doc binary, place binary")
-    return strings.groupBy("bucket").applyInArrow(judged, "doc_id bigint, start bigint, end bigint")
+    strings = texts.mapInArrow(sent, "bucket int, lengths binary, strings binary, string binary, doc binary, tag binary, place binary")
+    return strings.groupBy("bucket").applyInArrow(judged, "doc_id bigint, tag bigint, start bigint, end bigint")
 
 
 def _kept(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -327,8 +332,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bytes left. Whole copies of an earlier text meet by a hash of the text and skip the
     sorting. A null text is empty; texts shorter than ``window`` stay whole; rows with a
     null identifier neither lose bytes nor cost others any; rows that repeat an
-    identifier are parts of one document, which does not repeat itself. An empty table
-    gives an empty result.
+    identifier, with one text or several, count as one document to each other. An empty
+    table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -341,18 +346,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, total // bucket_bytes)
     wanted = key_filter(stored(_repeated_keys(texts, window, gram, buckets)))
-    found = stored(_repeats(texts, wanted, window, gram, buckets).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    found = stored(_repeats(texts, wanted, window, gram, buckets).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     # only texts that may have spans move to meet them
-    marks = key_filter(found.select(F.xxhash64("doc_id").alias("key")))
+    marks = key_filter(found.select(F.xxhash64("doc_id", "tag").alias("key")))
 
     names = "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     nothing = F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans")
     maybe = _maybe(given, marks)
     still = maybe.filter("not maybe").select("doc_id", "text", "copy", nothing)
-    moved = maybe.filter("maybe").join(found, "doc_id", "left").select("doc_id", "text", "copy", "spans")
+    moved = maybe.filter("maybe").withColumn("tag", _tag()).join(found, ["doc_id", "tag"], "left").select("doc_id", "text", "copy", "spans")
     return still.mapInArrow(lambda b: _kept(b, window), names).unionByName(moved.mapInArrow(lambda b: _kept(b, window), names))
 
 
+def _tag() -> Column:
+    return F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+
+
 def _maybe(given: DataFrame, marks: Broadcast) -> DataFrame:
     """Adds ``maybe``: whether the filter may hold the identifier; never for copies and null identifiers."""
 
@@ -363,4 +372,4 @@ def _maybe(given: DataFrame, marks: Broadcast) -> DataFrame:
             hit = known.passes(keys) & ~np.array(batch.column(2).to_pylist(), bool) & np.array(batch.column(0).is_valid())
             yield pa.record_batch([*batch.columns[:3], pa.array(hit)], ["doc_id", "text", "copy", "maybe"])
 
-    return given.withColumn("key", F.xxhash64("doc_id")).mapInArrow(marked, "doc_id bigint, text string, copy boolean, maybe boolean")
+    return given.withColumn("key", F.xxhash64(F.col("doc_id"), _tag())).mapInArrow(marked, "doc_id bigint, text string, copy boolean, maybe boolean")
