@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablefold import sinks
 from tablefold.functions import text
-from tablefold.operators import stats
+from tablefold.operators import privacy, stats
 from tablefold.operators.numbering import row_index
 from tablefold.plans import corpus as plan
 from tablefold.queries import common as c
@@ -89,13 +89,48 @@ def domain_lists(spark, sf_dir):
 
 
 def table_metadata_json(spark, sf_dir):
-    return plan.table_metadata(_corpus(spark, sf_dir, cut=cut_lineage))
+    """The JSON of each table, read back: a row per header with the table's own entries."""
+    schema = "table_id bigint, table_csv_url string, number_rows bigint, number_columns int, dtypes map<string,string>, license struct<name:string>"
+    read = plan.table_metadata(_corpus(spark, sf_dir)).select("file_id", F.from_json("metadata", schema).alias("m"))
+    return read.select(
+        "file_id", "m.table_id", F.col("m.table_csv_url").alias("url"), F.col("m.number_rows").alias("n_rows"),
+        F.col("m.number_columns").alias("n_columns"), F.col("m.license.name").alias("license"), F.explode("m.dtypes").alias("header", "dtype"),
+    )
+
+
+def _entries(stat: str, counts, *outer):
+    """Members of a map as ``stat, name, n``; names are led by the key of the map around it."""
+    entry = lambda e: F.struct(F.lit(stat).alias("stat"), F.concat_ws(":", *outer, e["key"]).alias("name"), e["value"].alias("n"))
+    return F.transform(F.map_entries(counts), entry)
+
+
+def _flat(name: str, kind: str):
+    if kind.startswith("map<string,map"):
+        return F.flatten(F.transform(F.map_entries(name), lambda e: _entries(name, e["value"], e["key"])))
+    if kind.startswith("map"):
+        return _entries(name, F.col(name))
+    return F.array(F.struct(F.lit(name).alias("stat"), F.lit("").alias("name"), F.col(name).alias("n")))
 
 
 def topic_stats(spark, sf_dir):
-    out = plan.topic_stats(_corpus(spark, sf_dir, cut=cut_lineage))
-    maps = [x for x, t in out.dtypes if t.startswith("map")]
-    return out.select(*[F.to_json(x).alias(x) if x in maps else F.col(x) for x in out.columns])
+    """All counts per topic, one per row; entries of nested counts are named by both keys."""
+    out = cut_lineage(plan.topic_stats(_corpus(spark, sf_dir)))
+    parts = [out.select("topic", F.explode(_flat(name, kind)).alias("e")) for name, kind in out.dtypes if name != "topic"]
+    listed = parts[0]
+    for part in parts[1:]:
+        listed = listed.unionByName(part)
+    return listed.select("topic", "e.*")
+
+
+def topic_series(spark, sf_dir):
+    """All lists per topic, one member per row: a number or a domain."""
+    out = plan.topic_series(_corpus(spark, sf_dir), CHUNK)
+    member = out.select("topic", "series", "name", "chunk", F.posexplode(F.from_json("values", "array<string>")).alias("pos", "v"))
+    is_domain = F.col("series") == "table_domains"
+    return member.select(
+        "topic", "series", "name", "chunk", "pos", F.when(~is_domain, F.round(F.expr("try_cast(v AS double)"), 4)).alias("number"),
+        F.when(is_domain, F.get_json_object("v", "$.domain")).alias("domain"),
+    )
 
 
 def typed_table(spark, sf_dir):
@@ -110,7 +145,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         corpus_tables, funnel, corpus_rejects, table_ids, event_ids, shape_lists, dtype_share_lists, domain_lists, table_metadata_json,
-        topic_stats, typed_table,
+        topic_stats, topic_series, typed_table,
     )
 }
 
@@ -136,7 +171,41 @@ ann AS (SELECT * FROM syn UNION ALL BY NAME SELECT * FROM sem),
 {a._domain_sql('ann').replace(')' + chr(10) + 'SELECT file_id', '),' + chr(10) + 'voted AS (SELECT file_id')})"""
 
 
+_LISTS = f"""listed AS (
+  SELECT topic, 'row_counts' AS series, '' AS name, table_id, 0 AS tie, n_rows::DOUBLE AS number, NULL::VARCHAR AS domain FROM tables
+  UNION ALL SELECT topic, 'column_counts', '', table_id, 0, n_columns, NULL FROM tables
+  UNION ALL SELECT t.topic, 'dtypes_percentages', dtype, table_id, 0, round(n / n_columns, 4), NULL
+    FROM (SELECT file_id, dtype, count(*) AS n FROM typed GROUP BY ALL) JOIN tables t USING (file_id)
+  UNION ALL SELECT topic, 'table_domains', o.ontology || '_' || m.method, table_id, 0, NULL, domain FROM tables t,
+    (VALUES ('dbpedia'), ('schema')) o(ontology), (VALUES ('syntactic'), ('semantic')) m(method)
+    LEFT JOIN voted v ON v.file_id = t.file_id AND v.ontology = o.ontology AND v.method = m.method
+  UNION ALL SELECT topic, 'number_of_annotated_columns', o.ontology || '_' || m.method, table_id, 0, coalesce(a.n, 0), NULL FROM tables t,
+    (VALUES ('dbpedia'), ('schema')) o(ontology), (VALUES ('syntactic'), ('semantic')) m(method)
+    LEFT JOIN (SELECT file_id, ontology, method, count(*) AS n FROM ann GROUP BY ALL) a
+      ON a.file_id = t.file_id AND a.ontology = o.ontology AND a.method = m.method
+  UNION ALL SELECT t.topic, 'annotation_type_similarities', ontology || '_semantic.' || cleaned_label, table_id, col_idx, similarity, NULL
+    FROM sem JOIN tables t USING (file_id))"""
+
 ORACLE = {
+    "table_metadata_json": f"""WITH {_PARSE}, {_TABLES}, {_typed()}
+SELECT t.file_id, table_id, 'https://host/' || source || '/' || lang || '/blob/main/' || doc_id || '.csv' AS url, n_rows, n_columns, license, header, dtype
+FROM tables t JOIN typed USING (file_id) JOIN documents ON doc_id = t.file_id""",
+    "topic_stats": f"""WITH {_PARSE}, {_TABLES}, {_typed()}, {_domains()},
+l AS (SELECT d.source AS topic, kept.license, w.social, kept.url_pos IS NOT NULL AS ok
+  FROM documents d LEFT JOIN kept ON kept.url_pos = doc_id LEFT JOIN w ON w.file_id = doc_id)
+SELECT topic, 'files' AS stat, '' AS name, count(*) AS n FROM l GROUP BY topic
+UNION ALL SELECT topic, 'licensed_files', '', count(*) FILTER (ok) FROM l GROUP BY topic
+UNION ALL SELECT topic, 'landed_files', '', count(*) FILTER (ok) FROM l GROUP BY topic
+UNION ALL SELECT topic, 'removed_social_tables', '', count(*) FILTER (ok AND social) FROM l GROUP BY topic
+UNION ALL SELECT topic, 'written_tables', '', count(*) FILTER (ok AND NOT social) FROM l GROUP BY topic
+UNION ALL SELECT topic, 'licenses', license, count(*) FROM l WHERE ok GROUP BY ALL
+UNION ALL SELECT t.topic, 'dtype_counts', dtype, count(*) FROM typed JOIN tables t USING (file_id) GROUP BY ALL
+UNION ALL SELECT DISTINCT topic, 'pii_column_counts', unnest([{', '.join(f"'{x}'" for x in privacy.PERSONAL_TYPES)}]), 0 FROM l
+UNION ALL SELECT DISTINCT topic, 'dbpedia_bias_column_count', unnest([{', '.join(f"'{x}'" for x in privacy.BIAS_TYPES)}]), 0 FROM l
+UNION ALL SELECT t.topic, 'annotation_type_counts', ontology || '_' || method || ':' || cleaned_label, count(*) FROM ann JOIN tables t USING (file_id) GROUP BY ALL""",
+    "topic_series": f"""WITH {_PARSE}, {_TABLES}, {_typed()}, {_domains()}, {_LISTS}
+SELECT topic, series, name, (table_id // {CHUNK})::BIGINT AS chunk,
+  (row_number() OVER (PARTITION BY topic, series, name, table_id // {CHUNK} ORDER BY table_id, tie) - 1)::INT AS pos, number, domain FROM listed""",
     "corpus_tables": f"WITH {_PARSE}, {_TABLES} SELECT * FROM tables",
     "funnel": f"""WITH {extraction._LICENSES},
 l AS (SELECT source, lang, url_pos IS NOT NULL AS licensed, url_pos IS NOT NULL AND length(text) >= {LANDED_CHARS} AS landed
