@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefold import sinks
+from tablefold.functions import text
 from tablefold.operators import domain, filters, match, names, privacy, stats
 from tablefold.operators.joins import sized_join
 from tablefold.operators.long_files import parse_lines
 from tablefold.operators.parse import Parsed, cells_of, infer_dtypes, parse_files
 from tablefold.session import cut_lineage
 
-_ORIGIN = ["topic", "url_pos", "url", "license"]
+_ORIGIN = ["topic", "file_name", "url_pos", "url", "license"]
 
 
 @dataclass
@@ -118,8 +119,10 @@ class Corpus:
 
     @cached_property
     def tables(self) -> DataFrame:
+        """Kept tables with their shape, number in the topic, and the name of their own file."""
         shaped = self.origins.join(self.parsed.files, "file_id").join(self.social, "file_id", "left_anti")
-        return self.cut(stats.assign_table_ids(shaped))
+        named = shaped.withColumn("output_name", F.concat(text.strip_extension(F.col("file_name")), F.lit(".parquet")))
+        return self.cut(stats.assign_table_ids(named))
 
     @cached_property
     def annotations(self) -> DataFrame:

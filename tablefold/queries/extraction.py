@@ -114,6 +114,12 @@ def file_names_prefix(spark, sf_dir):
     return named.select("topic", "url_pos", "file_name", "unique_name")
 
 
+def file_names_split(spark, sf_dir):
+    """Packed files: the base of their names ends where ``.csv`` begins."""
+    packed = _named_manifest(spark, sf_dir).withColumn("file_name", F.concat("file_name", F.lit(".gz")))
+    return names.dedup_file_names(packed, base="split").select("topic", "url_pos", "file_name", "unique_name")
+
+
 def fetched_manifest(spark, sf_dir):
     """Labels as fetches: good documents came with status 200."""
     fetches = c.load(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 200).otherwise(404).alias("status"))
@@ -180,7 +186,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         topics_normalized, topics_from_json, topics_in_order, search_urls, segmenting, size_segments,
-        size_segments_reference, segment_assignment, segment_stats, url_manifest, file_names_unique, file_names_prefix,
+        size_segments_reference, segment_assignment, segment_stats, url_manifest, file_names_unique, file_names_prefix, file_names_split,
         fetched_manifest, extraction_metrics, pending_topics, url_sample, repo_keys, licensed_documents, license_counts,
     )
 }
@@ -231,6 +237,8 @@ SELECT * FROM b JOIN a USING (topic)""",
     "url_manifest": """SELECT string_split(url, '/')[4] AS topic, page_id AS url_pos, url, string_split(url, '/')[-1] AS file_name,
 url || '?raw=true' AS raw_url FROM pages""",
     "file_names_unique": f"WITH {_MANIFEST}, numbered AS (SELECT *, nth AS k FROM base), {_RENAME}",
+    "file_names_split": f"""WITH {_MANIFEST.replace("|| '.csv' AS file_name", "|| '.csv.gz' AS file_name").replace("file_name[:-5] AS base", "split_part(file_name, '.csv', 1) AS base")},
+numbered AS (SELECT *, nth AS k FROM base), {_RENAME}""",
     "file_names_prefix": f"""WITH {_MANIFEST}, numbered AS (SELECT *, (SELECT count(*) FROM man m
   WHERE m.topic = base.topic AND m.url_pos < base.url_pos AND starts_with(m.file_name, base.base)) AS k FROM base), {_RENAME}""",
     "fetched_manifest": "SELECT doc_id, source AS topic FROM labels JOIN documents USING (doc_id) WHERE quality = 1",

@@ -34,7 +34,7 @@ def _corpus(spark, sf_dir, cut=cut_lineage, files=None) -> plan.Corpus:
 
 def corpus_tables(spark, sf_dir):
     tables = _corpus(spark, sf_dir).tables
-    return tables.select("topic", "table_id", "file_id", "n_rows", "n_columns", F.col("license.name").alias("license"))
+    return tables.select("topic", "table_id", "file_id", "n_rows", "n_columns", F.col("license.name").alias("license"), "output_name")
 
 
 def _faulty(spark, sf_dir) -> plan.Corpus:
@@ -206,7 +206,7 @@ UNION ALL SELECT t.topic, 'annotation_type_counts', ontology || '_' || method ||
     "topic_series": f"""WITH {_PARSE}, {_TABLES}, {_typed()}, {_domains()}, {_LISTS}
 SELECT topic, series, name, (table_id // {CHUNK})::BIGINT AS chunk,
   (row_number() OVER (PARTITION BY topic, series, name, table_id // {CHUNK} ORDER BY table_id, tie) - 1)::INT AS pos, number, domain FROM listed""",
-    "corpus_tables": f"WITH {_PARSE}, {_TABLES} SELECT * FROM tables",
+    "corpus_tables": f"WITH {_PARSE}, {_TABLES} SELECT *, file_id || '.parquet' AS output_name FROM tables",
     "funnel": f"""WITH {extraction._LICENSES},
 l AS (SELECT source, lang, url_pos IS NOT NULL AS licensed, url_pos IS NOT NULL AND length(text) >= {LANDED_CHARS} AS landed
   FROM documents LEFT JOIN kept ON kept.url_pos = doc_id)
