@@ -28,6 +28,7 @@ PREFIXES = (4, 5, 6)
 BY_CHANCE = 1.0
 LABELLED_ROWS = 40_000
 REMEMBERED = 300_000
+HELD_FEATURES = 200_000
 
 _SIGNS = set(LEET) | set(".-_*'`~^#%&/\\:,;=?")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…¿"
@@ -209,24 +210,37 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     characters = learn_characters(docs, text_col)
     spark = docs.sparkSession
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
-    used = marked.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(labelled_rows)
+    used = stored(marked.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(labelled_rows))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(used), "_id")
     shared = spark.sparkContext.broadcast((characters.triples, characters.pairs))
-
-    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(CharacterModel(*shared.value))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                found = [sorted(known.features(t)) for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), part.column(2), pa.array(found, pa.list_(pa.string()))], ["_id", "label", "features"])
-
-    kind = dict(docs.dtypes)[id_col]
-    sample = stored(texts.select("_id", "text", F.col("_label").alias("label")).mapInArrow(listed, f"_id {kind}, label int, features array<string>"))
-    toxic, clean = (sample.filter(F.col("label") == k).count() for k in (1, 0))
+    texts = texts.select("text", F.col("_label").alias("label"))
+    kinds = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = kinds.get(1, 0), kinds.get(0, 0)
     if not toxic or not clean:
         return Model(characters, {}, 0.0, 0.0)
-    each = sample.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("label").cast("double").alias("t"), F.count("*").cast("double").alias("n"))
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(CharacterModel(*shared.value))
+        held: dict[str, list[int]] = {}
+
+        def sent() -> pa.RecordBatch:
+            t, n = zip(*held.values(), strict=True)
+            return pa.record_batch([pa.array(list(held), pa.string()), pa.array(t, pa.int64()), pa.array(n, pa.int64())], ["feature", "t", "n"])
+
+        for found, labels in rows(batches, "text", "label"):
+            for text, label in zip(found, labels, strict=True):
+                for feature in known.features(text):
+                    pair = held.setdefault(feature, [0, 0])
+                    pair[0] += label
+                    pair[1] += 1
+                if len(held) > HELD_FEATURES:
+                    yield sent()
+                    held.clear()
+        if held:
+            yield sent()
+
+    each = texts.mapInArrow(counted, "feature string, t bigint, n bigint").groupBy("feature")
+    each = each.agg(F.sum("t").cast("double").alias("t"), F.sum("n").cast("double").alias("n"))
     tested = stored(each.filter("t >= 2"))
     rate = toxic / (toxic + clean)
     evidence = 2 * math.log(max(tested.count(), 1) / BY_CHANCE + 1)
@@ -236,11 +250,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         r["feature"]: math.log((r["t"] + 0.5) / (toxic + 1)) - math.log((r["n"] - r["t"] + 0.5) / (clean + 1))
         for r in likely.orderBy("feature").collect()
     }
-    known = spark.createDataFrame([(f, w) for f, w in weights.items()], "feature string, weight double") if weights else None
-    if known is None:
-        return Model(characters, {}, 0.0, math.log(toxic / clean))
-    sums = sample.withColumn("row", F.monotonically_increasing_id()).select("row", "label", F.explode_outer("features").alias("feature")).join(F.broadcast(known), "feature", "left")
-    sums = sums.groupBy("row").agg(F.max("label").alias("label"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("x")).select("label", "x").toArrow()
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(CharacterModel(*shared.value), set(weights))
+        for found, labels in rows(batches, "text", "label"):
+            x = [sum(weights[f] for f in known.features(text)) for text in found]
+            yield pa.record_batch([pa.array(labels, pa.int32()), pa.array(x, pa.float64())], ["label", "x"])
+
+    sums = texts.mapInArrow(summed, "label int, x double").toArrow()
     slope, base = _logistic(sums.column("x").to_numpy(), sums.column("label").to_numpy())
     return Model(characters, weights, slope, base)
 
