@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablefold.llm import decontaminate, language, minhash, packing, secrets
 from tablefold.llm.common import id_remainder, table
+from tablefold.operators.joins import sized_join
 from tablefold.session import shared_folder
 
 #: A document goes if no learned language explains at least this share of it.
@@ -27,7 +28,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest identifier."""
     found = minhash.near_duplicates(docs, threshold=0.8)
     gone = found.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return sized_join(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.llm.common import WordHashes, mixed, rows
+from tablefold.operators.joins import sized_join
 
 #: Shortest match, in words, and how much of a benchmark text the matches must cover.
 MIN_MATCH = 5
@@ -224,5 +225,5 @@ def _batch(done: list[tuple], doc_type: pa.DataType, item_type: pa.DataType) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` whose document holds no benchmark text; rows with a null identifier stay."""
-    found = matches(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs[id_col] == found["_found"], "left_anti")
+    found = matches(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
+    return sized_join(docs, found, [id_col], "left_anti").select(*docs.columns)
