@@ -29,7 +29,7 @@ GRAM = 20
 #: Bytes of text worked on at once, kept together before sending, and meant for one bucket.
 CHUNK_BYTES = 1_000_000
 SEND_BYTES = 16_000_000
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 3_000_000
 SENT_COPIES = 1_000_000
 
 
