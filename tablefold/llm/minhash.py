@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tablefold.llm.common import WordHashes, mixed, shingle_set, stored
 from tablefold.llm.components import components
+from tablefold.llm.keyfilter import KeyFilter, key_filter
 
 WIDTH = 5
 REGISTERS = 256
@@ -22,10 +23,10 @@ RATE = 20.0
 TOP = 65535
 #: How far an estimate may fall short of the threshold before a pair is left unverified: over six standard deviations.
 MARGIN = 0.15
-#: Rounds of pairing with one member per bucket before all pairs left between components are tested,
-#: and how many of those per row are few enough to stop early.
-STAR_ROUNDS = 8
-FEW = 2.0
+#: In how many sets a shingle must be, more than, for each step of the order from seldom to frequent.
+OFTEN = (1, 4, 16, 64, 256)
+#: Most identifiers sent to every task.
+SENT_IDS = 2_000_000
 
 
 def sketch(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:
@@ -166,7 +167,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Full shingle sets of the wanted documents, as bytes."""
+    """``id, members``: full shingle sets of the wanted documents, as bytes.
+
+    Up to ``SENT_IDS`` identifiers are sent to the texts; only beyond that do texts move.
+    """
+    wanted = stored(wanted.select("id").distinct())
+    if wanted.count() <= SENT_IDS:
+        wanted = F.broadcast(wanted)
 
     def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -176,8 +183,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width:
                 yield pa.record_batch([part.column(0), pa.array([shingle_set(t, known, width).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["id", "members"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = source.join(wanted.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    return found.mapInArrow(full, f"id {dict(docs.dtypes)[id_col]}, members binary")
+    found = source.join(wanted, "id", "left_semi").mapInArrow(full, f"id {dict(docs.dtypes)[id_col]}, members binary")
+    return found.dropDuplicates(["id"])
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -198,22 +205,50 @@ def _split_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
     return labelled.join(several, "key", "left_semi")
 
 
-def _cross_pairs(active: DataFrame) -> tuple[int, float]:
-    """Rows, and pairs of one bucket in different components."""
-    sizes = active.groupBy("key", "c").agg(F.count("*").cast("double").alias("m")).groupBy("key").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("s"))
-    n, left = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
-    return int(n or 0), left or 0.0
+def _sharing_prefix(sets: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """``a, b`` of all pairs in different components (``labels``: ``id, c``) that can reach the threshold.
 
+    The members of a set are put in one order for all sets, seldom ones first.
+    Sets that are similar enough share a member within short prefixes of that
+    order: the smaller set within its first n - 2tn / (1 + t) + 1, the larger
+    within its first n - tn + 1. The first member they share also leaves room for
+    the overlap they need: it cannot lie further behind in either set. So texts
+    that differ in parts of their own, be they ever so many copies of one text, do
+    not meet.
+    """
+    percent = round(threshold * 100)
+    kind = dict(sets.dtypes)["id"]
 
-def _pairs_with_centre(active: DataFrame, turn: int) -> DataFrame:
-    centres = active.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")).alias("t")).select("key", F.col("t.id").alias("t"), F.col("t.c").alias("t_c"))
-    pairs = active.join(centres, "key").filter("c <> t_c")
-    return pairs.select(F.least("t", "id").alias("a"), F.greatest("t", "id").alias("b")).distinct()
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members in batch.column(0):
+                yield pa.record_batch([pa.array(np.frombuffer(members.as_buffer(), np.int64))], ["key"])
 
+    repeated = sets.select("members").mapInArrow(keys, "key bigint").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(repeated)
+    # filters pass a few other keys, the same ones for all sets, so the order stays one order
+    levels = [key_filter(repeated.filter(F.col("n") > often).select("key")) for often in OFTEN]
 
-def _pairs_left(active: DataFrame) -> DataFrame:
-    other = active.select("key", F.col("id").alias("t"), F.col("c").alias("t_c"))
-    pairs = active.join(other, "key").filter("c < t_c")
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [KeyFilter(level.value) for level in levels]
+        for batch in batches:
+            ids, labels = batch.column(0), batch.column(2)
+            for i, members in enumerate(batch.column(1)):
+                own = np.frombuffer(members.as_buffer(), np.uint64)
+                level = sum(k.passes(own).astype(np.int64) for k in known)
+                n, order = len(own), np.lexsort((own, level))
+                probe, index = (n - -(-p * n // q) + 1 for p, q in ((percent, 100), (2 * percent, 100 + percent)))
+                place = np.flatnonzero(level[order[:probe]])  # a member of one set only meets nothing
+                at = pa.array(np.full(len(place), i))
+                columns = [pa.array(own[order[place]].view(np.int64)), ids.take(at), labels.take(at), pa.array(np.full(len(place), n, np.int64)), pa.array(place), pa.array(place < index)]
+                yield pa.record_batch(columns, ["key", "id", "c", "n", "place", "indexed"])
+
+    rows = stored(sets.join(labels, "id").select("id", "members", "c").mapInArrow(prefixes, f"key bigint, id {kind}, c {kind}, n bigint, place bigint, indexed boolean"))
+    smaller = rows.filter("indexed").select("key", F.col("id").alias("t"), F.col("c").alias("t_c"), F.col("n").alias("t_n"), F.col("place").alias("t_place"))
+    fits = (F.col("t_n") <= F.col("n")) & (F.col("t_n") * 100 >= F.col("n") * percent) & (F.col("c") != F.col("t_c"))
+    # the overlap a pair needs is t / (1 + t) of both sizes together
+    fits &= (F.col("n") + F.col("t_n")) * percent <= F.least(F.col("n") - F.col("place"), F.col("t_n") - F.col("t_place")) * (100 + percent)
+    pairs = rows.join(smaller, (rows["key"] == smaller["key"]) & fits)
     return pairs.select(F.least("t", "id").alias("a"), F.greatest("t", "id").alias("b")).distinct()
 
 
@@ -228,8 +263,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     meet where a band of registers agrees; a pair at 0.8 misses all bands with
     probability below 3e-6, at 0.85 below 3e-9. A bucket is not expanded into
     all its pairs: members pair with one of them, candidates pass the joint
-    estimate, full sets decide, and only members still in different components
-    are paired further, first by other centres, then all that is left.
+    estimate, and full sets decide. Members of a bucket that are then still in
+    different components meet by shared members of short prefixes of their sets,
+    which misses no pair and spares those that are not similar enough.
 
     Null or empty texts have no shingles and are linked with nothing. A row with a
     null identifier keeps its null ``component_id`` and is not kept; rows that
@@ -255,21 +291,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
         links = stored(links.unionByName(more))
         found = components(links)
     # members of a bucket that are unlike its centre may still be like each other
-    for turn in range(STAR_ROUNDS + 1):
-        active = stored(_split_buckets(rows.select("key", F.col("b").alias("id")), found))
-        n, left = _cross_pairs(active)
-        if not n:
-            break
-        last = turn == STAR_ROUNDS or left <= FEW * n
-        pairs = _pairs_left(active) if last else _pairs_with_centre(active, turn)
-        new = stored(_likely(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), reps, threshold))
-        tried = stored(tried.unionByName(new))
-        more = stored(_verified(new, _sets(docs, _ends(new), id_col, text_col, width), threshold))
-        if not more.isEmpty():
-            links = stored(links.unionByName(more))
-            found = components(links)
-        if last:
-            break
+    active = stored(_split_buckets(rows.select("key", F.col("b").alias("id")), found).select("id", "c").distinct())
+    sets = stored(_sets(docs, active, id_col, text_col, width))
+    pairs = _sharing_prefix(sets, active, threshold).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    more = stored(_verified(_likely(pairs, reps, threshold), sets, threshold))
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     of_set = groups.join(found, groups["id"] == found["node"], "left").select("set_key", F.coalesce("component", "id").alias("_component"))
     keyed = F.when(F.col("n_shingles") > 0, F.col("set_key"))
     every = marked.select("doc_id", "n_shingles", keyed.alias("set_key")).join(of_set, "set_key", "left")
