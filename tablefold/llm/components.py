@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tablefold.llm.common import stored
 
 MAX_ROUNDS = 60
+#: Links in one stored partition, so that few links do not take as many files as many do.
+PARTITION_LINKS = 200_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,18 +23,19 @@ def components(links: DataFrame) -> DataFrame:
     with itself are left out.
     """
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    parts = edges.count() // PARTITION_LINKS + 1
+    edges, seen = edges.coalesce(parts), None
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(smallest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = stored(large)
+        large = stored(large.coalesce(parts))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(lowest, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(lowest.select("a", F.col("m").alias("b"))).distinct()
         )
-        edges = stored(small)
+        edges = stored(small.coalesce(parts))
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
