@@ -18,7 +18,7 @@ from tablefold.llm.common import rows, stored
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-RANK_ROWS = 100_000
+RANK_ROWS = 5_000
 
 #: How byte-level BPE vocabularies of this kind split a text, and the printable stand-ins of bytes.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
