@@ -32,8 +32,10 @@ HELD_FEATURES = 200_000
 
 _SIGNS = set(LEET) | set(".-_*'`~^#%&/\\:,;=?")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…¿"
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S[.,;:!?]*(?!\S)")
+#: Edge signs that stand for no letter.
+_OUTER = "".join(c for c in _EDGE if c not in LEET)
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+_SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S[.,;:!?]*(?!\S)")
 
 
 def _trigrams(codes: np.ndarray) -> np.ndarray:
@@ -94,7 +96,9 @@ def learn_characters(docs: DataFrame, text_col: str = "text") -> CharacterModel:
                 codes = np.repeat(codes, np.where(codes == 0, 2, 1))  # a word begins after two edges
                 inside = (codes[2:] > 0) | (codes[1:-1] > 0)
                 pairs = (codes[:-1] > 0) | (codes[1:] > 0)
-                for k, x in enumerate((_trigrams(codes)[inside], np.concatenate((_bigrams(codes)[pairs], _marks(codes[:-1][pairs]))))):
+                begins = (codes[:-2] == 0) & (codes[1:-1] == 0) & (codes[2:] > 0)  # what first letters come after
+                two = _bigrams(codes)
+                for k, x in enumerate((_trigrams(codes)[inside], np.concatenate((two[pairs], two[:-1][begins], _marks(codes[:-1][pairs]))))):
                     found, n = np.unique(x, return_counts=True)
                     sums[k][found] += n
         kind, gram = np.nonzero(sums)
@@ -111,43 +115,41 @@ def restored(token: str, model: CharacterModel, beam: int = BEAM) -> str:
     """Likeliest letters behind a disguised token, by Viterbi search over its character lattice.
 
     Every character may stand for itself, a sign also for the letters it looks like
-    or for nothing, and a character that repeats the one before for nothing. A state
-    is the last two letters restored; the ``beam`` best states go on.
+    or for nothing, and a character that repeats the one before for nothing. White
+    space either joins what it separates or ends a word, as the character model finds
+    likelier; words come back with a space between them. A state is the last two
+    letters restored; the ``beam`` best states go on.
     """
-    states = {"  ": (0.0, "")}
-    for i, c in enumerate(token):
-        repeat = i > 0 and token[i - 1] == c
-        following: dict[str, tuple[float, str]] = {}
+    states: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
+    before = ""
+    for c in token:
+        gap = c.isspace()
+        following: dict[str, tuple[float, tuple | None]] = {}
         for last, (cost, text) in states.items():
             options = []
-            if c.isalpha():
+            if gap:
+                options.append(("", cost + JOIN_LETTERS))
+                if last != "  ":
+                    options.append((" ", cost + model.cost(last, " ")))
+            elif c.isalpha():
                 options.append((c, cost + model.cost(last, c)))
             else:
                 options += [(x, cost + SUBSTITUTE + model.cost(last, x)) for x in LEET.get(c, "")]
-                options.append(("", cost + (DROP_SIGN if c in _SIGNS or c.isspace() else KEEP_SIGN)))
-            if repeat:
+                options.append(("", cost + (DROP_SIGN if c in _SIGNS else KEEP_SIGN)))
+            if before == c:
                 options.append(("", cost + COLLAPSE))
             for letter, total in options:
-                state = (last + letter)[-2:]
-                if total < following.get(state, (math.inf, ""))[0]:
-                    following[state] = (total, text + letter)
+                state = "  " if letter == " " else (last + letter)[-2:]
+                if state not in following or total < following[state][0]:
+                    following[state] = (total, (text, letter) if letter else text)
         states = dict(sorted(following.items(), key=lambda x: (x[1][0], x[0]))[:beam])
-    return min((cost + model.cost(last, " "), text) for last, (cost, text) in states.items())[1]
-
-
-def _joined(run: str, model: CharacterModel) -> str:
-    """A run of single characters as one word, if the character model finds that likelier than separate words."""
-    run = run.rstrip(".,;:!?") or run
-    pieces = run.split()
-    apart = sum(model.cost("  ", c) + model.cost(" " + c, " ") for c in pieces if c.isalpha())
-    word = restored("".join(pieces), model)
-    if not word:
-        return run
-    last, together = "  ", JOIN_LETTERS * len(pieces)
-    for c in word + " ":
-        together += model.cost(last, c)
-        last = (last + c)[-2:]
-    return word if together < apart or not all(c.isalpha() for c in pieces) else run
+        before = before if gap else c
+    end = min((cost + (model.cost(last, " ") if last != "  " or text is None else 0.0), last) for last, (cost, text) in states.items())[1]
+    text, letters = states[end][1], []
+    while text:
+        text, letter = text
+        letters.append(letter)
+    return "".join(reversed(letters)).strip()
 
 
 class Words(dict):
@@ -157,12 +159,12 @@ class Words(dict):
         self.model, self.wanted = model, wanted
 
     def word(self, token: str) -> str:
-        token = token.strip(_EDGE) or token
-        if token.isalpha() and not _TRIPLE.search(token):
+        token = token.strip(_OUTER) or token
+        if token.isalpha() and not _DOUBLE.search(token):
             return token
         if not any(c.isalpha() for c in token) and not any(c in LEET for c in token):
             return ""
-        # triples of one letter also occur in plain words, so the word as it stands counts too
+        # signs and repeated letters also stand in plain words, so the word as it stands counts too
         return restored(token, self.model)
 
     def __missing__(self, token: str) -> tuple[str, ...]:
@@ -180,7 +182,8 @@ class Words(dict):
         lower = text.lower()
         out: set[str] = set()
         for m in _SPACED.finditer(lower):
-            out.update(self[_joined(m.group(), self.model).replace(" ", "")])
+            run = " ".join(m.group().rstrip(".,;:?").split())
+            out.update(*map(self.__getitem__, restored(run, self.model).split()))
         return out.union(*map(self.__getitem__, set(lower.split())))
 
 

@@ -83,6 +83,26 @@ def test_spaced_letters_join_but_short_words_do_not(characters):
     assert "idiot" not in words.features("the garden") and words.features(None) == set()
 
 
+@pytest.mark.parametrize(
+    "text, plain",
+    [
+        ("you $tupid", "stupid"), ("$tup1d!", "stupid"), ("an !diot", "idiot"), ("(idio+)", "idiot"), ("|d|o+,", "idiot"), ("iidiot", "idiot"), ("sttupid", "stupid"),
+        ("stupid!!", "stupid"), ("the garden!", "garden"), ("a n i d i o t", "idiot"), ("y o u s t u p 1 d c l o w n", "clown"), ("y o u s t u p 1 d c l o w n", "stupid"),
+        ("i  d  i  o  t", "idiot"), ("i\nd\ni\no\nt!", "idiot"), ("s s t u p i d", "stupid"),
+    ],
+)
+def test_disguises_reach_features_and_score(spark, characters, text, plain):
+    assert plain in toxicity.Words(characters).features(text)
+    model = toxicity.Model(characters, {plain: 4.0}, 1.0, -2.0)
+    row = toxicity.score(spark.createDataFrame([(text,)], "text string"), model, []).first()
+    assert row.evidence == [plain] and row.predicted == 1
+
+
+def test_plain_words_with_doubled_letters_and_signs_keep_themselves(characters):
+    words = toxicity.Words(characters)
+    assert "letter" in words.features("a letter!") and "all" in words.features("(all") and "little" in words.features("little")
+
+
 def test_toxicity_learns_and_holds(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     got = q.op2_toxicity(spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id")
