@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -58,8 +59,10 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH) -> list
 
     Runs a Karp-Rabin scan with a search length that starts at the item's and
     halves down to ``min_match``. Each scan extends the hash matches among
-    unmarked words and marks the longest ones first; a match much longer than
-    the search length restarts the scan with its own length.
+    unmarked words and marks the longest ones first; what marked words leave of
+    a match stands in line again with its own length. A match much longer than
+    the search length restarts the scan with its own length. In the end no common
+    run of ``min_match`` unmarked words is left.
     """
     taken_item, taken_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
     out: list[tuple[int, int, int]] = []
@@ -70,10 +73,19 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH) -> list
         if longest > 2 * width:
             width = longest
             continue
-        for k, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if not taken_item[i : i + k].any() and not taken_doc[j : j + k].any():
-                taken_item[i : i + k] = taken_doc[j : j + k] = True
-                out.append((k, i, j))
+        queue = [(-k, i, j) for k, i, j in found]
+        heapify(queue)
+        while queue:
+            k, i, j = heappop(queue)
+            taken = taken_item[i : i - k] | taken_doc[j : j - k]
+            if not taken.any():
+                taken_item[i : i - k] = taken_doc[j : j - k] = True
+                out.append((-k, i, j))
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate(([True], taken, [True])))).tolist()
+            for start, end in zip(edges[::2], edges[1::2], strict=True):
+                if end - start >= width:
+                    heappush(queue, (start - end, i + start, j + start))
         if width <= min_match:
             return out
         width = max(min_match, width // 2)

@@ -51,6 +51,38 @@ def test_tiles_cover_as_much_as_a_greedy_search():
         assert len(covered) == len(set(covered)) and abs(len(covered) - greedy(item, doc, 5)) <= 4
 
 
+def test_rest_of_an_overlapped_match_is_marked():
+    item = np.arange(1, 19, dtype=np.uint64)
+    doc = np.concatenate((item[:8], [99], item[6:14], [98, 97])).astype(np.uint64)
+    assert d.tiles(item, doc, 5) == [(8, 0, 0), (6, 8, 11)]
+
+
+def test_no_common_run_of_free_words_is_left():
+    rng = random.Random(2)
+    for n in range(150):
+        words = 3 if n % 3 == 0 else 400
+        item = [rng.randint(1, words) for _ in range(rng.randint(12, 30))]
+        doc = []
+        for _ in range(rng.randint(2, 6)):  # parts of the item that overlap
+            start = rng.randrange(len(item))
+            doc += item[start : start + rng.randint(5, 9)] + [rng.randint(1, words + 5) for _ in range(rng.randint(0, 4))]
+        a, b = np.array(item, np.uint64), np.array(doc, np.uint64)
+        for k, i, j in d.tiles(a, b, 5):
+            assert k >= 5 and (a[i : i + k] == b[j : j + k]).all() and a[i : i + k].all() and b[j : j + k].all()
+            a[i : i + k] = b[j : j + k] = 0
+        runs = {tuple(x) for x in np.lib.stride_tricks.sliding_window_view(a, 5).tolist() if 0 not in x} if len(a) >= 5 else set()
+        assert not any(tuple(doc_run) in runs for doc_run in (np.lib.stride_tricks.sliding_window_view(b, 5).tolist() if len(b) >= 5 else []))
+
+
+def test_document_with_overlapping_passages_is_found(spark):
+    item = " ".join(f"w{i}" for i in range(18))
+    doc = " ".join([f"w{i}" for i in range(8)] + ["x"] + [f"w{i}" for i in range(6, 14)] + ["and", "more"])
+    docs, items = spark.createDataFrame([(1, doc)], "doc_id bigint, text string"), spark.createDataFrame([(2, item)], "item_id bigint, text string")
+    for sent_words in (10**6, 0):
+        (row,) = d.matches(docs, items, sent_words=sent_words).collect()
+        assert (row.doc_id, row.item_id, round(row.coverage, 6)) == (1, 2, round(14 / 18, 6))
+
+
 ITEMS = [
     (1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (2, "one two three"), (3, None), (4, ""),
     (1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"),
