@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tablefold.llm.common import stored
 
-MAX_DEPTH = 64
+#: Frames of settled calls that are put together at a time.
+MERGED = 32
 _TYPES = {
     "object": lambda v: isinstance(v, dict),
     "array": lambda v: isinstance(v, list),
@@ -66,33 +68,35 @@ def checked_arguments(name: str | None, arguments: str | None, schemas: dict[str
     return text, problems(value, schemas[name]) if name in schemas else [f"$: unknown tool {name}"]
 
 
-def depths(calls: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def depths(calls: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``conv_id, call_id, depth`` of calls with ``needs`` (call ids that must come first); null on or behind a cycle.
 
-    Depth 0 needs nothing known. Each round settles the calls whose needs are all
-    settled, by joins on (conversation, call): calls are spread by call, so a very long
-    conversation is not one task. Rounds end when nothing settles. Chains deeper than
-    ``max_depth`` raise.
+    Depth 0 needs nothing known. Each round drops the needs settled in the round before
+    and settles the calls that have none left, by joins on (conversation, call): calls
+    are spread by call, so a very long conversation is not one task, and settled calls
+    are not written again in every round. Rounds end when nothing settles, however deep
+    that is; only with ``max_depth`` deeper chains raise.
     """
     keys = ["conv_id", "call_id"]
     known = calls.select(*keys)
     links = calls.select(*keys, F.explode(F.array_distinct("needs")).alias("need"))
-    links = stored(links.join(known.toDF("conv_id", "need"), ["conv_id", "need"], "left_semi"))
+    links = stored(links.join(known.toDF("conv_id", "need"), ["conv_id", "need"], "left_semi").select(*keys, "need"))
     open_ = stored(links.select(*keys).distinct())
-    settled = known.join(open_, keys, "left_anti").withColumn("depth", F.lit(0))
-    for _ in range(max_depth + 1):
-        if open_.isEmpty():
-            break
-        of_need = links.join(open_, keys, "left_semi").join(settled.toDF("conv_id", "need", "at"), ["conv_id", "need"], "left")
-        ready = of_need.groupBy(*keys).agg(F.max("at").alias("at"), F.count_if(F.col("at").isNull()).alias("missing")).filter("missing = 0")
-        ready = stored(ready.select(*keys, (F.col("at") + 1).alias("depth")))
+    ready = known.join(open_, keys, "left_anti")
+    first, deeper, depth = ready.withColumn("depth", F.lit(0)), [], 0
+    while not open_.isEmpty():
+        links = stored(links.join(ready.toDF("conv_id", "need"), ["conv_id", "need"], "left_anti").select(*keys, "need"))
+        ready = stored(open_.join(links, keys, "left_anti"))
         if ready.isEmpty():
             break
-        settled = stored(settled.unionByName(ready))
+        depth += 1
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"calls depend on each other over more than {max_depth} steps")
+        deeper.append(ready.withColumn("depth", F.lit(depth)))
+        if len(deeper) == MERGED:
+            deeper = [stored(reduce(DataFrame.unionByName, deeper))]
         open_ = stored(open_.join(ready, keys, "left_anti"))
-    else:
-        raise ValueError(f"calls depend on each other over more than {max_depth} steps")
-    return settled.unionByName(open_.withColumn("depth", F.lit(None).cast("int")))
+    return reduce(DataFrame.unionByName, deeper, first).unionByName(open_.withColumn("depth", F.lit(None).cast("int")))
 
 
 def format_chats(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:

@@ -93,6 +93,13 @@ def test_deep_chains_and_a_long_conversation(spark):
         chat.depths(df, max_depth=3).count()
 
 
+def test_chains_of_any_depth(spark):
+    links = [(1, f"c{i}", [f"c{i - 1}", "c0"] if i else None) for i in range(70)] + [(1, "p", ["q", "c3"]), (1, "q", ["p"]), (1, "behind", ["p"]), (2, "c1", ["c0"])]
+    df = spark.createDataFrame(links, "conv_id bigint, call_id string, needs array<string>")
+    got = {(r.conv_id, r.call_id): r.depth for r in chat.depths(df).collect()}
+    assert got == {(1, f"c{i}"): i for i in range(70)} | {(1, "p"): None, (1, "q"): None, (1, "behind"): None, (2, "c1"): 0}
+
+
 def test_problems():
     schema = {"type": "object", "properties": {"s": {"type": "string", "minLength": 2, "maxLength": 3, "enum": ["ab", "abcd"]}, "n": {"type": "number", "maximum": 2}}}
     assert chat.problems({"s": "abcd", "n": 3}, schema) == ["$.n: above maximum", "$.s: too long"]
