@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablefold.llm.common import WordHashes, mixed, rows
+from tablefold.llm.common import WordHashes, mixed, rows, stored
 from tablefold.operators.joins import sized_join
 
 #: Shortest match, in words, and how much of a benchmark text the matches must cover.
@@ -162,7 +162,8 @@ def matches(
     coverage must reach ``min_coverage``. Null or empty texts match nothing. A
     benchmark of up to ``sent_words`` words is sent to every task, and documents
     do not move; a larger one is joined by window hashes in a shuffle, with equal
-    results. Null identifiers take no part in that join.
+    results but for documents with a null identifier, which take no part in that
+    join. Benchmark rows meet it by a number, so a null ``item_id`` is one like others.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -184,11 +185,13 @@ def matches(
 
         item_type = items.select("item_id").limit(0).toArrow().schema.field(0).type
         return source.mapInArrow(tiled, out)
+    # stored, so that a row keeps its number
+    numbered = stored(items.withColumn("item", F.monotonically_increasing_id()))
     pairs = (
-        _windows(source, "doc_id", min_match, True).join(_windows(items, "item_id", min_match, False), ["width", "hash"])
-        .select("doc_id", "item_id").distinct()
+        _windows(source, "doc_id", min_match, True).join(_windows(numbered.select("item", "text"), "item", min_match, False), ["width", "hash"])
+        .select("doc_id", "item").distinct()
     )
-    both = pairs.join(source.filter("doc_id is not null"), "doc_id").join(items.toDF("item_id", "item_text"), "item_id").select("doc_id", "text", "item_id", "item_text")
+    both = pairs.join(source.filter("doc_id is not null"), "doc_id").join(numbered.toDF("item_id", "item_text", "item"), "item").select("doc_id", "text", "item_id", "item_text")
 
     def paired(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

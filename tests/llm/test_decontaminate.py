@@ -108,6 +108,15 @@ def test_matches(spark, sent_words):
     assert {r.doc_id for r in d.clean(docs, items, sent_words=sent_words).collect()} == {12, 13, 15, 16, None}
 
 
+def test_benchmark_rows_without_identifier_count_both_ways(spark):
+    docs = spark.createDataFrame([(1, "so one two three"), (2, "alpha beta gamma delta epsilon zeta"), (3, "nothing here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, "one two three"), (None, "alpha beta gamma delta epsilon zeta"), (7, "alpha beta gamma delta epsilon")], "item_id bigint, text string")
+    for sent_words in (10**6, 0):
+        got = sorted((r.doc_id, r.item_id or -1, r.coverage) for r in d.matches(docs, items, sent_words=sent_words).collect())
+        assert got == [(1, -1, 1.0), (2, -1, 1.0), (2, 7, 1.0)]
+        assert [r.doc_id for r in d.clean(docs, items, sent_words=sent_words).collect()] == [3]
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame([], "item_id bigint, text string")
     full = spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string")
