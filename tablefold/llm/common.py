@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from tablefold.session import cut_lineage
 stored = cut_lineage
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, suffix: str = ".parquet") -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}{suffix}")
 
 
 def id_remainder(id_col: str, modulus: int) -> Column:
@@ -31,6 +32,18 @@ def rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[list]:
             yield [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+def pieces_of(batches: Iterable[pa.RecordBatch], name: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose values of ``name`` (strings or bytes) reach ``size`` bytes at most, or hold one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            past = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, past - at)
+            at = past
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered for words met before; bounded."""
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefold.llm import chat, decontaminate, language, minhash, neighbours, packing, quality, secrets, suffixes, toxicity
+from tablefold.llm import chat, decontaminate, idfiles, language, minhash, neighbours, packing, periodic, quality, secrets, suffixes, toxicity
 from tablefold.llm.common import id_remainder, table
+from tablefold.session import shared_folder
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +115,37 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents whose identifier's crc32 ends in 0 repeat a stretch of words from some place on; the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    with_words = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    with_size = with_words.withColumn("n", F.size("words").cast("bigint"))
+    placed = with_size.withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")))
+    placed = placed.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    tail = F.flatten(F.array_repeat(F.expr("slice(words, a + 1, p)"), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    repeated = F.concat(F.expr("slice(words, 1, a)"), F.slice(tail, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    idfiles.write_ids(idfiles.token_ids(table(spark, sf_dir, "documents")), folder, idfiles.id_width())
+    return idfiles.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -123,6 +157,8 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_language": op10_language,
+    "op12_periodic": op12_periodic,
+    "op13_idfiles": op13_idfiles,
 }
 
 ORACLE = {
