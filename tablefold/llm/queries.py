@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefold.llm import chat, decontaminate, idfiles, language, minhash, neighbours, packing, periodic, quality, secrets, suffixes, toxicity
+from tablefold.llm import chat, decontaminate, divergence, idfiles, language, minhash, neighbours, packing, periodic, quality, secrets, suffixes, toxicity
 from tablefold.llm.common import id_remainder, table
 from tablefold.session import shared_folder
 
@@ -115,6 +115,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """Documents whose identifier's crc32 ends in 0 repeat a stretch of words from some place on; the others stay as they are."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -157,11 +161,39 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_language": op10_language,
+    "op11_divergence": op11_divergence,
     "op12_periodic": op12_periodic,
     "op13_idfiles": op13_idfiles,
 }
 
 ORACLE = {
+    "op11_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+groups AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total, lang_total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang) LEFT JOIN sums USING (lang, source)),
+prices AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (g.lang_total + 2 * g.v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM prices a JOIN prices b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM prices WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
     "op8_neighbours": """
 WITH sound AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
