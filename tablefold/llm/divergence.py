@@ -34,34 +34,52 @@ CHUNK_BYTES = 4_000_000
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs`` of rows ``text, lang, source``: occurrences and rows with the word."""
+def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``lang, term, lang_n, found`` of rows ``text, lang, source``: words of at least ``min_docs`` rows of the language, with occurrences in all and by source.
+
+    Tasks send a row per language and word. Only these move, once, by language and
+    word; a word that is too seldom goes there, before its sources are told apart.
+    """
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[str, tuple[Counter, dict[str, Counter]]] = {}
         size = 0
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, in_docs) in held.items():
-                terms = pa.array([t.decode("utf-8", "surrogatepass") for t in n], pa.string())
-                columns = [pa.array([x] * len(n), pa.string()) for x in (lang, source)]
-                yield pa.record_batch([*columns, terms, pa.array(n.values(), pa.int64()), pa.array([in_docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
+            for lang, (in_docs, by_source) in held.items():
+                place = dict(zip(in_docs, range(len(in_docs)), strict=True))
+                at = np.fromiter((place[t] for n in by_source.values() for t in n), np.int64, sum(map(len, by_source.values())))
+                n = np.fromiter((x for n in by_source.values() for x in n.values()), np.int64, len(at))
+                source = np.repeat(np.arange(len(by_source)), [len(n) for n in by_source.values()])
+                order = np.argsort(at, kind="stable")
+                offsets = pa.array(np.searchsorted(at[order], np.arange(len(place) + 1)), pa.int32())
+                found = pa.StructArray.from_arrays([pa.array(list(by_source), pa.string()).take(pa.array(source[order])), pa.array(n[order])], ["source", "n"])
+                terms = pa.array([t.decode("utf-8", "surrogatepass") for t in in_docs], pa.string())
+                columns = [pa.array([lang] * len(place), pa.string()), terms, pa.array(in_docs.values(), pa.int64()), pa.ListArray.from_arrays(offsets, found)]
+                yield pa.record_batch(columns, ["lang", "term", "docs", "found"])
 
         for batch in pieces_of(batches, "text", CHUNK_BYTES):
             for text, lang, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
-                before, own = len(n), text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
-                n.update(own)
-                in_docs.update(set(own))
-                size += len(n) - before
-                if size > HELD_TERMS:
-                    yield from sent()
-                    held, size = {}, 0
+                own = text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+                if own:
+                    in_docs, by_source = held.setdefault(lang, (Counter(), {}))
+                    n = by_source.setdefault(source, Counter())
+                    before = len(n)
+                    n.update(own)
+                    in_docs.update(set(own))
+                    size += len(n) - before
+            if size > HELD_TERMS:
+                yield from sent()
+                held, size = {}, 0
         yield from sent()
 
     given = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    found = given.mapInArrow(counted, "lang string, source string, term string, n bigint, docs bigint")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows = given.mapInArrow(counted, "lang string, term string, docs bigint, found array<struct<source:string,n:bigint>>")
+    everywhere = Window.partitionBy("lang", "term")
+    often = rows.withColumn("all_docs", F.sum("docs").over(everywhere)).filter(F.col("all_docs") >= min_docs)
+    # all of this stays where the window has put it
+    summed = often.select("lang", "term", F.inline("found")).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    return summed.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("found"))
 
 
 def _price(n: Column, total: Column) -> Column:
@@ -136,25 +154,26 @@ def merged(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarra
     return value, len(ids) + int(alone.sum())
 
 
-def pair_values(kept: DataFrame, groups: DataFrame, slice_terms: int = SLICE_TERMS, block_groups: int = BLOCK_GROUPS) -> DataFrame:
+def sparse_arrays(found: DataFrame, langs: DataFrame, slice_terms: int = SLICE_TERMS) -> DataFrame:
+    """``lang, source, slice, ids, counts``: each source's words of a slice by their number in it, which follows from all words of the slice."""
+    most = langs.agg(F.max("terms")).first()[0] or 0
+    sliced = found.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(most // slice_terms + 1)).cast("int"))
+    numbered = sliced.withColumn("id", F.row_number().over(Window.partitionBy("lang", "slice").orderBy("term")))
+    by_source = numbered.select("lang", "slice", "id", F.inline("found")).groupBy("lang", "source", "slice").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("found"))
+    return stored(by_source.select("lang", "source", "slice", F.col("found.id").alias("ids"), F.col("found.n").alias("counts")))
+
+
+def pair_values(kept: DataFrame, groups: DataFrame, block_groups: int = BLOCK_GROUPS) -> DataFrame:
     """``lang, a, b, value`` for every unordered pair of sources of a language.
 
-    ``kept`` has ``lang, source, term, n`` with ``n > 0``, ``groups`` has ``lang, source, total``
-    (occurrences of kept words and twice their number) and ``terms`` (their number).
+    ``kept`` has ``lang, source, slice, ids, counts``: a source's words of a slice by rising
+    number. ``groups`` has ``lang, source, total`` (occurrences of kept words and twice
+    their number) and ``terms`` (their number).
     """
-    n_terms = max((r[0] for r in groups.groupBy("lang").agg(F.max("terms")).select("max(terms)").collect()), default=0)
-    slices = n_terms // slice_terms + 1
-    terms = kept.select("lang", "term").distinct().withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(slices)).cast("int"))
-    numbered = terms.withColumn("id", F.row_number().over(Window.partitionBy("lang", "slice").orderBy("term")))
     blocked = stored(groups.withColumn("block", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("bigint")).withColumn("block", _div(F.col("block"), F.lit(block_groups)).cast("int")))
-    arrays = (
-        kept.join(numbered, ["lang", "term"]).groupBy("lang", "source", "slice").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("found"))
-        .select("lang", "source", "slice", F.col("found.id").alias("ids"), F.col("found.n").alias("counts"))
-    )
-    sparse = stored(arrays.join(blocked.select("lang", "source", "total", "block"), ["lang", "source"]))
-    # sources without a word of a slice take part in it too: with empty arrays
-    every = terms.select("lang", "slice").distinct().join(blocked.select("lang", "source", "total", "block"), "lang")
-    full = every.join(sparse.select("lang", "source", "slice", "ids", "counts"), ["lang", "source", "slice"], "left")
+    # sources without a word of a slice take part in it too, without arrays
+    every = kept.select("lang", "slice").distinct().join(blocked.select("lang", "source", "total", "block"), "lang")
+    full = every.join(kept, ["lang", "source", "slice"], "left")
     blocks = blocked.groupBy("lang").agg((F.max("block") + 1).alias("blocks"))
     dealt = stored(full.join(blocks, "lang"))
     task = ["lang", "slice", "i", "j"]
@@ -187,7 +206,10 @@ def _apart(p: Column, q: Column) -> Column:
     return _div((p - q) * (p - q), p + q)
 
 
-def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
+def audit(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
+    slice_terms: int = SLICE_TERMS, block_groups: int = BLOCK_GROUPS,
+) -> DataFrame:
     """``lang, source, part, item, value, rank``: how far each source lies from the others of its language, and by which words from all of it.
 
     Words are runs of ASCII letters and non-ASCII characters, A-Z in lower case; a
@@ -201,26 +223,25 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     too; a language with one source has no pair; an empty table gives no row.
     """
     given = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
-    counts = stored(term_counts(given))
-    per_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).drop("docs")
-    kept = stored(counts.drop("docs").join(per_lang, ["lang", "term"]))
-    langs = per_lang.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms"))
+    found = stored(kept_terms(given, min_docs))
+    langs = found.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms"))
+    kept = sparse_arrays(found, langs, slice_terms)
     occurring = given.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sums = kept.groupBy("lang", "source").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda total, n: total + n)).alias("total"))
     zero = F.lit(0).cast("bigint")
     groups = occurring.join(sums, ["lang", "source"], "left").join(langs, "lang", "left").select(
         "lang", "source", F.coalesce("terms", zero).alias("terms"), (F.coalesce("total", zero) + 2 * F.coalesce("terms", zero)).alias("total"),
         (F.coalesce("lang_total", zero) + 2 * F.coalesce("terms", zero)).alias("lang_total"),
     )
     groups = stored(groups)
-    values = pair_values(kept.drop("lang_n"), groups.filter("terms > 0"))
+    values = pair_values(kept, groups.filter("terms > 0"), block_groups)
     both = values.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), "value").unionByName(values.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), "value"))
     bare = groups.filter("terms = 0").select("lang", "source")
     none = bare.join(bare.withColumnRenamed("source", "item"), "lang").filter("source <> item").withColumn("value", zero)
     pairs = both.unionByName(none.select(*both.columns))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(by_value).alias("rank"))
-    priced = kept.join(groups, ["lang", "source"]).select(
+    priced = found.select("lang", "term", "lang_n", F.inline("found")).join(groups, ["lang", "source"]).select(
         "lang", "source", F.col("term").alias("item"), _price(F.col("n"), F.col("total")).alias("p"), _price(F.col("lang_n"), F.col("lang_total")).alias("q")
     )
     above = priced.filter("p > q").select("lang", "source", F.lit("term").alias("part"), "item", _apart(F.col("p"), F.col("q")).alias("value"))
