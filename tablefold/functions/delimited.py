@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import sys
-from collections import defaultdict
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Executors need not have this package installed: its functions travel with the job.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Delimiters in order of preference when several would do.
 PREFERRED_DELIMITERS = [",", "\t", ";", " ", ":"]
 
@@ -145,29 +138,36 @@ def name_columns(fields: Column) -> Column:
     """Header names: empty ones become ``Unnamed: i``, repeats get ``.1``, ``.2``; no name occurs twice."""
     named = F.transform(fields, lambda f, i: F.when(f == "", F.concat(F.lit("Unnamed: "), i)).otherwise(f))
     repeated = F.size(F.array_distinct(named)) < F.size(named)
-    # only headers with repeats, which are few, go through Python
-    return F.coalesce(_numbered_apart()(F.when(repeated, named)), named)
+    return F.when(repeated, numbered(named)).otherwise(named)
 
 
-def numbered(names: list[str]) -> list[str]:
-    """Names in order; one that is taken gets its number of earlier takers, again and again until it is free."""
-    taken: dict[str, int] = defaultdict(int)
-    out = []
-    for name in names:
-        while taken[name]:
-            taken[name] += 1
-            name = f"{name}.{taken[name] - 1}"
-        taken[name] = 1
-        out.append(name)
-    return out
+def numbered(names: Column) -> Column:
+    """Names in order; one that is taken gets its number of earlier takers, again and again until it is free.
 
+    A name grows with every number, so it meets each earlier name once at most:
+    as many steps as there are earlier names always suffice.
+    """
 
-def _numbered_apart():
-    @F.pandas_udf("array<string>")
-    def apart(names: pd.Series) -> pd.Series:
-        return names.map(lambda x: None if x is None else numbered(list(x)))
+    def free(taken: Column, name: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            at = F.array_position(taken["names"], state["name"]).cast("int")
+            takers = F.get(state["takers"], at - 1)
+            counted = F.transform(state["takers"], lambda n, i: F.when(i == at - 1, n + 1).otherwise(n))
+            longer = F.struct(F.concat_ws(".", state["name"], takers).alias("name"), counted.alias("takers"))
+            return F.when(at > 0, longer).otherwise(state)
+
+        return F.aggregate(taken["names"], F.struct(name.alias("name"), taken["takers"].alias("takers")), step)
+
+    def add(taken: Column, name: Column) -> Column:
+        return bind(
+            free(taken, name),
+            lambda found: F.struct(
+                F.concat(taken["names"], F.array(found["name"])).alias("names"), F.concat(found["takers"], F.array(F.lit(1))).alias("takers")
+            ),
+        )
 
-    return apart
+    nothing = F.struct(F.array().cast("array<string>").alias("names"), F.array().cast("array<int>").alias("takers"))
+    return F.aggregate(names, nothing, add, lambda taken: taken["names"])
 
 
 def null_value(value: Column) -> Column:
