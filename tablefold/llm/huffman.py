@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest code, unless the alphabet itself needs more, and numbers between two checkpoints of a block.
-MAX_BITS = 18
+MAX_BITS = 16
 CHECKPOINT = 128
 
 
@@ -61,26 +61,26 @@ class Code:
         """The ids' codes one behind the other, first bit highest, and the bit at which every ``CHECKPOINT``-th begins."""
         if not len(ids):
             return b"", np.empty(0, np.int64)
-        length = self.lengths[ids].astype(np.int64)
+        length = self.lengths[ids]
         if not length.all():
             raise ValueError("an id without a code")
-        end = np.cumsum(length)
+        end = np.cumsum(length, dtype=np.int64)
         start = end - length
         word, room = start >> 6, 64 - (start & 63) - length
-        code = self.codes[ids]
-        here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
+        code, split = self.codes[ids], np.flatnonzero(room < 0)  # codes that go on in the next word
+        here = code << np.maximum(room, 0).view(np.uint64)
+        here[split] = code[split] >> (-room[split]).view(np.uint64)
         out = np.zeros(int(word[-1]) + 2, np.uint64)
         firsts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         out[word[firsts]] = np.bitwise_or.reduceat(here, firsts)
-        split = np.flatnonzero(room < 0)
-        out[word[split] + 1] |= code[split] << (64 + room[split]).astype(np.uint64)
+        out[word[split] + 1] |= code[split] << (64 + room[split]).view(np.uint64)
         return out.astype(">u8").tobytes()[: (int(end[-1]) + 7) // 8], start[::CHECKPOINT]
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and length for every possible next ``bits`` bits."""
         missing = (1 << self.bits) - int(self.widths.sum())
         symbols = np.concatenate((np.repeat(self.order, self.widths), np.zeros(missing, np.int64)))
-        return symbols.astype(np.uint32), self.lengths[symbols].astype(np.int64)
+        return symbols.astype(np.uint32), self.lengths[symbols]
 
 
 class Decoder:
@@ -93,11 +93,11 @@ class Decoder:
     def decode(self, data: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         if not n:
             return np.empty(0, np.uint32)
-        raw = np.frombuffer(data + bytes(8), np.uint8).astype(np.uint64)
+        raw = np.frombuffer(data + bytes(8), np.uint8).astype(np.int64)
         parts = len(raw) - 4  # five bytes from each place on hold any code of up to 33 bits
-        window = np.zeros(parts, np.uint64)
+        window = np.zeros(parts, np.int64)
         for i in range(5):
-            window = (window << np.uint64(8)) | raw[i : i + parts]
+            window = (window << 8) | raw[i : i + parts]
         at = checkpoints.astype(np.int64).copy()
         out = np.empty((CHECKPOINT, len(at)), np.uint32)
         mask = (1 << self.bits) - 1
@@ -106,7 +106,7 @@ class Decoder:
                 at = at[:-1]  # the last stretch has ended
                 if not len(at):
                     break
-            seen = (window[at >> 3] >> (40 - self.bits - (at & 7)).astype(np.uint64)).astype(np.int64) & mask
+            seen = (window[at >> 3] >> (40 - self.bits - (at & 7))) & mask
             out[i, : len(at)] = self.symbols[seen]
             at += self.lengths[seen]
         return out.T.ravel()[:n]

@@ -15,8 +15,8 @@ document longer than a block makes a longer one.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +31,7 @@ from tablefold.operators.numbering import running_total
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-BLOCK_IDS = 65_536
+BLOCK_IDS = 262_144
 #: Characters of texts tokenised together, and words remembered per task.
 BATCH_CHARS = 4_000_000
 KNOWN_WORDS = 400_000
@@ -39,7 +39,7 @@ KNOWN_WORDS = 400_000
 #: Signs that never join a letter before them in one token.
 _TAIL = ".,;:!?&%$*#"
 #: White space to Python, but not to the tokenizer.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -53,61 +53,69 @@ class WordEncoder:
 
     White space separates tokens in this vocabulary, so that a text's ids are those of
     its words. Words of letters are encoded in one call and cut behind the tokens that
-    end a word; other words are told apart by a special token between them. Texts with a
-    special token's string, or with separators on whose kind Python and the tokenizer
-    differ, are encoded whole.
+    end a word, those of ASCII letters in lower case, so that nothing is left to
+    normalise or to split; other words are told apart by a special token between them.
+    Texts with a special token's string, or with separators on whose kind Python and
+    the tokenizer differ, are encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
         self.whole = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        self.special = [t["content"] for t in spec["added_tokens"]]
         self.mark = self.special[-1]
         self.mark_id = self.whole.token_to_id(self.mark)
         vocabulary = self.whole.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        if hasattr(self.letters.model, "_resize_cache"):
+            self.letters.model._resize_cache(0)  # words come once only
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+    def _ids(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
+        return np.array((tokenizer or self.whole).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _learn(self, words: list[str], told_apart: bool) -> None:
-        """Remembers the ids of ``words``."""
-        if not words:
-            return
-        ids = self._ids((self.mark if told_apart else "\n").join(words))
-        cuts = np.flatnonzero(ids == self.mark_id) if told_apart else np.flatnonzero(self.ends[ids])[:-1] + 1
+    def _learn(self, words: list[str], ids: np.ndarray, cuts: np.ndarray, gap: int) -> None:
         if len(cuts) != len(words) - 1:
-            if told_apart:
-                raise ValueError("words cannot be told apart by a special token")
-            return self._learn(words, True)
-        begins, ends = [0, *(cuts + told_apart).tolist()], [*cuts.tolist(), len(ids)]
+            raise ValueError("the ids of different words cannot be told apart")
         data, width = ids.tobytes(), self.kind.itemsize
-        for word, a, z in zip(words, begins, ends, strict=True):
-            self.known[word] = data[width * a : width * z]
+        for word, a, z in zip(words, [0, *(width * (cuts + gap)).tolist()], [*(width * cuts).tolist(), len(data)], strict=True):
+            self.known[word] = data[a:z]
+
+    def learn(self, words: set[str]) -> None:
+        """Remembers the ids of ``words``."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        if plain:
+            ids = self._ids("\n".join(plain).lower(), self.letters)
+            self._learn(plain, ids, np.flatnonzero(self.ends[ids])[:-1] + 1, 0)
+        others = list(words.difference(plain))
+        if others:
+            ids = self._ids(self.mark.join(others))
+            self._learn(others, ids, np.flatnonzero(ids == self.mark_id), 1)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
-        by_words = [not _SEPARATORS.search(t) and not any(s in t for s in self.special) for t in texts]
+        odd = (*_SEPARATORS, *self.special)
+        by_words = [not any(s in t for s in odd) for t in texts]
         split = [t.split() if words else () for t, words in zip(texts, by_words, strict=True)]
-        new = set().union(*split)
-        new.difference_update(self.known.keys())
-        bare = {w: w.rstrip(_TAIL) for w in new}
-        bare = {w: c for w, c in bare.items() if c and len(c) < len(w) and c.isalpha()}
-        single = (new - bare.keys()).union(bare.values(), (w[len(c) :] for w, c in bare.items())) - self.known.keys()
-        letters = [w for w in single if w.isalpha()]
-        self._learn(letters, False)
-        self._learn([w for w in single if not w.isalpha()], True)
         known = self.known
+        found = [list(map(known.get, s)) for s in split]
+        new = {w for s, f in zip(split, found, strict=True) for w, x in zip(s, f, strict=True) if x is None}
+        bare = {w: c for w in new if (c := w.rstrip(_TAIL)) and len(c) < len(w) and c[-1].isalpha()}
+        self.learn(new.difference(bare).union(bare.values(), {w[len(c) :] for w, c in bare.items()}).difference(known))
         for w, c in bare.items():
             known[w] = known[c] + known[w[len(c) :]]
-        get = known.__getitem__
-        return [b"".join(map(get, s)) if words else self._ids(t).tobytes() for t, s, words in zip(texts, split, by_words, strict=True)]
+        return [
+            b"".join([known[w] if x is None else x for w, x in zip(s, f, strict=True)]) if words else self._ids(t).tobytes()
+            for t, s, f, words in zip(texts, split, found, by_words, strict=True)
+        ]
 
 
 def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, path: str | None = None) -> DataFrame:
@@ -139,12 +147,11 @@ def id_counts(ids: DataFrame, width: int) -> DataFrame:
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for row in batch.column(0):
-                n = np.bincount(np.frombuffer(row.as_buffer(), kind))
-                if len(n) > len(total):
-                    total, n = n, total
-                total[: len(n)] += n
+        for part in pieces_of(batches, "ids", BATCH_CHARS):
+            n = np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), kind))
+            if len(n) > len(total):
+                total, n = n, total
+            total[: len(n)] += n
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["id", "n"])
 
