@@ -137,8 +137,17 @@ def index_width(width: Column, first: Column, second: Column) -> Column:
 def name_columns(fields: Column) -> Column:
     """Header names: empty ones become ``Unnamed: i``, repeats get ``.1``, ``.2``; no name occurs twice."""
     named = F.transform(fields, lambda f, i: F.when(f == "", F.concat(F.lit("Unnamed: "), i)).otherwise(f))
-    repeated = F.size(F.array_distinct(named)) < F.size(named)
-    return F.when(repeated, numbered(named)).otherwise(named)
+
+    def apart(names: Column) -> Column:
+        return F.size(F.array_distinct(names)) == F.size(names)
+
+    def once_numbered(names: Column) -> Column:
+        earlier = lambda x, i: F.size(F.filter(F.slice(names, F.lit(1), i), lambda y: y == x))
+        return F.transform(names, lambda x, i: bind(earlier(x, i), lambda n: F.when(n > 0, F.concat_ws(".", x, n)).otherwise(x)))
+
+    # one number each is enough unless a header itself looks like a numbered name
+    last = lambda names: bind(once_numbered(names), lambda once: F.when(apart(once), once).otherwise(numbered(names)))
+    return bind(named, lambda names: F.when(apart(names), names).otherwise(last(names)))
 
 
 def numbered(names: Column) -> Column:

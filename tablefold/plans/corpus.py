@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefold import sinks
+from tablefold import sinks, wide_tables
 from tablefold.functions import text
 from tablefold.operators import domain, filters, match, names, privacy, stats
 from tablefold.operators.joins import sized_join
@@ -277,7 +277,7 @@ def topic_series(corpus: Corpus, chunk_tables: int = stats.CHUNK_TABLES) -> Data
 
 
 def write_corpus(corpus: Corpus, path: str) -> None:
-    """All tables of the corpus as Parquet by topic; statistics as JSON, last.
+    """All tables of the corpus as Parquet by topic, and each as a wide file of its own; statistics as JSON, last.
 
     Topics written before stay unless this corpus has them too; writing a corpus
     again changes nothing.
@@ -287,6 +287,9 @@ def write_corpus(corpus: Corpus, path: str) -> None:
     for name in ("columns", "annotations", "domains", "replaced", "rows"):
         sinks.write_partitioned(getattr(corpus, name).join(topics, "file_id"), f"{path}/{name}")
     sinks.write_partitioned(table_metadata(corpus), f"{path}/metadata")
+    wide = corpus.tables.select("file_id", "topic", F.col("output_name").alias("name"))
+    typed = wide_tables.columns_as_written(corpus.columns, corpus.replaced)
+    wide_tables.write_tables(corpus.rows, typed, wide, f"{path}/wide", table_metadata(corpus))
     sinks.write_partitioned(corpus.rejects, f"{path}/rejects")
     sinks.write_partitioned(topic_series(corpus), f"{path}/topic_series")
     sinks.write_topic_stats(topic_stats(corpus), f"{path}/topic_stats")

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablefold.functions import text
+from tablefold.operators.filters import prune_licensed
 
 SEARCH_SCHEMA = "total_count bigint, items array<struct<html_url:string>>"
 LICENSE_SCHEMA = (
     "owner string, repo string, status int, license struct<key:string,name:string,spdx_id:string,url:string>"
 )
+BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 # Files up to this size are parsed inside one row; larger ones as lines.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
@@ -86,17 +88,24 @@ def manifest_rows(lines: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """URL lists of all topics: ``<path>/<topic>/<file>.txt``, one URL per line.
 
-    ``url_pos`` grows along each file without being dense: the split of the file
-    a line lies in, then its place there.
+    ``url_pos`` is unique in a topic and grows along its files in order of their names,
+    without being dense: the bytes of the files before, the split of the file a
+    line lies in, then its place there. Only the files' names and sizes, one row each,
+    are put in order, by topic.
     """
     lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.txt")
     lines = lines.select(
         F.col("value").alias("url"), F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"),
     ).withColumn("place", F.monotonically_increasing_id())
     inside = Window.partitionBy("path", "block").orderBy("place")
-    numbered = lines.withColumn("url_pos", F.col("block") + F.row_number().over(inside) - 1)
-    return manifest_rows(numbered.filter(F.col("url") != "").select(_folder(F.col("path")).alias("topic"), "url_pos", "url"))
+    numbered = lines.withColumn("at", F.col("block") + F.row_number().over(inside) - 1).withColumn("topic", _folder(F.col("path")))
+    # a line takes a byte of its file at least, but for an empty last one, which is no URL
+    before = Window.partitionBy("topic").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    files = numbered.select("topic", "path", "size").distinct()
+    begins = files.select("path", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
+    placed = numbered.filter(F.col("url") != "").join(begins, "path")
+    return manifest_rows(placed.select("topic", (F.col("begin") + F.col("at")).alias("url_pos"), "url"))
 
 
 def read_licenses(spark: SparkSession, path: str) -> DataFrame:
@@ -112,14 +121,30 @@ def read_files(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.url_decode(F.element_at(F.split("path", "/"), -1))
-    bare = F.when(F.substring("content", 1, 3) == BYTE_ORDER_MARK, F.expr("substring(content, 4)")).otherwise(F.col("content"))
-    decoded = bare.cast("string")
     return files.filter(F.col("length") <= max_bytes).select(
         _folder(F.col("path")).alias("topic"), name.alias("file_name"), F.col("path").alias("file_id"),
-        F.col("length").alias("n_bytes"), F.when(F.is_valid_utf8(decoded), decoded).alias("content"),
+        F.col("length").alias("n_bytes"), _text("content").alias("content"),
     )
 
 
+def _text(content: str) -> Column:
+    """Bytes as text without a byte-order mark; null if they are not UTF-8."""
+    bare = F.when(F.substring(content, 1, 3) == BYTE_ORDER_MARK, F.expr(f"substring({content}, 4)")).otherwise(F.col(content))
+    decoded = bare.cast("string")
+    return F.when(F.is_valid_utf8(decoded), decoded)
+
+
+def read_repository_files(spark: SparkSession, path: str, licenses: DataFrame, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``read_files`` of licensed repositories only, from files landed in ``owner=.../repo=.../topic=.../``.
+
+    Content of other repositories is not read (``filters.prune_licensed``).
+    """
+    files = spark.read.format("binaryFile").schema(f"{BINARY_SCHEMA}, owner string, repo string, topic string").load(path)
+    kept = prune_licensed(files.filter(F.col("length") <= max_bytes), licenses)
+    name = F.url_decode(F.element_at(F.split("path", "/"), -1))
+    return kept.select("topic", name.alias("file_name"), F.col("path").alias("file_id"), F.col("length").alias("n_bytes"), _text("content").alias("content"))
+
+
 def read_long_files(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """``(topic, file_name, file_id, line_pos, line, line_end, readable)`` of the files ``read_files`` leaves out.
 
