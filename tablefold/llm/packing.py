@@ -8,17 +8,20 @@ from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablefold.llm.common import rows, stored
+from tablefold.llm.common import pieces_of, rows, stored
 
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 RANK_ROWS = 5_000
+#: Bytes of text taken out of an Arrow batch at once.
+BATCH_BYTES = 4_000_000
 
 #: How byte-level BPE vocabularies of this kind split a text, and the printable stand-ins of bytes.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,13 +52,12 @@ class Encoder(dict):
     library, which gives them its id.
     """
 
-    limit = 800_000
+    limit = 400_000
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -65,6 +67,13 @@ class Encoder(dict):
         self.plain, self.piece = words.encode_ordinary, words._core_bpe.encode_single_piece
         self.ends = {c: _packed(self.plain(c)) for c in ".,;:!?"}
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer library, loaded for the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __missing__(self, word: str) -> bytes:
         if word.isalpha():
             ids = _packed(self.piece((" " + word).encode()))
@@ -108,7 +117,7 @@ def token_pieces(
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder(path), end_id.to_bytes(4, "little")
         schema = None
-        for batch in batches:
+        for batch in pieces_of(batches, "text", BATCH_BYTES):
             schema = pa.schema([("doc_id", batch.schema.field(0).type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
             out: list[tuple] = []
             size = 0

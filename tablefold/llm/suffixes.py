@@ -4,7 +4,7 @@ Texts are spread so that equal strings meet: every window of ``WINDOW`` bytes go
 string with its neighbours, to the bucket of its minimizer, the smallest hash among its
 ``GRAM``-byte parts. Equal windows have equal minimizers. Minimizers that occur in one
 document only cannot belong to a repeated window and are left out beforehand by
-counting them. A bucket is of bounded size; inside it the suffixes of all strings are
+counting them. A bucket holds about ``BUCKET_BYTES`` of strings; inside it the suffixes of all strings are
 sorted by a difference cover (sampled triples are sorted, their names sorted by
 recursion, the remaining suffixes merged), and adjacent prefixes are compared.
 """
@@ -29,7 +29,9 @@ GRAM = 20
 #: Bytes of text worked on at once, kept together before sending, and meant for one bucket.
 CHUNK_BYTES = 1_000_000
 SEND_BYTES = 16_000_000
-BUCKET_BYTES = 3_000_000
+BUCKET_BYTES = 1_000_000
+#: Windows of occurrences compared at once.
+COMPARED_WINDOWS = 1_000_000
 SENT_COPIES = 1_000_000
 
 
@@ -264,9 +266,10 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
     def judged(table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
         string, doc, tag, place = [], [], [], []
-        for row in table.to_pylist():
-            ends = np.cumsum(np.frombuffer(row["lengths"], "<u4")).tolist()
-            here = [known.setdefault(row["strings"][a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
+        for lengths, strings, *found in zip(*(table.column(c) for c in ("lengths", "strings", "string", "doc", "tag", "place")), strict=True):
+            row = dict(zip(("string", "doc", "tag", "place"), (x.as_py() for x in found), strict=True))
+            ends, data = np.cumsum(np.frombuffer(lengths.as_py(), "<u4")).tolist(), strings.as_py()
+            here = [known.setdefault(data[a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
             string.append(np.array(here)[np.frombuffer(row["string"], "<u4")])
             doc.append(np.frombuffer(row["doc"], "<i8"))
             tag.append(np.frombuffer(row["tag"], "<u4").astype(np.int64))
@@ -285,17 +288,23 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
         least = np.full(int(kind.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, kind, np.repeat(earliest, n))
         least = least[kind]
-        # every occurrence, window by window
-        m = n[string]
-        row = np.repeat(np.arange(len(string)), m)
-        offset = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)
-        gone = least[before[string][row] + offset] < doc[row]
-        row, offset = row[gone], offset[gone]
-        if not len(row):
-            return pa.table({"doc_id": pa.array([], pa.int64()), "tag": pa.array([], pa.int64()), "start": pa.array([], pa.int64()), "end": pa.array([], pa.int64())})
-        new = np.concatenate(([True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)))
-        last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(row) - 1]))
-        return pa.table({"doc_id": doc[row[new]], "tag": tag[row[new]], "start": place[row[new]] + offset[new], "end": place[row[last]] + offset[last] + window})
+        # every occurrence, window by window, in parts of bounded size
+        spans = [np.zeros((0, 4), np.int64)]
+        done = np.cumsum(n[string])
+        at = 0
+        while at < len(string):
+            past = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + COMPARED_WINDOWS, side="right")))
+            own, m = string[at:past], n[string[at:past]]
+            row = np.repeat(np.arange(at, past), m)
+            offset = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)
+            gone = least[np.repeat(before[own], m) + offset] < doc[row]
+            row, offset = row[gone], offset[gone]
+            if len(row):
+                new = np.concatenate(([True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)))
+                last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(row) - 1]))
+                spans.append(np.stack((doc[row[new]], tag[row[new]], place[row[new]] + offset[new], place[row[last]] + offset[last] + window), 1))
+            at = past
+        return pa.table(dict(zip(("doc_id", "tag", "start", "end"), map(pa.array, np.ascontiguousarray(np.concatenate(spans).T)), strict=True)))
 
     strings = texts.mapInArrow(sent, "bucket int, lengths binary, strings binary, string binary, doc binary, tag binary, place binary")
     return strings.groupBy("bucket").applyInArrow(judged, "doc_id bigint, tag bigint, start bigint, end bigint")
