@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefold.llm import decontaminate, language, minhash, packing, secrets
-from tablefold.llm.common import id_remainder, table
+from tablefold.llm.common import id_remainder, stored, table
 from tablefold.operators.joins import sized_join
 from tablefold.session import shared_folder
 
@@ -17,18 +17,29 @@ MIN_LANGUAGE_SHARE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without letters, or mostly in no learned language, go."""
+    """Documents with a language: those without letters, or mostly in no learned language, go. Columns stay as they are, whatever their names."""
     learned = docs.filter(F.coalesce(id_remainder("doc_id", 4) != 2, F.lit(True)))
-    found = language.identify(docs, language.learn(learned))
+    found = language.identify(docs, language.learn(learned), [F.struct("*").alias("document")])
     kept = found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("other") <= 1 - MIN_LANGUAGE_SHARE))
-    return kept.select(*docs.columns)
+    return kept.select("document.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest identifier."""
-    found = minhash.near_duplicates(docs, threshold=0.8)
-    gone = found.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    return sized_join(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one with the smallest identifier, null last; of repeated rows the first read.
+
+    Rows are told apart by their place in the stored table, so that rows which
+    repeat an identifier, or have none, are judged by their own texts.
+    """
+    place = "_place"
+    while place in docs.columns:
+        place += "_"
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    found = minhash.near_duplicates(placed.select(place, "text"), threshold=0.8, id_col=place).select(F.col("doc_id").alias(place), "component_id")
+    members = stored(found.join(placed.select(place, "doc_id"), place))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", place)
+    first = members.groupBy("component_id").agg(F.min(order)[place].alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    gone = members.join(first, "component_id").filter(F.col(place) != F.col("_first")).select(place)
+    return sized_join(placed, gone, [place], "left_anti").select(*docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
