@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,6 +46,13 @@ def pieces_of(batches: Iterable[pa.RecordBatch], name: str, size: int) -> Iterat
             at = past
 
 
+def give_back() -> None:
+    """Returns freed memory to the machine where the C library can: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered for words met before; bounded."""
 

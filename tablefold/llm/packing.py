@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablefold.llm.common import pieces_of, rows, stored
+from tablefold.llm.common import give_back, pieces_of, rows, stored
 
 CAPACITY = 1024
 END_ID = 2
@@ -135,6 +135,8 @@ def token_pieces(
                         out, size = [], 0
             if out:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        encoder.clear()
+        give_back()
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(pieces, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")

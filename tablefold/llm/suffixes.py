@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefold.llm.common import mixed, stored
+from tablefold.llm.common import give_back, mixed, stored
 from tablefold.llm.keyfilter import KeyFilter, key_filter
 
 WINDOW = 50
@@ -194,6 +194,8 @@ def _repeated_keys(texts: DataFrame, window: int, gram: int, buckets: int) -> Da
                 held, size = [], 0
         if held:
             yield pieces(held)
+        del held
+        give_back()
 
     def pieces(held: list) -> pa.RecordBatch:
         key, text = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -212,6 +214,7 @@ def _repeated_keys(texts: DataFrame, window: int, gram: int, buckets: int) -> Da
         )
 
     def counted(table: pa.Table) -> pa.Table:
+        give_back()
         lists = [_from_six(x.as_py()) for name in ("keys", "twice") for x in table.column(name)]
         found, n = np.unique(np.concatenate(lists), return_counts=True)
         return pa.table({"key": found[n > 1].view(np.int64)})
@@ -250,6 +253,8 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
                 held, size = {}, 0
         if held:
             yield pieces(held)
+        del held
+        give_back()
 
     def pieces(held: dict) -> pa.RecordBatch:
         out: dict[str, list] = {"bucket": list(held), "lengths": [], "strings": [], "string": [], "doc": [], "tag": [], "place": []}
@@ -264,6 +269,7 @@ def _repeats(texts: DataFrame, wanted: Broadcast, window: int, gram: int, bucket
         return pa.record_batch([pa.array(v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()], list(out))
 
     def judged(table: pa.Table) -> pa.Table:
+        give_back()  # what the bucket before has left
         known: dict[bytes, int] = {}
         string, doc, tag, place = [], [], [], []
         for lengths, strings, *found in zip(*(table.column(c) for c in ("lengths", "strings", "string", "doc", "tag", "place")), strict=True):
