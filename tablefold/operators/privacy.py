@@ -159,5 +159,10 @@ def bias_top_values(values: DataFrame, order: list[str], k: int = TOP_VALUES, gr
     counted = values.groupBy(*groups, "bias_type", "value").agg(
         F.count("*").alias("n"), F.min(F.struct(*order)).alias("_first")
     )
+    return top_counted_values(counted, k, groups)
+
+
+def top_counted_values(counted: DataFrame, k: int = TOP_VALUES, groups: tuple[str, ...] = ()) -> DataFrame:
+    """``bias_top_values`` from values counted before: ``n`` and ``_first``, where each is seen first."""
     best = top_k(counted, [*groups, "bias_type"], [F.col("n").desc(), F.col("_first").asc(), F.col("value").asc()], k)
     return best.drop("_first")

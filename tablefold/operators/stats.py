@@ -16,6 +16,8 @@ from tablefold.operators.numbering import row_index
 CHUNK_TABLES = 10_000
 METHODS = ["syntactic", "semantic"]  # fixed values
 ONTOLOGIES = ["dbpedia", "schema"]  # fixed values
+#: Quantiles that are listed, per mille.
+QUANTILES = (10, 100, 250, 500, 750, 900, 990)
 
 
 def assign_table_ids(tables: DataFrame, topic: str = "topic", order: str = "url_pos") -> DataFrame:
@@ -65,6 +67,25 @@ def type_similarities(annotations: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def spread_of_counts(counted: DataFrame, by: Sequence[str], value: str, count: str = "n", per_mille: Sequence[int] = QUANTILES) -> DataFrame:
+    """Spread and exact quantiles of values given in counted form, for all groups at once.
+
+    ``counted`` has one row per group and value. The quantile at ``q`` per mille
+    (``p<q>``) is the smallest value with at least that share of the rows at or
+    below it. The window goes over a group's different values, not its rows:
+    similarities have four decimals, so those are 20,001 at most.
+    """
+    upto = Window.partitionBy(*by).orderBy(value)
+    placed = counted.withColumn("_upto", F.sum(count).over(upto)).withColumn("_all", F.sum(count).over(Window.partitionBy(*by)))
+    n, v = F.col(count), F.col(value)
+    quantile = lambda q: F.min(F.when(F.col("_upto") * 1000 >= F.col("_all") * q, v)).alias(f"p{q}")
+    mean = F.sum(n * v) / F.sum(n)
+    return placed.withColumn("_mean", F.sum(n * v).over(Window.partitionBy(*by)) / F.col("_all")).groupBy(*by).agg(
+        F.sum(n).alias("n"), mean.alias(f"mean_{value}"), F.sqrt(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))) / F.sum(n)).alias(f"std_{value}"),
+        F.min(v).alias(f"min_{value}"), F.max(v).alias(f"max_{value}"), *[quantile(q) for q in per_mille],
+    )
+
+
 def chunked_list(
     df: DataFrame, by: Sequence[str], position: str, value: Column, out: str, ties: Sequence[str] = (),
     chunk_tables: int = CHUNK_TABLES,

@@ -33,7 +33,8 @@ class Corpus:
     others read (licensed URLs, parsed files, columns, tables, annotations), so that
     content is read and parsed once: ``session.cut_lineage``, or a function that
     writes a table and reads it back. ``name_mode`` and ``name_base`` say how landed
-    files were named (``dedup_file_names``).
+    files were named (``dedup_file_names``). ``only`` limits the job to some
+    ``(topic, url_pos)``; names still come from the whole manifest.
     """
 
     files: DataFrame
@@ -50,11 +51,15 @@ class Corpus:
     cut: Callable[[DataFrame], DataFrame] = cut_lineage
     name_mode: str = "exact"
     name_base: str = "cut"
+    only: DataFrame | None = None
 
     @cached_property
     def named(self) -> DataFrame:
         """The manifest with a unique file name per URL."""
-        return self.cut(names.dedup_file_names(self.manifest, self.name_mode, self.name_base))
+        named = names.dedup_file_names(self.manifest, self.name_mode, self.name_base)
+        if self.only is not None:
+            named = named.join(self.only.select("topic", "url_pos").distinct(), ["topic", "url_pos"], "left_semi")
+        return self.cut(named)
 
     @cached_property
     def licensed(self) -> DataFrame:

@@ -113,6 +113,13 @@ def type_similarities(spark, sf_dir):
                       F.round("std_similarity", 6).alias("std_similarity"), "min_similarity", "max_similarity")
 
 
+def type_quantiles(spark, sf_dir):
+    """Exact quantiles of each type's similarities, from counts per different similarity."""
+    counted = _semantic(spark, sf_dir).groupBy("ontology", "cleaned_label", "similarity").agg(F.count("*").alias("n"))
+    out = stats.spread_of_counts(counted, ["ontology", "cleaned_label"], "similarity")
+    return out.select("ontology", "cleaned_label", "n", "min_similarity", "max_similarity", *[f"p{q}" for q in stats.QUANTILES])
+
+
 def annotated_columns(spark, sf_dir):
     tables = c.files(spark, sf_dir).select("file_id")
     return stats.annotated_columns(tables, _both(spark, sf_dir))
@@ -131,7 +138,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         syntactic_types, text_vectors, semantic_types, similarity_pairs, nearest_label, column_types, annotation_entries, type_domains,
-        table_domains, table_domains_semantic, type_counts, type_similarities, annotated_columns, label_uniqueness,
+        table_domains, table_domains_semantic, type_counts, type_similarities, type_quantiles, annotated_columns, label_uniqueness,
     )
 }
 
@@ -202,6 +209,8 @@ SELECT source AS topic, ontology, method, cleaned_label, count(*) AS n_columns
 FROM a JOIN documents ON doc_id = file_id GROUP BY ALL""",
     "type_similarities": f"""{_ANN} SELECT ontology, cleaned_label, count(*) AS n, round(sum(similarity), 4) AS total_similarity,
 round(stddev_pop(similarity), 6) AS std_similarity, min(similarity) AS min_similarity, max(similarity) AS max_similarity FROM sem GROUP BY ALL""",
+    "type_quantiles": f"""{_ANN} SELECT ontology, cleaned_label, count(*) AS n, min(similarity) AS min_similarity, max(similarity) AS max_similarity,
+{', '.join(f"quantile_disc(similarity, {q / 1000}) AS p{q}" for q in stats.QUANTILES)} FROM sem GROUP BY ALL""",
     "annotated_columns": f"""{_ANN}, a AS (SELECT * FROM syn UNION ALL BY NAME SELECT * FROM sem),
 n AS (SELECT file_id, ontology, method, count(*) AS n FROM a GROUP BY ALL)
 SELECT d.doc_id AS file_id, o.ontology, m.method, coalesce(n.n, 0) AS n_columns FROM documents d,

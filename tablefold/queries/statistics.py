@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablefold import sinks
@@ -9,9 +11,10 @@ from tablefold.functions import text
 from tablefold.operators import privacy, stats
 from tablefold.operators.numbering import row_index
 from tablefold.plans import corpus as plan
+from tablefold.plans import topic_counts
 from tablefold.queries import common as c
 from tablefold.queries import extraction
-from tablefold.session import cut_lineage
+from tablefold.session import cut_lineage, shared_folder
 
 CHUNK = 16
 LANDED_CHARS = 1000
@@ -114,7 +117,11 @@ def _flat(name: str, kind: str):
 
 def topic_stats(spark, sf_dir):
     """All counts per topic, one per row; entries of nested counts are named by both keys."""
-    out = cut_lineage(plan.topic_stats(_corpus(spark, sf_dir)))
+    return _listed(plan.topic_stats(_corpus(spark, sf_dir)))
+
+
+def _listed(stats_rows):
+    out = cut_lineage(stats_rows)
     parts = [out.select("topic", F.explode(_flat(name, kind)).alias("e")) for name, kind in out.dtypes if name != "topic"]
     listed = parts[0]
     for part in parts[1:]:
@@ -122,6 +129,16 @@ def topic_stats(spark, sf_dir):
     return listed.select("topic", "e.*")
 
 
+def topic_stats_batches(spark, sf_dir):
+    """``topic_stats`` from counts of two batches of every topic, one of them written twice, that are added up."""
+    path = f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    for batch, odd in ((0, 1), (1, 0), (0, 1)):
+        job = _corpus(spark, sf_dir, files=c.files(spark, sf_dir).filter(F.col("file_id") % 2 == odd))
+        job.only = job.manifest.filter(F.col("url_pos") % 2 == odd)
+        topic_counts.write_counts(topic_counts.topic_counts(job), path, batch)
+    return _listed(topic_counts.stats_of(topic_counts.read_counts(spark, path)))
+
+
 def topic_series(spark, sf_dir):
     """All lists per topic, one member per row: a number or a domain."""
     out = plan.topic_series(_corpus(spark, sf_dir), CHUNK)
@@ -145,7 +162,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         corpus_tables, funnel, corpus_rejects, table_ids, event_ids, shape_lists, dtype_share_lists, domain_lists, table_metadata_json,
-        topic_stats, topic_series, typed_table,
+        topic_stats, topic_stats_batches, topic_series, typed_table,
     )
 }
 
@@ -232,3 +249,4 @@ SELECT topic, table_id, o.ontology, m.method, domain FROM tables t, (VALUES ('db
 LEFT JOIN voted v ON v.file_id = t.file_id AND v.ontology = o.ontology AND v.method = m.method""",
     "typed_table": "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
 }
+ORACLE["topic_stats_batches"] = ORACLE["topic_stats"]

@@ -10,7 +10,9 @@ from tablefold.operators.parse import parse_files
 from tablefold.plans.corpus import Corpus, write_corpus
 from tablefold.session import cut_lineage
 from tablefold.sources import landed, ontologies
-from tablefold.streaming.incremental import process_pending
+from tablefold.plans import corpus as plan
+from tablefold.plans import topic_counts
+from tablefold.streaming.incremental import count_landed, process_pending
 
 GRAPH = {
     "@graph": [
@@ -227,3 +229,41 @@ def test_only_unfinished_topics_are_handled(spark, tmp_path):
 def test_metadata_that_is_there_stays(spark):
     one = sinks.with_table_metadata(spark.range(1), {"a": 1})
     assert sinks.read_table_metadata(sinks.with_table_metadata(one.select(F.col("id")), {"a": 2})) == {"a": 1}
+
+
+def test_batches_of_a_growing_topic_add_up(spark, tmp_path):
+    land(tmp_path)
+    labels = [("schema", 0, "email", ["Person"]), ("schema", 1, "id", ["Thing"]), ("schema", 2, "name", ["Person"]), ("dbpedia", 0, "city", ["Place"])]
+    types = spark.createDataFrame(labels, "ontology string, type_pos bigint, cleaned_label string, domain array<string>")
+    vectors = [("email", [1.0, 0.0, 0.0]), ("name", [0.0, 1.0, 0.0]), ("city", [0.0, 0.0, 1.0]), ("id", [-1.0, -1.0, -1.0])]
+    words = spark.createDataFrame(vectors, "word string, vec array<float>")
+    manifest = landed.read_manifest(spark, str(tmp_path / "manifests")).drop("raw_url").cache()
+    files = landed.read_files(spark, str(tmp_path / "files")).cache()
+    licenses = landed.read_licenses(spark, str(tmp_path / "licenses.json"))
+    job = lambda **kw: Corpus(licenses=licenses, ontology=types, word_vectors=words, dim=3, **kw)
+    landing, out, made = str(tmp_path / "land"), str(tmp_path / "out"), []
+
+    def make(known, batch, number):
+        names = [r.file_name for r in batch.select("file_name").distinct().collect()]
+        made.append((number, sorted(names)))
+        return job(files=files.filter(F.col("file_name").isin(names)), manifest=known, only=batch)
+
+    def rows(stats):
+        return sorted(json.dumps(r.asDict(recursive=True), sort_keys=True) for r in stats.collect())
+
+    def land_more(part):
+        part.write.mode("append").parquet(landing)
+        count_landed(spark, landing, out, str(tmp_path / "ckpt"), make)
+        return topic_counts.read_counts(spark, out + "/counts")
+
+    half = F.col("url_pos") % 2
+    land_more(manifest.filter(half == 0))
+    counts = land_more(manifest.filter(half == 1))
+    assert len(made) == 2 and not set(made[0][1]) & set(made[1][1])  # only new files
+    full = plan.topic_stats(job(files=files, manifest=manifest))
+    expected = rows(full)
+    assert rows(topic_counts.stats_of(counts).select(*full.columns)) == expected
+    assert topic_counts.similarity_spread(counts).filter("p500 = 1.0").count() >= 1
+    again = land_more(manifest)  # landed once more
+    assert len(made) == 2
+    assert rows(topic_counts.stats_of(again).select(*full.columns)) == expected
