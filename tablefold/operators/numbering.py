@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablefold.session import cut_lineage
+
 BUCKET_ROWS = 500_000
 
 
@@ -51,6 +53,17 @@ def row_index(df: DataFrame, keys: Sequence[str], order: str, out: str, bucket_r
     return running_total(df, keys, order, F.lit(1).cast("bigint"), out, bucket_rows)
 
 
+def places(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Adds ``out``: a whole number per row, ascending in ``order``, with gaps.
+
+    Spark samples splitters and deals the rows into ranges of about equal size, so
+    keys that begin alike spread like others; only rows that are equal in ``order``
+    stay together. The result is stored, as ranges need not come out alike twice.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut_lineage(dealt.withColumn(out, F.monotonically_increasing_id()))
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int = 64) -> DataFrame:
     """The first ``k`` rows of each group under a total order.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablefold.functions import delimited
 from tablefold.operators import domain, match, names, ontology, privacy, segments, stats
-from tablefold.operators.numbering import row_index, running_total, top_k
+from tablefold.operators.numbering import places, row_index, running_total, top_k
 
 
 def test_running_total_in_buckets(spark):
@@ -178,3 +178,41 @@ def test_chunked_list_keeps_order(spark):
     df = spark.range(25).select(F.lit("t").alias("topic"), F.col("id").alias("table_id"))
     got = stats.chunked_list(df, ["topic"], "table_id", F.col("table_id") * 2, "v", chunk_tables=10).orderBy("chunk").collect()
     assert [x for r in got for x in r.v] == [2 * i for i in range(25)]
+
+
+def test_spread_of_counts(spark):
+    rng = random.Random(4)
+    rows = [(g, round(rng.random() ** 2, 2), rng.randint(1, 9)) for g in "ab" for _ in range(60)]
+    rows.append(("one", 0.5, 1))
+    counted = spark.createDataFrame(rows, "g string, v double, n bigint").groupBy("g", "v").agg(F.sum("n").alias("n"))
+    for r in stats.spread_of_counts(counted, ["g"], "v").collect():
+        values = sorted(v for g, v, n in rows if g == r.g for _ in range(n))
+        assert r.n == len(values) and r.mean_v == pytest.approx(np.mean(values)) and r.std_v == pytest.approx(np.std(values), abs=1e-12)
+        for q in stats.QUANTILES:
+            assert r[f"p{q}"] == values[-(-len(values) * q // 1000) - 1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_prefix_numbers_against_a_plain_count(spark, seed):
+    rng = random.Random(seed)
+    long = "x" * 200
+    made = [(t, "".join(rng.choice(["a", "b", "\u00e9", "\U0001f600", long]) for _ in range(rng.randint(0, 3))) + ".csv") for t in "tu" for _ in range(120)]
+    rows = [(t, i * 3, "u", n) for i, (t, n) in enumerate(made)]
+    df = spark.createDataFrame(rows, "topic string, url_pos bigint, url string, file_name string")
+    got = {(r.topic, r.url_pos): r.unique_name for r in names.dedup_file_names(df, "prefix").collect()}
+    assert len(got) == len(rows)
+    real = {(t, n) for t, _, _, n in rows}
+    for t, pos, _, name in rows:
+        earlier = [n for t2, p, _, n in rows if t2 == t and p < pos]
+        expected = name
+        if name in earlier:
+            base = name[:-4]
+            k = sum(n.startswith(base) for n in earlier)
+            expected = f"{base}_{k}.csv" if (t, f"{base}_{k}.csv") not in real else f"{base}_{k}_{pos}.csv"
+        assert got[t, pos] == expected
+
+
+def test_places_are_in_order(spark):
+    df = spark.range(1000).select(F.concat(F.lit("same start "), F.sha2(F.col("id").cast("string"), 256)).alias("k"))
+    got = places(df, ["k"], "p").collect()
+    assert [r.k for r in sorted(got, key=lambda r: r.p)] == sorted(r.k for r in got) and len({r.p for r in got}) == 1000
