@@ -8,11 +8,13 @@ strings. ``type_pos`` is the place in label order and breaks ties in matching.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablefold.functions import text
+from tablefold.operators.numbering import places
 
 IDENTIFIER_ID = "schema:identifier"  # fixed value
 IDENTIFIER_LABEL = "id"  # fixed value
@@ -134,6 +136,64 @@ def properties_outer(
     return joined.distinct()
 
 
+def outer_votes(
+    properties: DataFrame,
+    domains: DataFrame,
+    comments: DataFrame,
+    ranges: DataFrame,
+    superproperties: DataFrame,
+    language: str = "en",
+    namespace: str = PROPERTY_NAMESPACE,
+) -> DataFrame:
+    """``(attribute, cleaned_label, value, votes, first_property)``: what ``properties_outer`` collapses to, its rows never formed.
+
+    Inputs are those of ``properties_outer``. A property has as many combinations as
+    the product of its attributes' numbers of values (one where it has none), and
+    a value is in the product of the *other* attributes' numbers. Summed over the
+    properties of a label this gives the votes of ``collapse_attribute``, with work
+    in proportion to the values given. ``first_property`` is the first property, in
+    order of names, that has the value. More combinations of a property than a
+    64-bit number holds are an error.
+    """
+    spoken = comments.filter(F.lower("lang").startswith(language)).select("property", "value")
+    sources = {"range": ranges, "domain": domains, "description": spoken, "superproperties": superproperties}
+    own = properties.select("property").distinct()
+    labelled = property_rows(own).select(F.col("id").alias("property"), "cleaned_label").filter(F.col("cleaned_label").isNotNull())
+    given = None
+    for name, values in sources.items():
+        part = values.select("property", F.lit(name).alias("attribute"), "value").distinct()
+        given = part if given is None else given.unionByName(part)
+    widths = given.groupBy("property").agg(*[F.count_if(F.col("attribute") == a).alias(a) for a in sources])
+    known = labelled.join(widths, "property", "left").fillna(0, list(sources))
+    wide = {a: F.greatest(F.col(a), F.lit(1)) for a in sources}
+    whole = reduce(lambda x, y: x * y, wide.values())
+    shares = F.create_map(*[x for a in sources for x in (F.lit(a), reduce(lambda x, y: x * y, [w for b, w in wide.items() if b != a]))])
+    sized = known.select("property", "cleaned_label", whole.alias("_whole"), shares.alias("_shares"), *sources)
+    valued = sized.join(given, "property").select("property", "cleaned_label", "attribute", "value", F.element_at("_shares", F.col("attribute")).alias("n"))
+    absent = sized.select(
+        "property", "cleaned_label", F.explode(F.filter(F.array(*[F.when(F.col(a) == 0, F.lit(a)) for a in sources]), lambda a: a.isNotNull())).alias("attribute"),
+        F.lit(None).cast("string").alias("value"), F.col("_whole").alias("n"),
+    )
+    ids = sized.select("property", "cleaned_label", F.lit("id").alias("attribute"), F.col("property").alias("value"), F.col("_whole").alias("n"))
+    counted = valued.unionByName(absent).unionByName(ids).groupBy("attribute", "cleaned_label", "value").agg(
+        F.sum("n").alias("n"), F.min("property").alias("first_property")
+    )
+    kinds = counted.groupBy("attribute", "cleaned_label").agg(F.count("*").alias("_kinds"))
+    joined = counted.join(kinds, ["attribute", "cleaned_label"]).filter(F.col("value").isNotNull())
+    votes = F.when(F.col("_kinds") == 1, F.lit(1).cast("bigint")).otherwise(F.col("n"))
+    return joined.select("attribute", "cleaned_label", "value", votes.alias("votes"), "first_property")
+
+
+def domain_votes(votes: DataFrame, name: str = "dbpedia") -> DataFrame:
+    """``(ontology, cleaned_label, domain, votes, first_pos)`` for the vote on tables, from ``outer_votes``.
+
+    Places ascend in the order of the properties that have a domain first.
+    """
+    mine = votes.filter(F.col("attribute") == "domain").select("cleaned_label", F.col("value").alias("domain"), "votes", "first_property")
+    placed = places(mine, ["cleaned_label", "first_property", "domain"], "first_pos").drop("first_property")
+    return placed.select(F.lit(name).alias("ontology"), "cleaned_label", "domain", "votes", "first_pos")
+
+
 def property_rows(bindings: DataFrame, namespace: str = PROPERTY_NAMESPACE) -> DataFrame:
     """Rows of the namespace with cleaned labels and the ontology's column names."""
     kept = bindings.filter(text.in_namespace(F.col("property"), namespace))

@@ -90,10 +90,23 @@ def properties_outer(spark, sf_dir):
     )
 
 
+def outer_votes(spark, sf_dir):
+    """Votes of attribute values per label: brands as properties with many values of each attribute, their combinations counted only."""
+    part = c.load(spark, sf_dir, "part")
+    name = F.replace(F.initcap("p_name"), F.lit(" "), F.lit(""))
+    prop = F.concat(F.lit(NAMESPACE + "/"), F.when(F.col("p_size") % 2 == 0, F.lit("deep/")).otherwise(F.lit("")), name)
+    pairs = lambda value, keep: part.filter(keep).select(prop.alias("property"), value.cast("string").alias("value"))
+    size = F.col("p_size")
+    comments = pairs(F.col("p_retailprice"), size > 20).withColumn("lang", F.when(F.col("value").endswith("1"), "de").otherwise("en"))
+    return onto.outer_votes(
+        part.select(prop.alias("property")), pairs(F.col("p_brand"), size > 10), comments, pairs(F.col("p_type"), size > 5), pairs(size, size > 30)
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        graph_flattened, ontology_deduped, graph_ontology, bindings_flattened, property_labels, ontology_collapsed, properties_outer,
+        graph_flattened, ontology_deduped, graph_ontology, bindings_flattened, property_labels, ontology_collapsed, properties_outer, outer_votes,
     )
 }
 
@@ -125,4 +138,16 @@ k AS (SELECT DISTINCT p_name AS property, p_type AS description FROM part WHERE
 r AS (SELECT DISTINCT p_name AS property, p_type AS range FROM part WHERE p_size = 50)
 SELECT DISTINCT property, domain, description, range, NULL::VARCHAR AS superproperty
 FROM p LEFT JOIN d USING (property) LEFT JOIN k USING (property) LEFT JOIN r USING (property)""",
+    "outer_votes": f"""WITH m AS (SELECT *, '{NAMESPACE}/' || CASE WHEN p_size % 2 = 0 THEN 'deep/' ELSE '' END || {_INITCAP} AS property FROM part),
+p AS (SELECT DISTINCT property FROM m),
+r AS (SELECT DISTINCT property, p_type AS range FROM m WHERE p_size > 5),
+d AS (SELECT DISTINCT property, p_brand AS domain FROM m WHERE p_size > 10),
+k AS (SELECT DISTINCT property, p_retailprice::VARCHAR AS description FROM m WHERE p_size > 20 AND p_retailprice::VARCHAR NOT LIKE '%1'),
+s AS (SELECT DISTINCT property, p_size::VARCHAR AS superproperties FROM m WHERE p_size > 30),
+combos AS (SELECT {c.split_case_sql("string_split(property, '/')[-1]")} AS cleaned_label, * RENAME (property AS id)
+  FROM p LEFT JOIN r USING (property) LEFT JOIN d USING (property) LEFT JOIN k USING (property) LEFT JOIN s USING (property)),
+long AS (SELECT cleaned_label, id, unnest(['range', 'domain', 'description', 'superproperties', 'id']) AS attribute, unnest([range, domain, description, superproperties, id]) AS value FROM combos),
+n AS (SELECT attribute, cleaned_label, value, count(*) AS n, min(id) AS first_property FROM long GROUP BY ALL),
+t AS (SELECT *, count(*) OVER (PARTITION BY attribute, cleaned_label) AS kinds FROM n)
+SELECT attribute, cleaned_label, value, CASE WHEN kinds = 1 THEN 1 ELSE n END AS votes, first_property FROM t WHERE value IS NOT NULL""",
 }

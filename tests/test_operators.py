@@ -216,3 +216,32 @@ def test_places_are_in_order(spark):
     df = spark.range(1000).select(F.concat(F.lit("same start "), F.sha2(F.col("id").cast("string"), 256)).alias("k"))
     got = places(df, ["k"], "p").collect()
     assert [r.k for r in sorted(got, key=lambda r: r.p)] == sorted(r.k for r in got) and len({r.p for r in got}) == 1000
+
+
+def test_outer_votes_equal_the_collapsed_combinations(spark):
+    rng = random.Random(7)
+    space = ontology.PROPERTY_NAMESPACE + "/"
+    props = [space + p for p in ("birthPlace", "x/birthPlace", "city", "a/city", "b/city", "lone")] + ["http://other/city"]
+    pick = lambda values: [(p, rng.choice(values)) for p in props[:-2] for _ in range(rng.randint(0, 6))]
+    frame_of = lambda rows: spark.createDataFrame(rows, "property string, value string")
+    comments = spark.createDataFrame([(p, v, rng.choice(["en", "de", "EN-us"])) for p, v in pick(["c1", "c2", "c3"])], "property string, value string, lang string")
+    args = (frame_of([(p, None) for p in props * 2]), frame_of(pick(["D1", "D2", None])), comments, frame_of(pick(["R1", "R2", "R3"])), frame_of(pick(["S"])))
+    rows = ontology.property_rows(ontology.properties_outer(*args)).withColumn("row_pos", F.lit(0))
+    got = {(r.attribute, r.cleaned_label, r.value): r.votes for r in ontology.outer_votes(*args).collect()}
+    expected = {}
+    for attribute in ("id", "range", "domain", "description", "superproperties"):
+        for r in ontology.collapse_attribute(rows, attribute).collect():
+            expected[attribute, r.cleaned_label, r.value] = r.votes
+    assert got == expected and ("id", "lone", space + "lone") in got
+
+
+def test_outer_votes_of_wide_properties(spark):
+    """A million combinations per pair of attributes are counted, not formed; their domains vote."""
+    prop = ontology.PROPERTY_NAMESPACE + "/wide"
+    values = lambda n: spark.range(n).select(F.lit(prop).alias("property"), F.col("id").cast("string").alias("value"))
+    comments = values(1000).withColumn("lang", F.lit("en"))
+    votes = ontology.outer_votes(values(1).select("property"), values(1000), comments, values(1000), values(1000))
+    got = {(r.attribute, r.votes): r.n for r in votes.groupBy("attribute", "votes").agg(F.count("*").alias("n")).collect()}
+    assert got == {(a, 10**9): 1000 for a in ("range", "domain", "description", "superproperties")} | {("id", 1): 1}
+    placed = ontology.domain_votes(votes).collect()
+    assert len(placed) == 1000 and len({r.first_pos for r in placed}) == 1000
