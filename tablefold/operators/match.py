@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.functions import text, vectors as v
+from tablefold.session import cut_lineage
 
 # Executors need not have this package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +31,12 @@ BLOCK_HEADERS = 50_000
 # Products are taken in tiles that stay in a core's cache.
 TILE_HEADERS = 256
 TILE_TYPES = 2048
+# Types of a block of the index, and rounds in which its centres move.
+INDEX_TYPES = 128
+CLUSTER_ROUNDS = 4
+# What rounding may do to an angle; near zero it grows to the root of a double's precision.
+ANGLE_SLACK = 1e-6
+ROUTED_ROWS = 20_000
 # Similarities are compared after rounding, so that the order of a sum decides nothing.
 DECIMALS = 12
 
@@ -72,21 +79,89 @@ def _unit_rows(column: pa.ListArray | pa.ChunkedArray, n_rows: int) -> np.ndarra
     return np.divide(numbers, lengths, out=np.zeros_like(numbers), where=lengths > 0)
 
 
-def _best_of(left: np.ndarray, right: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
-    """Rows with a type above the threshold, the first best type's position and the similarity."""
-    score = np.full(len(left), float(threshold))
-    found = np.full(len(left), -1, dtype=np.int64)
+def _tile_best(left: np.ndarray, right: np.ndarray, positions: np.ndarray, score: np.ndarray, found: np.ndarray) -> None:
+    """Raises ``score`` and ``found`` of each row to its best type; of equal ones the first in ``positions``, which ascend."""
     for rows in range(0, len(left), TILE_HEADERS):
         top, at = score[rows : rows + TILE_HEADERS], found[rows : rows + TILE_HEADERS]
         for cols in range(0, len(right), TILE_TYPES):
             tile = np.round(left[rows : rows + TILE_HEADERS] @ right[cols : cols + TILE_TYPES].T, DECIMALS)
             first = tile.argmax(axis=1)
-            best = tile[np.arange(len(tile)), first]
-            # An equal earlier type stays; the threshold is strict.
-            better = np.nonzero(best > top)[0]
-            top[better], at[better] = best[better], positions[cols + first[better]]
+            best, place = tile[np.arange(len(tile)), first], positions[cols + first]
+            # The threshold is strict; an equal type wins only over a later one.
+            better = np.nonzero((best > top) | ((best == top) & (place < at)))[0]
+            top[better], at[better] = best[better], place[better]
+
+
+def _clusters(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit centres, and each unit row's centre, after a few rounds of moving centres to the middle of their rows."""
+    centres = matrix[:: -(-len(matrix) // count)]
+    for _ in range(CLUSTER_ROUNDS):
+        owner = (matrix @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, owner, matrix)
+        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.divide(sums, lengths, out=centres.copy(), where=lengths > 0)
+    return centres, (matrix @ centres.T).argmax(axis=1)
+
+
+def _angles(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(left @ right.T, -1.0, 1.0))
+
+
+def _reach(angles: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Upper bounds of the similarity to any type of a block, by the triangle inequality on the sphere."""
+    return np.cos(np.maximum(angles - radii - ANGLE_SLACK, 0.0))
+
+
+def index_types(positions: np.ndarray, matrix: np.ndarray) -> tuple:
+    """Types of one ontology in blocks around centres: ``(centres, radii, [(positions, rows), ...])``.
+
+    ``matrix`` holds unit rows or zero rows, ``positions`` ascend. A zero row is at no
+    angle to anything, so its block has the radius of the whole sphere.
+    """
+    zero = ~matrix.any(axis=1)
+    real = np.nonzero(~zero)[0]
+    blocks, centres, radii = [], [], []
+    if len(real):
+        middle, owner = _clusters(matrix[real], -(-len(real) // INDEX_TYPES))
+        for c in np.unique(owner):
+            mine = real[owner == c]
+            blocks.append((positions[mine], matrix[mine]))
+            centres.append(middle[c])
+            radii.append(_angles(matrix[mine], middle[c : c + 1]).max())
+    if zero.any():
+        blocks.append((positions[zero], matrix[zero]))
+        centres.append(np.zeros(matrix.shape[1]))
+        radii.append(math.pi)
+    return np.asarray(centres).reshape(len(blocks), matrix.shape[1]), np.asarray(radii), blocks
+
+
+def best_in_index(left: np.ndarray, index: tuple, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Rows with a type above the threshold, its position, the similarity, and how many products were taken.
+
+    A row first meets the block of the nearest centre, then those whose bound reaches
+    what it has found; the rest cannot hold a type as similar, so the result is exact.
+    """
+    centres, radii, blocks = index
+    score = np.full(len(left), float(threshold))
+    found = np.full(len(left), -1, dtype=np.int64)
+    if not blocks or not len(left):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), 0
+    angles = _angles(left, centres)
+    bound = _reach(angles, radii)
+    bound[~left.any(axis=1)] = 1.0
+    first = (angles - radii).argmin(axis=1) if len(blocks) > 1 else np.zeros(len(left), np.int64)
+    products = len(left) * len(blocks)
+    for own in (True, False):
+        for b, (positions, rows) in enumerate(blocks):
+            met = np.nonzero(((first == b) == own) & (bound[:, b] >= score))[0]
+            if len(met):
+                top, at = score[met], found[met]
+                _tile_best(left[met], rows, positions, top, at)
+                score[met], found[met] = top, at
+                products += len(met) * len(rows)
     kept = np.nonzero(found >= 0)[0]
-    return kept, found[kept], score[kept]
+    return kept, found[kept], score[kept], products
 
 
 def _all_above(left: np.ndarray, right: np.ndarray, positions: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
@@ -101,81 +176,131 @@ def _all_above(left: np.ndarray, right: np.ndarray, positions: np.ndarray, thres
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float, choose, max_numbers: int) -> DataFrame:
-    """``(header, ontology, type_pos, similarity)`` that ``choose`` picks in each block of types."""
+def _matches(left: np.ndarray, index: tuple, threshold: float, best: bool) -> tuple[np.ndarray, ...]:
+    """The best type of each row, or all above the threshold."""
+    if best:
+        return best_in_index(left, index, threshold)[:3]
+    centres, radii, blocks = index
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    bound = _reach(_angles(left, centres), radii)
+    bound[~left.any(axis=1)] = 1.0
+    for b, (positions, rows) in enumerate(blocks):
+        met = np.nonzero(bound[:, b] > threshold)[0]
+        r, pos, sim = _all_above(left[met], rows, positions, threshold)
+        parts.append((met[r], pos, sim))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _found(headers: pa.Array | pa.ChunkedArray, name: str, rows: np.ndarray, found: np.ndarray, score: np.ndarray) -> pa.Table:
+    columns = [headers.take(pa.array(rows)), pa.array([name] * len(rows), pa.string()), pa.array(found, pa.int64()), pa.array(score, pa.float64())]
+    return pa.table(columns, names=["header", "ontology", "type_pos", "similarity"])
+
+
+def _pivots(types: DataFrame) -> DataFrame:
+    """Some types of each ontology, picked by hash: about one in ``BLOCK_TYPES``, at least one."""
+    sizes = types.groupBy("ontology").agg(F.ceil(F.count("*") / BLOCK_TYPES).alias("_n"))
+    dealt = types.join(sizes, "ontology").withColumn("_slot", F.pmod(F.xxhash64("type_pos"), F.col("_n")))
+    return dealt.groupBy("ontology", "_slot").agg(F.min_by("vec", "type_pos").alias("vec")).select("ontology", "vec")
+
+
+def _scan_types(headers: DataFrame, types: DataFrame, dim: int, threshold: float, best: bool, max_numbers: int) -> DataFrame:
+    """``(header, ontology, type_pos, similarity)`` found in each block of types."""
     types = types.select("ontology", "type_pos", "vec")
     headers = headers.select("header", "vec")
     schema = "header string, ontology string, type_pos long, similarity double"
     max_types = max_numbers // dim
     table = types.limit(max_types + 1).toArrow()
+    context = headers.sparkSession.sparkContext
     if table.num_rows <= max_types:
         table = table.sort_by([("ontology", "ascending"), ("type_pos", "ascending")])
         names = np.asarray(table["ontology"].to_pylist(), dtype=object)
         matrix = _unit_rows(table["vec"], table.num_rows) if table.num_rows else np.zeros((0, dim))
         positions = np.asarray(table["type_pos"], dtype=np.int64)
-        blocks = {n: (positions[names == n], matrix[names == n]) for n in sorted(set(names))}
-        shared = headers.sparkSession.sparkContext.broadcast(blocks)
+        shared = context.broadcast({n: index_types(positions[names == n], matrix[names == n]) for n in sorted(set(names))})
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows == 0:
                     continue
                 left = _unit_rows(batch.column("vec"), batch.num_rows)
-                for name, (positions, matrix) in shared.value.items():
-                    rows, found, score = choose(left, matrix, positions, threshold)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("header").take(pa.array(rows)),
-                            pa.array([name] * len(rows), pa.string()),
-                            pa.array(found, pa.int64()),
-                            pa.array(score, pa.float64()),
-                        ],
-                        names=["header", "ontology", "type_pos", "similarity"],
-                    )
+                for name, index in shared.value.items():
+                    yield from _found(batch.column("header"), name, *_matches(left, index, threshold, best)).to_batches()
 
         # The product is the work here, not the bytes: keep it spread over all tasks.
         spark = headers.sparkSession
-        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
         return headers.repartition(tasks, "header").mapInArrow(scan, schema)
 
-    # Too many types to hold at once: every slice of headers meets every block of types.
-    sizes = types.agg(F.max("type_pos").alias("t")).first()
-    n_blocks = sizes["t"] // BLOCK_TYPES + 1
+    # Too many types to hold at once. Each type goes to its nearest pivot; a slice of headers meets only
+    # blocks whose angle bound reaches the threshold and, for the best type, the nearest pivot itself.
+    chosen = _pivots(types).toArrow()
+    owners = np.asarray(chosen["ontology"].to_pylist(), dtype=object)
+    shared = context.broadcast((owners, _unit_rows(chosen["vec"], chosen.num_rows)))
+
+    def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, pivots = shared.value
+        own = {n: np.nonzero(owners == n)[0] for n in set(owners)}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows, names = _unit_rows(batch.column("vec"), batch.num_rows), np.asarray(batch.column("ontology").to_pylist(), dtype=object)
+            pivot, angle = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+            for name in set(names):
+                mine = np.nonzero(names == name)[0]
+                angles = _angles(rows[mine], pivots[own[name]])
+                nearest = angles.argmin(axis=1)
+                pivot[mine], angle[mine] = own[name][nearest], angles[np.arange(len(mine)), nearest]
+            # a zero vector is at no angle to anything
+            angle[~rows.any(axis=1)] = math.pi
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pivot), pa.array(angle)], [*batch.schema.names, "pivot", "angle"])
+
+    placed = cut_lineage(types.mapInArrow(assigned, "ontology string, type_pos long, vec array<double>, pivot int, angle double"))
+    sizes = {r["pivot"]: (r["r"], r["n"]) for r in placed.groupBy("pivot").agg(F.max("angle").alias("r"), F.count("*").alias("n")).collect()}
+    radii = np.array([sizes.get(p, (-10.0, 0))[0] for p in range(chosen.num_rows)])
+    parts = np.array([-(-sizes.get(p, (0, 0))[1] // BLOCK_TYPES) for p in range(chosen.num_rows)], np.int64)
     n_slices = math.ceil(headers.count() / BLOCK_HEADERS) or 1
-    left = headers.withColumn("slice", F.pmod(F.xxhash64("header"), F.lit(n_slices))).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    )
-    right = types.withColumn("block", F.floor(F.col("type_pos") / BLOCK_TYPES).cast("int")).withColumn(
-        "slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint")))
-    )
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        names = np.asarray(right["ontology"].to_pylist(), dtype=object)
-        if left.num_rows and right.num_rows:
-            rows_of = _unit_rows(left["vec"], left.num_rows)
-            matrix = _unit_rows(right["vec"], right.num_rows)
-            positions = np.asarray(right["type_pos"], dtype=np.int64)
-            for name in sorted(set(names)):
-                mine = np.nonzero(names == name)[0]
-                mine = mine[np.argsort(positions[mine])]
-                rows, found, score = choose(rows_of, matrix[mine], positions[mine], threshold)
-                parts.append(
-                    pa.table(
-                        {
-                            "header": left["header"].take(pa.array(rows)),
-                            "ontology": pa.array([name] * len(rows), pa.string()),
-                            "type_pos": pa.array(found, pa.int64()),
-                            "similarity": pa.array(score, pa.float64()),
-                        }
-                    )
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, pivots = shared.value
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = _unit_rows(batch.column("vec"), batch.num_rows)
+            angles = _angles(rows, pivots)
+            bound = _reach(angles, radii)
+            floor = np.full(angles.shape, threshold)
+            for name in set(owners) if best else ():
+                own = np.nonzero(owners == name)[0]
+                floor[:, own] = np.maximum(threshold, np.cos(angles[:, own].min(axis=1, keepdims=True) + ANGLE_SLACK))
+            nothing = ~rows.any(axis=1)
+            bound[nothing], floor[nothing] = 1.0, threshold
+            row, pivot = np.nonzero((bound >= floor) & (parts > 0))
+            # a pivot with many types has several blocks
+            times = parts[pivot]
+            block = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, pivot = np.repeat(row, times), np.repeat(pivot, times)
+            for at in range(0, len(row), ROUTED_ROWS):
+                cut = slice(at, at + ROUTED_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(pa.array(row[cut])) for c in batch.columns), pa.array(pivot[cut].astype(np.int32)), pa.array(block[cut].astype(np.int32))],
+                    [*batch.schema.names, "pivot", "block"],
                 )
-        empty = pa.schema(
-            [("header", pa.string()), ("ontology", pa.string()), ("type_pos", pa.int64()), ("similarity", pa.float64())]
-        )
-        return pa.concat_tables(parts) if parts else empty.empty_table()
 
-    return left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInArrow(meet, schema)
+    left = headers.mapInArrow(routed, "header string, vec array<double>, pivot int, block int")
+    left = left.withColumn("slice", F.pmod(F.xxhash64("header"), F.lit(n_slices)))
+    several = F.array([F.lit(max(int(p), 1)) for p in parts])
+    right = placed.withColumn("block", F.pmod(F.xxhash64("type_pos"), F.get(several, "pivot")).cast("int")).drop("angle")
+    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint"))))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _found(pa.array([], pa.string()), "", *[np.empty(0, np.int64)] * 3)
+        right = right.sort_by("type_pos")  # all of one ontology
+        index = index_types(np.asarray(right["type_pos"], dtype=np.int64), _unit_rows(right["vec"], right.num_rows))
+        return _found(left["header"], right["ontology"][0].as_py(), *_matches(_unit_rows(left["vec"], left.num_rows), index, threshold, best))
+
+    on = ["slice", "pivot", "block"]
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(meet, schema)
 
 
 def similar_types(
@@ -183,7 +308,7 @@ def similar_types(
     max_numbers: int = BROADCAST_NUMBERS,
 ) -> DataFrame:
     """All (header, type) pairs whose cosine similarity lies above the threshold."""
-    return _scan_types(headers, types, dim, threshold, _all_above, max_numbers)
+    return _scan_types(headers, types, dim, threshold, False, max_numbers)
 
 
 def best_types(
@@ -193,10 +318,12 @@ def best_types(
     """The most similar type per header and ontology above the threshold.
 
     ``headers(header, vec)`` are distinct; ``types(ontology, type_pos, vec)``.
-    Equal similarities go to the first type in ontology order. Each batch of
-    headers meets the type matrix in one product, and only winners leave the task.
+    Equal similarities go to the first type in ontology order. Types lie in blocks
+    around centres; by the triangle inequality a header meets only blocks that can
+    hold a type above the threshold and as similar as the best so far, which is exact.
+    Only winners leave the task.
     """
-    found = _scan_types(headers, types, dim, threshold, _best_of, max_numbers)
+    found = _scan_types(headers, types, dim, threshold, True, max_numbers)
     best = F.max(F.struct("similarity", (-F.col("type_pos")).alias("p")))
     return (
         found.groupBy("header", "ontology")

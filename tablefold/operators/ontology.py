@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefold.functions import text
@@ -54,20 +55,22 @@ def flatten_graph(nodes: DataFrame) -> DataFrame:
 
 
 def label_positions(df: DataFrame, label: str = "cleaned_label", out: str = "type_pos") -> DataFrame:
-    """Adds the zero-based place of each (distinct) label in label order.
+    """Adds the zero-based place of each (distinct) label in label order; a null label comes first.
 
-    Labels are cut into buckets by their first two characters; a window sorts
-    inside a bucket and the bucket sizes give the offsets.
+    Spark deals the labels into ranges of about equal size by sampled splitters, so
+    labels that begin alike spread like others. A label's place is its place in its
+    range and the sizes of the ranges before; one row per range reaches the driver.
     """
-    bucketed = df.withColumn("_bucket", F.substring(label, 1, 2))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    smaller = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(smaller), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy(label)
+    dealt = places(df, [label], "_place")
+    sizes = dict(dealt.groupBy(F.shiftright("_place", 33).cast("int")).count().collect())
+    ranges = sorted(sizes)
+    offsets = list(zip(ranges, accumulate((sizes[r] for r in ranges), initial=0), strict=False))
+    smaller = df.sparkSession.createDataFrame(offsets, "_range int, _offset bigint")
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        bucketed.withColumn("_place", F.row_number().over(inside) - 1)
-        .join(offsets, "_bucket")
-        .withColumn(out, F.col("_offset") + F.col("_place"))
+        dealt.withColumn("_range", F.shiftright("_place", 33).cast("int"))
+        .join(F.broadcast(smaller), "_range")
+        .withColumn(out, F.col("_offset") + inside)
         .select(*df.columns, out)
     )
 

@@ -98,6 +98,43 @@ def test_best_types_against_numpy(spark, max_numbers, monkeypatch):
     assert got == {k: (-p, s) for k, (s, p) in want.items()}
 
 
+def grouped_vectors(rng, groups, each, dim):
+    """Unit vectors in narrow groups, a zero row and a repeated row among them."""
+    middle = rng.normal(size=(groups, dim))
+    rows = np.repeat(middle, each, axis=0) + 0.15 * rng.normal(size=(groups * each, dim))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[7], rows[each + 3] = 0.0, rows[2]
+    return rows
+
+
+@pytest.mark.parametrize("threshold", [0.56, -0.5])
+def test_index_of_types_takes_few_products(threshold):
+    rng = np.random.default_rng(5)
+    types = grouped_vectors(rng, 40, 100, 16)
+    heads = np.concatenate([types[::9], np.zeros((1, 16)), grouped_vectors(rng, 5, 20, 16)])
+    positions = np.arange(len(types)) * 3
+    kept, found, score, products = match.best_in_index(heads, match.index_types(positions, types), threshold)
+    every = np.round(heads @ types.T, match.DECIMALS)
+    best = every.max(axis=1)
+    assert kept.tolist() == np.nonzero(best > threshold)[0].tolist()
+    assert (score == best[kept]).all() and (found == positions[every.argmax(axis=1)][kept]).all()
+    assert products < every.size / 3
+    nothing = match.best_in_index(heads, match.index_types(positions[:0], types[:0]), threshold)
+    assert len(nothing[0]) == 0 and nothing[3] == 0
+
+
+@pytest.mark.parametrize("max_numbers", [10**6, 8])
+def test_all_similar_types_through_the_index(spark, max_numbers, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK_TYPES", 16)
+    monkeypatch.setattr(match, "INDEX_TYPES", 8)
+    rng = np.random.default_rng(6)
+    types, heads = grouped_vectors(rng, 6, 20, 8), grouped_vectors(rng, 3, 10, 8)
+    h = spark.createDataFrame([(str(i), x.tolist()) for i, x in enumerate(heads)], "header string, vec array<double>")
+    t = spark.createDataFrame([("xy"[i % 2], i, x.tolist()) for i, x in enumerate(types)], "ontology string, type_pos bigint, vec array<double>")
+    got = sorted((int(r.header), r.type_pos) for r in match.similar_types(h, t, 8, 0.4, max_numbers).collect())
+    assert got == sorted(zip(*(x.tolist() for x in np.nonzero(heads @ types.T > 0.4)), strict=True))
+
+
 @pytest.mark.parametrize("max_numbers", [10**6, 8])
 def test_near_ties_go_to_the_first_type_in_every_path(spark, max_numbers, monkeypatch):
     monkeypatch.setattr(match, "BLOCK_TYPES", 16)
@@ -218,6 +255,22 @@ def test_places_are_in_order(spark):
     assert [r.k for r in sorted(got, key=lambda r: r.p)] == sorted(r.k for r in got) and len({r.p for r in got}) == 1000
 
 
+def test_label_positions_of_labels_that_begin_alike(spark):
+    labels = [f"same start {i * 7919 % 5000:05d}" for i in range(5000)] + ["", "é", "Z", "same start"]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(labels)], "cleaned_label string, row int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = ontology.label_positions(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert placed.columns == ["cleaned_label", "row", "type_pos"]
+    ordered = sorted(labels, key=lambda x: x.encode())
+    assert {r.cleaned_label: r.type_pos for r in placed.collect()} == {x: i for i, x in enumerate(ordered)}
+    assert placed.groupBy(F.spark_partition_id()).count().count() > 1
+    assert "Window" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert ontology.label_positions(df.limit(0)).collect() == []
+
+
 def test_outer_votes_equal_the_collapsed_combinations(spark):
     rng = random.Random(7)
     space = ontology.PROPERTY_NAMESPACE + "/"
