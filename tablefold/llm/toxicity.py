@@ -12,16 +12,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefold.llm.common import rows, stored
+from tablefold.llm.common import pieces_of, rows, stored
 
 #: What a sign may stand for, besides itself.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "¢": "c",
 }
+#: Letters of other scripts that look like these.
+LOOKALIKES = {
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y",
+    "ѵ": "v", "ԝ": "w", "х": "x", "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɡ": "g",
+}
 #: Costs (negative log-probabilities) of the channel.
 KEEP_SIGN, DROP_SIGN, SUBSTITUTE, COLLAPSE, JOIN_LETTERS = 6.0, 1.0, 1.0, 0.7, 0.5
-BEAM = 24
+#: A letter's smallest probability, and with it the most that the next two letters can differ by in cost.
+LEAST = 0.05 / 60
+REACH = -2 * math.log(LEAST)
 BITS = 17
 PREFIXES = (4, 5, 6)
 #: Features that may pass the likelihood ratio test by chance, of all tested; and labelled rows used at most.
@@ -29,12 +36,13 @@ BY_CHANCE = 1.0
 LABELLED_ROWS = 40_000
 REMEMBERED = 300_000
 HELD_FEATURES = 200_000
+CHUNK_BYTES = 1_000_000
 
 _SIGNS = set(LEET) | set(".-_*'`~^#%&/\\:,;=?")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…¿"
 #: Edge signs that stand for no letter.
 _OUTER = "".join(c for c in _EDGE if c not in LEET)
-_DOUBLE = re.compile(r"([^\W\d_])\1")
+_LATTICE = re.compile(rf"([^\W\d_])\1|[{''.join(LOOKALIKES)}]")
 _SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S[.,;:!?]*(?!\S)")
 
 
@@ -65,19 +73,17 @@ class CharacterModel:
 
     triples: np.ndarray
     pairs: np.ndarray
-    known: dict[tuple[str, str], float] = field(default_factory=dict)
+    known: dict[str, float] = field(default_factory=dict)
 
-    def cost(self, before: str, c: str) -> float:
-        """Negative log-probability of ``c`` after the last two of ``before``; a space is a word's edge."""
-        key = (before, c)
-        value = self.known.get(key)
+    def cost(self, gram: str) -> float:
+        """Negative log-probability of the last of three letters after the first two; a space is a word's edge."""
+        value = self.known.get(gram)
         if value is None:
-            a, b, d = (0 if x == " " else ord(x) for x in (*before, c))
-            codes = np.array([a, b, d], np.uint32)
+            codes = np.array([0 if x == " " else ord(x) for x in gram], np.uint32)
             three, two = self.triples[_trigrams(codes)[0]], self.pairs[_bigrams(codes)]
             one = self.pairs[_marks(codes[1:2])[0]]
-            p = 0.7 * three / max(two[0], 1) + 0.25 * two[1] / max(one, 1) + 0.05 / 60
-            value = self.known[key] = -math.log(p)
+            p = 0.7 * three / max(two[0], 1) + 0.25 * two[1] / max(one, 1) + LEAST
+            value = self.known[gram] = -math.log(min(p, 1.0))
         return value
 
 
@@ -87,20 +93,17 @@ def learn_characters(docs: DataFrame, text_col: str = "text") -> CharacterModel:
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
         sums = np.zeros((2, 1 << BITS), np.int64)
-        for (texts,) in rows(batches, "text"):
-            for text in texts:
-                codes = letters[np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-                if not codes.any():
-                    continue
-                codes = np.concatenate(([0], codes, [0])).astype(np.uint32)
-                codes = np.repeat(codes, np.where(codes == 0, 2, 1))  # a word begins after two edges
-                inside = (codes[2:] > 0) | (codes[1:-1] > 0)
-                pairs = (codes[:-1] > 0) | (codes[1:] > 0)
-                begins = (codes[:-2] == 0) & (codes[1:-1] == 0) & (codes[2:] > 0)  # what first letters come after
-                two = _bigrams(codes)
-                for k, x in enumerate((_trigrams(codes)[inside], np.concatenate((two[pairs], two[:-1][begins], _marks(codes[:-1][pairs]))))):
-                    found, n = np.unique(x, return_counts=True)
-                    sums[k][found] += n
+        for part in pieces_of(batches, "text", CHUNK_BYTES):
+            text = "\n".join(t for t in part.column(0).to_pylist() if t)  # an edge between texts
+            codes = letters[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
+            codes = np.concatenate(([0], codes, [0])).astype(np.uint32)
+            codes = np.repeat(codes, np.where(codes == 0, 2, 1))  # a word begins after two edges
+            inside = (codes[2:] > 0) | (codes[1:-1] > 0)
+            pairs = (codes[:-1] > 0) | (codes[1:] > 0)
+            begins = (codes[:-2] == 0) & (codes[1:-1] == 0) & (codes[2:] > 0)  # what first letters come after
+            two = _bigrams(codes)
+            for k, x in enumerate((_trigrams(codes)[inside], np.concatenate((two[pairs], two[:-1][begins], _marks(codes[:-1][pairs]))))):
+                sums[k] += np.bincount(x, minlength=1 << BITS)
         kind, gram = np.nonzero(sums)
         yield pa.record_batch([pa.array(kind.astype(np.int32)), pa.array(gram.astype(np.int32)), pa.array(sums[kind, gram])], ["kind", "gram", "n"])
 
@@ -111,40 +114,54 @@ def learn_characters(docs: DataFrame, text_col: str = "text") -> CharacterModel:
     return CharacterModel(sums[0], sums[1])
 
 
-def restored(token: str, model: CharacterModel, beam: int = BEAM) -> str:
+def restored(token: str, model: CharacterModel) -> str:
     """Likeliest letters behind a disguised token, by Viterbi search over its character lattice.
 
     Every character may stand for itself, a sign also for the letters it looks like
-    or for nothing, and a character that repeats the one before for nothing. White
+    or for nothing, a letter also for the one it looks like in another script, and a
+    character that repeats the one before for nothing. White
     space either joins what it separates or ends a word, as the character model finds
     likelier; words come back with a space between them. A state is the last two
-    letters restored; the ``beam`` best states go on.
+    letters restored. A state is left out only if it costs more than the best by what
+    the next two letters can differ by, as no path through it can win then.
     """
     states: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
-    before = ""
+    before, known, cost_of = "", model.known, model.cost
     for c in token:
-        gap = c.isspace()
         following: dict[str, tuple[float, tuple | None]] = {}
+        gap = c.isspace()
+        if gap:
+            emitted, dropped = ((" ", 0.0),), JOIN_LETTERS
+        elif c.isalpha():
+            emitted = ((c, 0.0), (LOOKALIKES[c], SUBSTITUTE)) if c in LOOKALIKES else ((c, 0.0),)
+            dropped = None
+        else:
+            emitted = tuple((x, SUBSTITUTE) for x in LEET.get(c, ""))
+            dropped = DROP_SIGN if c in _SIGNS else KEEP_SIGN
+        if before == c:
+            dropped = COLLAPSE if dropped is None else min(dropped, COLLAPSE)
         for last, (cost, text) in states.items():
-            options = []
-            if gap:
-                options.append(("", cost + JOIN_LETTERS))
-                if last != "  ":
-                    options.append((" ", cost + model.cost(last, " ")))
-            elif c.isalpha():
-                options.append((c, cost + model.cost(last, c)))
-            else:
-                options += [(x, cost + SUBSTITUTE + model.cost(last, x)) for x in LEET.get(c, "")]
-                options.append(("", cost + (DROP_SIGN if c in _SIGNS else KEEP_SIGN)))
-            if before == c:
-                options.append(("", cost + COLLAPSE))
-            for letter, total in options:
-                state = "  " if letter == " " else (last + letter)[-2:]
-                if state not in following or total < following[state][0]:
-                    following[state] = (total, (text, letter) if letter else text)
-        states = dict(sorted(following.items(), key=lambda x: (x[1][0], x[0]))[:beam])
+            for letter, price in emitted:
+                if gap and last == "  ":
+                    continue
+                gram = last + letter
+                total = known.get(gram)
+                total = cost + price + (cost_of(gram) if total is None else total)
+                state = "  " if gap else gram[1:]
+                old = following.get(state)
+                if old is None or total < old[0]:
+                    following[state] = (total, (text, letter))
+            if dropped is not None:
+                total = cost + dropped
+                old = following.get(last)
+                if old is None or total < old[0]:
+                    following[last] = (total, text)
+        if len(following) > 8:
+            limit = min(x[0] for x in following.values()) + REACH
+            following = {state: x for state, x in following.items() if x[0] <= limit}
+        states = following
         before = before if gap else c
-    end = min((cost + (model.cost(last, " ") if last != "  " or text is None else 0.0), last) for last, (cost, text) in states.items())[1]
+    end = min((cost + (cost_of(last + " ") if last != "  " or text is None else 0.0), last) for last, (cost, text) in states.items())[1]
     text, letters = states[end][1], []
     while text:
         text, letter = text
@@ -157,25 +174,57 @@ class Words(dict):
 
     def __init__(self, model: CharacterModel, wanted: set[str] | None = None):
         self.model, self.wanted = model, wanted
+        whole = [f for f in wanted or () if ":" not in f]
+        self.whole = set(whole)
+        self.starts = {f.split(":", 1)[1]: f for f in wanted or () if f[:2] in _PREFIX_MARKS and len(f) == 2 + int(f[0])}
+        #: What a wanted word may begin with when white space breaks it.
+        self.lefts = {f[:n] for f in whole for n in range(1, len(f))}
 
     def word(self, token: str) -> str:
         token = token.strip(_OUTER) or token
-        if token.isalpha() and not _DOUBLE.search(token):
+        if token.isalpha() and not _LATTICE.search(token):
             return token
-        if not any(c.isalpha() for c in token) and not any(c in LEET for c in token):
+        if not any(c.isalpha() or c in LEET for c in token):
             return ""
         # signs and repeated letters also stand in plain words, so the word as it stands counts too
         return restored(token, self.model)
 
+    def named(self, word: str) -> tuple[str, ...]:
+        """Features of a restored word, if any are wanted of these only."""
+        if self.wanted is None:
+            return (word, *(f"{n}:{word[:n]}" for n in PREFIXES if len(word) >= n)) if word else ()
+        get = self.starts.get
+        found = {f for n in PREFIXES if (f := get(word[:n]))}
+        if word in self.wanted:
+            found.add(word)
+        return tuple(found)
+
     def __missing__(self, token: str) -> tuple[str, ...]:
-        word = self.word(token)
-        plain = token.strip(_EDGE)
-        names = {f"{n}:{w[:n]}" for w in {word, plain} for n in PREFIXES if len(w) >= n} | {w for w in {word, plain} if w}
-        found = tuple(names if self.wanted is None else names & self.wanted)
+        word, plain = self.word(token), token.strip(_EDGE)
+        found = self.named(word)
+        if plain != word:
+            found = tuple({*found, *self.named(plain)})
         if len(self) < REMEMBERED:
             self[token] = found
         return found
 
+    def piece(self, token: str) -> str:
+        plain = token.strip(_EDGE)
+        return plain if plain.isalpha() else self.word(token)
+
+    def broken(self, tokens: list[str], begins: set[str]) -> Iterator[str]:
+        """Wanted words that white space breaks into pieces, where the lattice joins them; ``begins`` are the first pieces."""
+        for i, token in enumerate(tokens):
+            if token not in begins:
+                continue
+            joined, past, pieces = token, i + 1, [token]
+            while joined in self.lefts and past < len(tokens):
+                pieces.append(self.piece(tokens[past]))
+                joined += pieces[-1]
+                past += 1
+                if joined in self.whole and joined in restored(" ".join(pieces), self.model).split():
+                    yield joined
+
     def features(self, text: str | None) -> set[str]:
         if not text:
             return set()
@@ -184,7 +233,16 @@ class Words(dict):
         for m in _SPACED.finditer(lower):
             run = " ".join(m.group().rstrip(".,;:?").split())
             out.update(*map(self.__getitem__, restored(run, self.model).split()))
-        return out.union(*map(self.__getitem__, set(lower.split())))
+        tokens = lower.split()
+        different = set(tokens)
+        out.update(*filter(None, map(self.__getitem__, different)))
+        if begins := self.lefts & different:
+            for word in self.broken(tokens, begins):
+                out.update(self.named(word))
+        return out
+
+
+_PREFIX_MARKS = {f"{n}:" for n in PREFIXES}
 
 
 @dataclass

@@ -89,6 +89,7 @@ def test_spaced_letters_join_but_short_words_do_not(characters):
         ("you $tupid", "stupid"), ("$tup1d!", "stupid"), ("an !diot", "idiot"), ("(idio+)", "idiot"), ("|d|o+,", "idiot"), ("iidiot", "idiot"), ("sttupid", "stupid"),
         ("stupid!!", "stupid"), ("the garden!", "garden"), ("a n i d i o t", "idiot"), ("y o u s t u p 1 d c l o w n", "clown"), ("y o u s t u p 1 d c l o w n", "stupid"),
         ("i  d  i  o  t", "idiot"), ("i\nd\ni\no\nt!", "idiot"), ("s s t u p i d", "stupid"),
+        ("\u0455tupid", "stupid"), ("idi\u043et", "idiot"),
     ],
 )
 def test_disguises_reach_features_and_score(spark, characters, text, plain):
@@ -98,6 +99,51 @@ def test_disguises_reach_features_and_score(spark, characters, text, plain):
     assert row.evidence == [plain] and row.predicted == 1
 
 
+@pytest.mark.parametrize("text", ["you st upid clown", "stu pid", "s tupid", "a st up id!", "st\nup1d"])
+def test_words_broken_by_white_space_are_joined(characters, text):
+    assert "stupid" in toxicity.Words(characters, {"stupid"}).features(text)
+    assert not toxicity.Words(characters, {"inthe", "4:inth"}).features("good in the house")
+
+
+def cheapest(token, model):
+    """Cost of each way to read a token, by walking all paths of its lattice."""
+    best = {}
+
+    def go(i, last, before, cost, out):
+        if i == len(token):
+            cost += model.cost(last + " ") if last != "  " or not out else 0
+            best[out.strip()] = min(best.get(out.strip(), math.inf), cost)
+            return
+        c, gap = token[i], token[i].isspace()
+        after = before if gap else c
+        if before == c:
+            go(i + 1, last, after, cost + toxicity.COLLAPSE, out)
+        if gap:
+            go(i + 1, last, after, cost + toxicity.JOIN_LETTERS, out)
+            if last != "  ":
+                go(i + 1, "  ", after, cost + model.cost(last + " "), out + " ")
+            return
+        for x in toxicity.LEET.get(c, "") + toxicity.LOOKALIKES.get(c, ""):
+            go(i + 1, last[1] + x, after, cost + toxicity.SUBSTITUTE + model.cost(last + x), out + x)
+        if c.isalpha():
+            go(i + 1, last[1] + c, after, cost + model.cost(last + c), out + c)
+        else:
+            go(i + 1, last, after, cost + (toxicity.DROP_SIGN if c in toxicity._SIGNS else toxicity.KEEP_SIGN), out)
+
+    go(0, "  ", "", 0.0, "")
+    return best
+
+
+def test_decoder_finds_the_cheapest_of_all_paths():
+    rng = np.random.default_rng(1)
+    model = toxicity.CharacterModel(rng.integers(0, 40, 1 << toxicity.BITS), rng.integers(20, 400, 1 << toxicity.BITS))
+    for _ in range(400):
+        token = "".join(rng.choice(list("ab16!|$\u0445 .~é"), rng.integers(1, 7))).strip()
+        if token:
+            every = cheapest(token, model)
+            assert abs(every[toxicity.restored(token, model)] - min(every.values())) < 1e-9, token
+
+
 def test_plain_words_with_doubled_letters_and_signs_keep_themselves(characters):
     words = toxicity.Words(characters)
     assert "letter" in words.features("a letter!") and "all" in words.features("(all") and "little" in words.features("little")
