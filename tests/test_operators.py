@@ -144,7 +144,7 @@ def test_near_ties_go_to_the_first_type_in_every_path(spark, max_numbers, monkey
     assert match.best_types(heads, types, 2, 0.3, max_numbers).first().type_pos == 0
 
 
-def test_names_are_numbered_apart():
+def test_names_are_numbered_apart(spark):
     # as observed with the data frame library whose header names are to be matched
     cases = {
         ("a", "a", "a"): ["a", "a.1", "a.2"], ("a", "a", "a.1"): ["a", "a.1", "a.1.1"],
@@ -152,7 +152,7 @@ def test_names_are_numbered_apart():
         ("a", "a.1", "a.1.1", "a", "a"): ["a", "a.1", "a.1.1", "a.1.1.1", "a.2"],
     }
     for names_, want in cases.items():
-        got = delimited.numbered(list(names_))
+        got = spark.createDataFrame([(list(names_),)], "f array<string>").select(delimited.numbered(F.col("f")).alias("n")).first().n
         assert got == want and len(set(got)) == len(got)
 
 
