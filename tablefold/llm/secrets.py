@@ -21,11 +21,13 @@ ASSIGN_CHARS = 6
 ACCESS_CHARS = 20
 RANDOM = "random"
 
-SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-MIN_CHARS = 16
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 #: Natural logarithm of how much likelier a string must be under the random model.
 MIN_RATIO = 14.0
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}(?![A-Za-z0-9+/_=-])" % MIN_CHARS)
+#: Share of ordinary identifiers' pairs that the corpus need not show.
+UNSEEN = 0.05
+#: Weight of a symbol's frequency by itself, as a number of pairs with the symbol before.
+BACKOFF = 5.0
 _HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
 
@@ -41,13 +43,22 @@ def base_spans(text: str) -> list[tuple[int, int, str, int, int]]:
 
 
 def _numbers(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
-    return _PLACE[codes]
-
-
-_PLACE = np.zeros(1 << 16, np.uint8)
+    """Number of the symbol at each code point, 0 for others; a dot is a symbol between two others only."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = _PLACE[np.minimum(codes, len(_PLACE) - 1)]
+    dots = np.flatnonzero(out == _DOT)
+    if len(dots):
+        inner = np.zeros(len(dots), bool)
+        both = dots[(dots > 0) & (dots < len(out) - 1)]
+        inner[(dots > 0) & (dots < len(out) - 1)] = (out[both - 1] % _DOT > 0) & (out[both + 1] % _DOT > 0)
+        out[dots[~inner]] = 0
+    return out
+
+
+_PLACE = np.zeros(129, np.uint8)
 _PLACE[[ord(c) for c in SYMBOLS]] = np.arange(1, len(SYMBOLS) + 1)
 _SIZE = len(SYMBOLS) + 1
+_DOT = len(SYMBOLS)
 
 
 @dataclass
@@ -56,20 +67,24 @@ class Markov:
 
     ratio: np.ndarray
 
-    def score(self, token: str) -> float:
-        codes = _numbers(token)
-        return float(self.ratio[codes[:-1], codes[1:]].sum())
+    def runs(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and log-likelihood ratio of every run of symbols."""
+        codes = np.concatenate(([0], _numbers(text), [0]))
+        inside = codes > 0
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+        ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+        sums = np.add.reduceat(self.ratio[codes[:-1], codes[1:]], starts) if len(starts) else np.zeros(0)
+        return starts, ends, sums
 
 
 def all_spans(text: str, model: Markov, min_ratio: float) -> list[tuple[int, int, str, int, int]]:
     """Pattern matches and the strings the models add, in order of start, then kind."""
     found = base_spans(text)
     base = [(s, e) for s, _, _, e, _ in found]
-    for m in TOKEN.finditer(text):
-        token, a, b = m.group(), m.start(), m.end()
-        if token.isalpha() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            continue
-        if all(e <= a or b <= s for s, e in base) and model.score(f" {token}") >= min_ratio:
+    starts, ends, sums = model.runs(text)
+    likely = np.flatnonzero(sums >= min_ratio)
+    for a, b in zip(starts[likely].tolist(), ends[likely].tolist(), strict=True):
+        if all(e <= a or b <= s for s, e in base):
             found.append((a, 3, RANDOM, b, a))
     return sorted(found)
 
@@ -81,7 +96,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> Markov:
     strings, all other runs of symbols samples of ordinary identifiers. Each task
     sums its counts, so one table of fixed size per task is shuffled. The random
     model is mixed with an even spread over letters and digits, so that other
-    alphabets of random strings are covered; without any text both are even.
+    alphabets of random strings are covered, the other with an even spread over all
+    symbols, so that no single unseen pair decides; without any text nothing is likelier.
     """
 
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +130,10 @@ def learn(docs: DataFrame, text_col: str = "text") -> Markov:
     even[1:63] = 1 / 62
     even[63:] = 0.001
     even[1:] /= even[1:].sum()
-    ordinary, random = ((s[:, 1:] + 0.5) / (s[:, 1:] + 0.5).sum(1, keepdims=True) for s in sums)
+    alone = sums[:, :, 1:].sum(1) + 1 / len(SYMBOLS)
+    alone /= alone.sum(1, keepdims=True)
+    ordinary, random = ((s[:, 1:] + BACKOFF * a) / (s[:, 1:].sum(1, keepdims=True) + BACKOFF) for s, a in zip(sums, alone, strict=True))
+    ordinary = (1 - UNSEEN) * ordinary + UNSEEN / len(SYMBOLS)
     ratio = np.zeros((_SIZE, _SIZE))
     ratio[:, 1:] = np.log(0.5 * random + 0.5 * even[1:]) - np.log(ordinary)
     return Markov(ratio)
@@ -123,9 +142,9 @@ def learn(docs: DataFrame, text_col: str = "text") -> Markov:
 def find(docs: DataFrame, model: Markov, id_col: str = "doc_id", text_col: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
     """Spans of secrets in each whole text: ``doc_id, spans`` (array of kind, start, end in code points).
 
-    Pattern matches come as they are; a run of at least ``MIN_CHARS`` symbols that
-    overlaps none of them, holds a digit and a letter, and is likelier random by
-    ``min_ratio`` is added as kind ``random``. Order: start, then kind. A null or
+    Pattern matches come as they are; every run of symbols that
+    overlaps none of them and is likelier random by
+    ``min_ratio`` is added as kind ``random``, whatever its length and symbols. Order: start, then kind. A null or
     empty text has no spans; null identifiers and repeated rows are kept as they are.
     """
     kind = dict(docs.dtypes)[id_col]

@@ -257,6 +257,26 @@ def test_base_spans_equal_the_patterns():
         assert [(k, s, e) for s, _, k, e, _ in secrets.base_spans(text)] == brute_spans(text), text
 
 
+def test_the_ratio_alone_decides(spark):
+    clean = "the garden of the house stands in reading and_the_garden at 12 or 2024-01-15, NATO Paris 10.0.7.31 " * 200
+    keys = " ".join(f"token={k}" for k in ("9fK2mX7qLw04ZtRb81Yc", "b3e8d61f0a94c27755aa", "Qz81LmP0xVt57KdR2wNs"))
+    model = secrets.learn(spark.createDataFrame([(clean + keys,)], "text string"))
+
+    def added(text):
+        return [text[s:e] for s, k, _, e, _ in secrets.all_spans(text, model, secrets.MIN_RATIO) if k == 3]
+
+    for key in ("xQzPvKwTrLmNbHgFdJsYcUeXo", "QzXwPvKr8Lm2Tn", "sk.9fK2mX7qLw04ZtRb81Yc", "9fK2mX7qLw04ZtRb81Yc"):
+        assert added(f"\U0001f642 see {key}. And") == [key], key
+    for plain in ("standing", "the.garden", "getHouseOfGarden", "https://the.garden.house/stands/in", "192.168.10.44", "...", "a..b", ".", "NATO-2024", "=" * 80, "the/" * 20_000):
+        assert added(f"see {plain} now") == [], plain
+    text = "reading 2024 9fK2mX7qLw04ZtRb81Yc x.y. .z é1"
+    starts, ends, sums = model.runs(text)
+    assert [text[a:b] for a, b in zip(starts, ends, strict=True)] == ["reading", "2024", "9fK2mX7qLw04ZtRb81Yc", "x.y", "z", "1"]
+    for run, total in zip("reading 2024 9fK2mX7qLw04ZtRb81Yc x.y z 1".split(), sums, strict=True):
+        at = [0, *(secrets.SYMBOLS.index(c) + 1 for c in run)]
+        assert abs(sum(model.ratio[a, b] for a, b in zip(at, at[1:], strict=False)) - total) < 1e-9
+
+
 def test_random_strings_are_added_and_words_are_not(spark):
     clean = "the garden of the house stands in reading and_the_garden thehouseofthegarden " * 200
     keys = " ".join(f"token={k}" for k in ("9fK2mX7qLw04ZtRb81Yc", "b3e8d61f0a94c27755aa", "Qz81LmP0xVt57KdR2wNs"))
