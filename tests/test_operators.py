@@ -135,6 +135,20 @@ def test_all_similar_types_through_the_index(spark, max_numbers, monkeypatch):
     assert got == sorted(zip(*(x.tolist() for x in np.nonzero(heads @ types.T > 0.4)), strict=True))
 
 
+@pytest.mark.parametrize("find", [match.best_types, match.similar_types])
+def test_too_many_types_are_met_without_moving_vectors_once_per_block(spark, find, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK_TYPES", 4)
+    monkeypatch.setattr(match, "BLOCK_HEADERS", 5)
+    rng = np.random.default_rng(8)
+    h = spark.createDataFrame(vectors(spark, rng, 20, 4, header=str), "header string, vec array<double>")
+    t = spark.createDataFrame(vectors(spark, rng, 40, 4, ontology=lambda i: "x", type_pos=int), "ontology string, type_pos bigint, vec array<double>")
+    few, many = find(h, t, 4, 0.3, 10**6), find(h, t, 4, 0.3, 40)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan[plan.index("MapInArrow"):]
+    flat = lambda df: sorted((r.header, r.type_pos, round(r.similarity, 9)) for r in df.collect())
+    assert flat(few) == flat(many) and flat(many)
+
+
 @pytest.mark.parametrize("max_numbers", [10**6, 8])
 def test_near_ties_go_to_the_first_type_in_every_path(spark, max_numbers, monkeypatch):
     monkeypatch.setattr(match, "BLOCK_TYPES", 16)
