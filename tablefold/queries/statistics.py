@@ -20,15 +20,17 @@ CHUNK = 16
 LANDED_CHARS = 1000
 
 
-def _corpus(spark, sf_dir, cut=cut_lineage, files=None) -> plan.Corpus:
+def _corpus(spark, sf_dir, cut=cut_lineage, files=None, annotated=True) -> plan.Corpus:
+    """The job on the documents; what only annotations read is planned but not stored where none are asked for."""
+    stored = cut if annotated else lambda df: df
     docs = c.files(spark, sf_dir) if files is None else files
     name = F.concat("file_id", F.lit(".csv"))
     files = docs.select("topic", name.alias("file_name"), "file_id", "content")
     manifest = extraction._doc_manifest(spark, sf_dir)
     manifest = manifest.withColumn("file_name", text.url_file_name(F.col("url")))
-    ontology = cut(c.ontology(spark, sf_dir))
+    ontology = stored(c.ontology(spark, sf_dir))
     headers = c.parsed(spark, sf_dir).columns.select(text.clean_header(F.col("header")).alias("text"))
-    vectors = cut(c.word_vectors(spark, sf_dir, c.vocabulary(headers, ontology.select("cleaned_label"))))
+    vectors = stored(c.word_vectors(spark, sf_dir, c.vocabulary(headers, ontology.select("cleaned_label"))))
     return plan.Corpus(
         files=files, manifest=manifest, licenses=extraction._licenses(spark, sf_dir), ontology=ontology,
         word_vectors=vectors, dim=c.DIM, domain_votes=c.domains(spark, sf_dir), cut=cut,
@@ -40,13 +42,14 @@ def corpus_tables(spark, sf_dir):
     return tables.select("topic", "table_id", "file_id", "n_rows", "n_columns", F.col("license.name").alias("license"), "output_name")
 
 
-def _faulty(spark, sf_dir) -> plan.Corpus:
+def _faulty(spark, sf_dir, cut=cut_lineage) -> plan.Corpus:
     """Short documents have not landed, Spanish ones have a social header, French ones no header line."""
     docs = c.load(spark, sf_dir, "documents").filter(F.length("text") >= LANDED_CHARS)
     content = F.when(F.col("lang") == "es", F.concat(F.lit("tweet "), "text")).when(F.col("lang") == "fr", F.concat(F.lit("\n"), "text"))
-    return _corpus(spark, sf_dir, files=c.spread(docs).select(
+    files = c.spread(docs).select(
         F.col("doc_id").alias("file_id"), F.col("source").alias("topic"), F.coalesce(content, "text").alias("content")
-    ))
+    )
+    return _corpus(spark, sf_dir, cut, files, annotated=False)
 
 
 def funnel(spark, sf_dir):

@@ -312,3 +312,23 @@ def test_outer_votes_of_wide_properties(spark):
     assert got == {(a, 10**9): 1000 for a in ("range", "domain", "description", "superproperties")} | {("id", 1): 1}
     placed = ontology.domain_votes(votes).collect()
     assert len(placed) == 1000 and len({r.first_pos for r in placed}) == 1000
+
+
+def test_funnel_stores_nothing_that_only_annotations_read(spark, tmp_path):
+    from tablefold.queries import statistics
+
+    tables = {
+        "documents": ("doc_id bigint, source string, lang string, text string", [
+            (1, "s", "en", "License: MIT\na,b\n" + "1,2\n" * 300), (2, "s", "en", "a,b\n1,2"), (3, "s", "es", "a,b\n" + "1,2\n" * 300),
+            (4, "s", "fr", "a,b\n" + "1,2\n" * 300),
+        ]),
+        "benchmark": ("item_id bigint, text string", [(1, "a b")]),
+        "conversations": ("conv_id bigint, turn int, role string, text string", [(1, 0, "user", "a b")]),
+        "embeddings": ("vec_id bigint, embedding array<float>, label int", [(0, [0.5] * 64, 1)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = []
+    job = statistics._faulty(spark, str(tmp_path), lambda df: kept.append(df) or df)
+    assert not kept
+    assert job.staged.filter("landed").count() + job.missing.count() == job.licensed.count() and kept
