@@ -177,6 +177,34 @@ def test_embed_text(spark):
     assert got == {"a b b": [0.2, round(2.8 / 3, 6)], "a  z": [0.6, 0.8]}
 
 
+@pytest.mark.parametrize("max_numbers", [0, 100])
+@pytest.mark.parametrize("shared", [False, True])
+def test_embed_text_by_vectors_that_words_share(spark, max_numbers, shared):
+    texts = spark.createDataFrame([("a b b c",), ("z q",), ("a  z",), ("c",), ("c",), (None,), ("q",)], "text string")
+    if shared:
+        words = spark.createDataFrame([("a", 1), ("b", 2), ("c", 1), ("z", 3), ("q", 4), ("q", None)], "word string, vec_id bigint")
+        vectors = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 2.0]), (3, [0.0, 0.0]), (5, [1.0, 1.0]), (None, [1.0, 0.0])], "vec_id bigint, vec array<float>")
+    else:
+        vectors = None
+        words = spark.createDataFrame([("a", [3.0, 4.0]), ("b", [0.0, 2.0]), ("c", [3.0, 4.0]), ("z", [0.0, 0.0])], "word string, vec array<float>")
+    found = match.embed_text(texts, words, 2, vectors=vectors, max_numbers=max_numbers)
+    got = sorted((r.text, [round(x, 6) for x in r.vec]) for r in found.collect())
+    assert got == [("a  z", [0.6, 0.8]), ("a b b c", [0.3, 0.9]), ("c", [0.6, 0.8])]
+
+
+def test_vectors_sent_to_the_tasks_are_neither_shuffled_nor_stored(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(match, "cut_lineage", lambda df: stored.append(df) or df)
+    texts = spark.createDataFrame([("a b",), ("b",)], "text string")
+    words = spark.createDataFrame([("a", 1), ("b", 2)], "word string, vec_id bigint")
+    vectors = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 2.0])], "vec_id bigint, vec array<float>")
+    found = match.embed_text(texts, words, 2, vectors=vectors)
+    assert all(kind != "array<float>" for df in stored for _, kind in df.dtypes)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "BroadcastHashJoin [vec_id" in line]
+    assert len(joins) == 1 and not any("Exchange" in line for line in plan[: joins[0]])
+
+
 def test_first_column_wins_exact_match(spark):
     columns = spark.createDataFrame([(1, 0, "First-name"), (1, 1, "firstName"), (2, 0, "x")], "file_id int, col_idx int, header string")
     types = spark.createDataFrame([("schema", 5, "first name")], "ontology string, type_pos bigint, cleaned_label string")
