@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,22 @@ from tablefold.session import shared_folder
 
 #: A document goes if no learned language explains at least this share of it.
 MIN_LANGUAGE_SHARE = 0.5
+#: Most of a task's rows on their way to or from Python at once; both sides hold a batch several times over.
+BATCH_BYTES = "4m"
 
 
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage that has its session send whole texts to Python in batches of ``BATCH_BYTES``."""
+
+    @functools.wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return limited
+
+
+@in_small_batches
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without letters, or mostly in no learned language, go. Columns stay as they are, whatever their names."""
     learned = docs.filter(F.coalesce(id_remainder("doc_id", 4) != 2, F.lit(True)))
@@ -24,6 +40,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select("document.*")
 
 
+@in_small_batches
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the smallest identifier, null last; of repeated rows the first read.
 
@@ -42,16 +59,19 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sized_join(placed, gone, [place], "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark text."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced by the kind of secret."""
     return secrets.masked(docs, secrets.learn(docs)).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of the tokenised documents in sequences of 1024 tokens."""
     pieces = packing.token_pieces(docs)

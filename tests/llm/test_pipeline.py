@@ -1,7 +1,9 @@
 """The pipeline against its stages by brute force, on the smallest table; oracles of this package; the guard of the entry."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import compare
@@ -78,3 +80,21 @@ def test_stages_keep_columns_and_one_row_of_a_group(spark):
     assert kept.dtypes == docs.dtypes and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
     left = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
     assert left.columns == docs.columns and sorted((r.doc_id, r.score) for r in left.collect()) == [(2, 0.123), (2, 0.7)]
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    key, docs = "spark.sql.execution.arrow.maxBytesPerBatch", spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    large = spark.range(24, numPartitions=1).select("id", F.repeat(F.lit("x"), 1_000_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs, SF_DIR)
+            got = [r.n for r in large.mapInArrow(sizes, "n long").collect()]
+            assert len(got) > 1 and max(got) <= 6_000_000, name
+    finally:
+        spark.conf.unset(key)
