@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tablefold.llm.common import pieces_of, table
 from tablefold.llm.huffman import MAX_BITS, Code, Decoder, code_lengths
+from tablefold.llm.packing import byte_names
 from tablefold.operators.numbering import running_total
 
 END_ID = 2
@@ -38,6 +39,10 @@ KNOWN_WORDS = 400_000
 
 #: Signs that never join a letter before them in one token.
 _TAIL = ".,;:!?&%$*#"
+#: Words of letters below the first and without the second are in normal form C, and Python's lower case is the tokenizer's.
+_LATIN, _DOTTED = "\u0180", "\u0130"
+#: Those letters beyond ASCII as this kind of vocabulary spells their bytes.
+_SPELT = {c: "".join(n for b in chr(c).encode() for n, x in byte_names().items() if x == b) for c in range(128, ord(_LATIN)) if chr(c).isalpha()}
 #: White space to Python, but not to the tokenizer.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -52,9 +57,10 @@ class WordEncoder:
     """Ids of whole texts by the tokenizer library, each distinct word encoded once.
 
     White space separates tokens in this vocabulary, so that a text's ids are those of
-    its words. Words of letters are encoded in one call and cut behind the tokens that
-    end a word, those of ASCII letters in lower case, so that nothing is left to
-    normalise or to split; other words are told apart by a special token between them.
+    its words. Words of Latin letters are encoded in one call and cut behind the tokens
+    that end a word, in lower case and spelt in the vocabulary's names of bytes, so that
+    nothing is left to normalise or to split; other words are told apart by a special
+    token between them.
     Texts with a special token's string, or with separators on whose kind Python and
     the tokenizer differ, are encoded whole.
     """
@@ -90,9 +96,9 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Remembers the ids of ``words``."""
-        plain = [w for w in words if w.isascii() and w.isalpha()]
+        plain = [w for w in words if w.isalpha() and (w.isascii() or (max(w) < _LATIN and _DOTTED not in w))]
         if plain:
-            ids = self._ids("\n".join(plain).lower(), self.letters)
+            ids = self._ids("\n".join(plain).lower().translate(_SPELT), self.letters)
             self._learn(plain, ids, np.flatnonzero(self.ends[ids])[:-1] + 1, 0)
         others = list(words.difference(plain))
         if others:

@@ -36,7 +36,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_names() -> dict[str, int]:
+def byte_names() -> dict[str, int]:
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
@@ -61,7 +61,7 @@ class Encoder(dict):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        names = _byte_names()
+        names = byte_names()
         ranks = {bytes(names[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         words = tiktoken.Encoding("words", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.plain, self.piece = words.encode_ordinary, words._core_bpe.encode_single_piece

@@ -80,6 +80,20 @@ def test_ids_of_all_documents_of_the_smallest_table(spark):
     assert got == {d: [*e.ids, 2] for d, e in zip(texts, whole.encode_batch(list(texts.values()), add_special_tokens=False), strict=True)}
 
 
+def test_latin_words_are_encoded_in_one_call():
+    encoder = idfiles.WordEncoder(idfiles.tokenizer_path())
+    letters = [chr(c) for c in range(0x180) if chr(c).isalpha() and chr(c) != "\u0130"]
+    rng = random.Random(7)
+    words = {*letters, *("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(3000))}
+    want = {w: encoder._ids(w).tobytes() for w in words}
+    whole, encoder.whole = encoder.whole, None  # what it would have to encode raises
+    encoder.learn(words)
+    assert encoder.known == want
+    encoder.whole = whole
+    encoder.learn({"\u0130x", "\u03a3", "e\u0301"})
+    assert all(encoder.known[w] == encoder._ids(w).tobytes() for w in encoder.known.keys() - want.keys())
+
+
 def test_files_give_back_every_document(spark, tmp_path):
     rows = [(7, None), (3, "b c"), (3, "b c"), (3, "other"), (None, "x y"), (-4, ""), (9, "long " * 90_000)] + [(20 + i, TEXTS[i % len(TEXTS)]) for i in range(300)] + [(5, "again")] * 200
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, ids int").repartition(5)
