@@ -205,6 +205,29 @@ def test_vectors_sent_to_the_tasks_are_neither_shuffled_nor_stored(spark, monkey
     assert len(joins) == 1 and not any("Exchange" in line for line in plan[: joins[0]])
 
 
+@pytest.mark.parametrize("max_numbers", [8, 10**6])
+def test_no_vector_is_shuffled_or_stored_by_semantic_matching(spark, max_numbers, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK_TYPES", 2)
+    stored, cut = [], match.cut_lineage
+    monkeypatch.setattr(match, "cut_lineage", lambda df: stored.append(df) or cut(df))
+    words = spark.createDataFrame([("a", 1), ("b", 2), ("c", 1), ("d", 2), ("z", 3), ("e", 4)], "word string, vec_id bigint")
+    vectors = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 2.0]), (3, [0.0, 0.0]), (4, [5.0, -1.0])], "vec_id bigint, vec array<float>")
+    labels = ["a b", "b c", "c", "a", "d", "z", "z a", "e", "b"]
+    ontology = spark.createDataFrame([(o, i, x) for o in "xy" for i, x in enumerate(labels)], "ontology string, type_pos bigint, cleaned_label string")
+    columns = spark.createDataFrame([(1, 0, "a"), (1, 1, "d c"), (2, 0, "e"), (2, 1, "z"), (3, 0, "b b")], "file_id int, col_idx int, header string")
+    known = match._known
+    monkeypatch.setattr(match, "_known", lambda w, d, v, m: known(w, d, v, 10**6))  # vectors fit, types may not
+    types = match.embed_types(ontology, words, 2, vectors, firsts=True)
+    assert sorted((r.ontology, r.type_pos) for r in types.collect()) == [(o, i) for o in "xy" for i in (0, 2, 4, 6, 7)]
+    found = match.match_semantic(columns, ontology, types, words, 2, 0.5, vectors=vectors, max_numbers=max_numbers)
+    assert all(name != "vec" or kind != "binary" for df in stored for name, kind in df.dtypes)
+    got = sorted((r.file_id, r.col_idx, r.ontology, r.type_pos) for r in found.collect())
+    assert got == [(f, c, o, t) for f, c, t in ((1, 0, 2), (1, 1, 0), (2, 0, 7), (3, 0, 4)) for o in "xy"]
+    for df in [*stored, found]:
+        for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+            assert "Exchange hashpartitioning" not in line or "vec#" not in line
+
+
 def test_first_column_wins_exact_match(spark):
     columns = spark.createDataFrame([(1, 0, "First-name"), (1, 1, "firstName"), (2, 0, "x")], "file_id int, col_idx int, header string")
     types = spark.createDataFrame([("schema", 5, "first name")], "ontology string, type_pos bigint, cleaned_label string")
