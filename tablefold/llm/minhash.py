@@ -127,6 +127,21 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("id", "registers").mapInArrow(keyed, f"key bigint, id {dict(reps.dtypes)['id']}")
 
 
+def _centred(bands: DataFrame) -> DataFrame:
+    """``key, a, b``: the members ``b`` of each bucket of more than one, and the member ``a`` all are compared with.
+
+    That is the member whose buckets hold most texts in all, of equal ones the
+    smallest identifier: among copies with changes of their own, the one closest
+    to what they have in common, so that few members are left unlike it.
+    """
+    sizes = bands.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    members = stored(bands.join(sizes, "key"))
+    crowd = members.groupBy("id").agg(F.sum("m").alias("crowd"))
+    order = F.struct(-F.col("crowd"), F.col("id"))
+    centres = members.select("key", "id").join(crowd, "id").groupBy("key").agg(F.min(order)["id"].alias("a"))
+    return members.join(centres, "key").select("key", "a", F.col("id").alias("b"))
+
+
 def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """``a, b, similarity`` of the pairs whose set sizes allow the threshold and whose estimate comes near it."""
     left = reps.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
@@ -278,9 +293,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     smallest = linked.select("set_key", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "registers").join(groups, ["set_key", "id"], "left_semi")
     reps = stored(smallest.select("id", "n", "registers").dropDuplicates(["id"]))
 
-    bands = _bands(reps)
-    crowded = bands.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("m")).filter("m > 1").select("key", "a")
-    rows = stored(bands.join(crowded, "key").withColumnRenamed("id", "b"))
+    rows = stored(_centred(_bands(reps)))
     tried = stored(_likely(rows.filter("a <> b").select("a", "b").distinct(), reps, threshold))
     sets = stored(_sets(docs, _ends(tried), id_col, text_col, width))
     best = tried.groupBy("b").agg(F.max_by("a", F.struct("similarity", "a")).alias("a")).select("a", "b")

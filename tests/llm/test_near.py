@@ -105,3 +105,19 @@ def test_components_of_paths_and_stars(spark):
     df = spark.createDataFrame(links, "a bigint, b bigint")
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {300: 300, 301: 300}
+
+
+def test_members_of_a_bucket_meet_the_one_in_the_most_crowded_buckets(spark):
+    bands = spark.createDataFrame([(1, 1), (1, 5), (2, 5), (2, 7), (2, 8), (3, 7), (3, 5), (4, 9), (6, 3), (6, 2)], "key bigint, id bigint")
+    got = sorted(map(tuple, minhash._centred(bands).select("key", "a", "b").collect()))
+    assert got == [(1, 5, 1), (1, 5, 5), (2, 5, 5), (2, 5, 7), (2, 5, 8), (3, 5, 5), (3, 5, 7), (6, 2, 2), (6, 2, 3)]
+
+
+def test_copies_with_changes_of_their_own_are_compared_with_what_they_have_in_common(spark, monkeypatch):
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(w if i not in (at, 119 - at) else f"x{at}" for i, w in enumerate(base)) for at in range(5, 60, 5)] + [" ".join(base)]
+    met, real = [], minhash._sharing_prefix
+    monkeypatch.setattr(minhash, "_sharing_prefix", lambda s, labels, t: met.append(labels.count()) or real(s, labels, t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 0.84).collect()}
+    assert got == dict.fromkeys(range(len(texts)), 0) and met == [0]
