@@ -15,12 +15,13 @@ document longer than a block makes a longer one.
 
 from __future__ import annotations
 
-import json
+import codecs
 import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,8 @@ KNOWN_WORDS = 400_000
 _TAIL = ".,;:!?&%$*#"
 #: Words of letters below the first and without the second are in normal form C, and Python's lower case is the tokenizer's.
 _LATIN, _DOTTED = "\u0180", "\u0130"
-#: Those letters beyond ASCII as this kind of vocabulary spells their bytes.
-_SPELT = {c: "".join(n for b in chr(c).encode() for n, x in byte_names().items() if x == b) for c in range(128, ord(_LATIN)) if chr(c).isalpha()}
-#: White space to Python, but not to the tokenizer.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Every byte as this kind of vocabulary spells it, but ASCII as it is, with the white space between words.
+_SPELT = "".join(chr(b) if b < 128 else n for n, b in sorted(byte_names().items(), key=lambda x: x[1]))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -57,31 +56,31 @@ class WordEncoder:
     """Ids of whole texts by the tokenizer library, each distinct word encoded once.
 
     White space separates tokens in this vocabulary, so that a text's ids are those of
-    its words. Words of Latin letters are encoded in one call and cut behind the tokens
-    that end a word, in lower case and spelt in the vocabulary's names of bytes, so that
-    nothing is left to normalise or to split; other words are told apart by a special
-    token between them.
-    Texts with a special token's string, or with separators on whose kind Python and
-    the tokenizer differ, are encoded whole.
+    what lies between its ASCII white space; Arrow splits a column of texts there, and
+    only different words become Python strings. Words of Latin letters are encoded in
+    one call and cut behind the tokens that end a word, in lower case and spelt in the
+    vocabulary's names of bytes, so that nothing is left to normalise or to split; other
+    words, among them those with further kinds of white space, are told apart by a
+    special token between them. Words with a special token's string come one by one.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
         self.whole = Tokenizer.from_file(path)
-        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.pre_tokenizer = WhitespaceSplit()
+        self.special = [t.content for _, t in sorted(self.whole.get_added_tokens_decoder().items())]
         self.mark = self.special[-1]
         self.mark_id = self.whole.token_to_id(self.mark)
         vocabulary = self.whole.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        if hasattr(self.letters.model, "_resize_cache"):
-            self.letters.model._resize_cache(0)  # words come once only
+        if hasattr(self.whole.model, "_resize_cache"):
+            self.whole.model._resize_cache(0)  # words come once only
         self.known: dict[str, bytes] = {}
 
     def _ids(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
@@ -94,34 +93,55 @@ class WordEncoder:
         for word, a, z in zip(words, [0, *(width * (cuts + gap)).tolist()], [*(width * cuts).tolist(), len(data)], strict=True):
             self.known[word] = data[a:z]
 
-    def learn(self, words: set[str]) -> None:
-        """Remembers the ids of ``words``."""
-        plain = [w for w in words if w.isalpha() and (w.isascii() or (max(w) < _LATIN and _DOTTED not in w))]
+    def learn(self, words: Iterable[str]) -> None:
+        """Remembers the ids of ``words``, which are different."""
+        plain, others = [], []
+        for w in words:
+            if w.isalpha() and (w.isascii() or (max(w) < _LATIN and _DOTTED not in w)):
+                plain.append(w)
+            elif any(s in w for s in self.special):
+                self.known[w] = self._ids(w).tobytes()
+            else:
+                others.append(w)
         if plain:
-            ids = self._ids("\n".join(plain).lower().translate(_SPELT), self.letters)
+            ids = self._ids(codecs.charmap_decode("\n".join(plain).lower().encode(), "strict", _SPELT)[0], self.letters)
             self._learn(plain, ids, np.flatnonzero(self.ends[ids])[:-1] + 1, 0)
-        others = list(words.difference(plain))
         if others:
             ids = self._ids(self.mark.join(others))
             self._learn(others, ids, np.flatnonzero(ids == self.mark_id), 1)
 
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """Ids of each of a column of different words; signs behind a letter are looked up by themselves."""
+        stems = pc.utf8_rtrim(words, _TAIL)
+        cut = pc.and_(pc.not_equal(stems, words), pc.utf8_is_alpha(pc.utf8_slice_codeunits(stems, -1)))
+        pairs = zip(*(x.filter(cut).to_numpy(zero_copy_only=False).tolist() for x in (words, stems)), strict=True)
+        tails = pa.array(["", *(w[len(c) :] for w, c in pairs)], words.type)
+        parts = pa.concat_arrays([pc.if_else(cut, stems, words), tails]).dictionary_encode()
+        distinct, known = parts.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        found = list(map(known.get, distinct))
+        self.learn([w for w, x in zip(distinct, found, strict=True) if x is None])
+        ids = pa.array([known[w] if x is None else x for w, x in zip(distinct, found, strict=True)], pa.binary())
+        stem, tail = np.split(parts.indices.to_numpy(), [len(words)])
+        behind = np.full(len(words), tail[0])
+        behind[cut.to_numpy(zero_copy_only=False)] = tail[1:]
+        return pc.binary_join_element_wise(ids.take(pa.array(stem)), ids.take(pa.array(behind)), b"")
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_column(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Ids of each text of an Arrow column with ``end`` behind them, as a column of bytes; a null text is empty."""
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
-        odd = (*_SEPARATORS, *self.special)
-        by_words = [not any(s in t for s in odd) for t in texts]
-        split = [t.split() if words else () for t, words in zip(texts, by_words, strict=True)]
-        known = self.known
-        found = [list(map(known.get, s)) for s in split]
-        new = {w for s, f in zip(split, found, strict=True) for w, x in zip(s, f, strict=True) if x is None}
-        bare = {w: c for w in new if (c := w.rstrip(_TAIL)) and len(c) < len(w) and c[-1].isalpha()}
-        self.learn(new.difference(bare).union(bare.values(), {w[len(c) :] for w, c in bare.items()}).difference(known))
-        for w, c in bare.items():
-            known[w] = known[c] + known[w[len(c) :]]
-        return [
-            b"".join([known[w] if x is None else x for w, x in zip(s, f, strict=True)]) if words else self._ids(t).tobytes()
-            for t, s, f, words in zip(texts, split, found, by_words, strict=True)
-        ]
+        by_words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = by_words.flatten().dictionary_encode()
+        past = np.cumsum(pc.list_value_length(by_words).to_numpy(), dtype=np.int64)
+        ids = pa.concat_arrays([self._ids_of(words.dictionary), pa.array([end], pa.binary())])
+        places = np.insert(words.indices.to_numpy(), past, len(words.dictionary))  # the end of every text
+        size = np.cumsum(pc.binary_length(ids).to_numpy()[places], dtype=np.int64)
+        ends = pa.array(np.concatenate(([0], size[past + np.arange(len(past))])), pa.int32())
+        data = ids.take(pa.array(places)).buffers()[2]
+        return pa.Array.from_buffers(pa.binary(), len(past), [None, ends.buffers()[1], data or pa.py_buffer(b"")])
 
 
 def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, path: str | None = None) -> DataFrame:
@@ -135,8 +155,7 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", e
         encoder = WordEncoder(path)
         end = np.array([end_id], encoder.kind).tobytes()
         for part in pieces_of(batches, "text", BATCH_CHARS):
-            found = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-            yield pa.record_batch([part.column(0), pa.array([x + end for x in found], pa.binary())], ["doc_id", "ids"])
+            yield pa.record_batch([part.column(0), encoder.encode_column(part.column(1), end)], ["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(encoded, f"doc_id {dict(docs.dtypes)[id_col]}, ids binary")

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablefold.llm import huffman, idfiles
@@ -94,6 +95,33 @@ def test_latin_words_are_encoded_in_one_call():
     assert all(encoder.known[w] == encoder._ids(w).tobytes() for w in encoder.known.keys() - want.keys())
 
 
+def test_only_different_words_are_looked_up_and_encoded():
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *args):
+            self.looked_up += 1
+            return super().get(*args)
+
+    encoder = idfiles.WordEncoder(idfiles.tokenizer_path())
+    texts = ["Alpha beta, gamma " * 500, "beta. x<|endoftext|>y " * 300, "\x1cdelta " * 200]
+    want = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sent = encoder._ids, []
+    encoder.known, encoder._ids = Counted(), lambda text, *args: sent.append(text) or ids(text, *args)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == want
+    assert encoder.known.looked_up < 20 and sum(map(len, sent)) < 200
+
+
+def test_columns_of_texts_with_nulls():
+    encoder = idfiles.WordEncoder(idfiles.tokenizer_path())
+    column = pa.array(["left out", None, *TEXTS, None, "left out"]).slice(1, len(TEXTS) + 2)
+    got = encoder.encode_column(column, b"\2\0")
+    got.validate(full=True)
+    want = [[*encoder.whole.encode(t or "", add_special_tokens=False).ids, 2] for t in column.to_pylist()]
+    assert [np.frombuffer(x, "<u2").tolist() for x in got.to_pylist()] == want
+    assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", b""]
+
+
 def test_files_give_back_every_document(spark, tmp_path):
     rows = [(7, None), (3, "b c"), (3, "b c"), (3, "other"), (None, "x y"), (-4, ""), (9, "long " * 90_000)] + [(20 + i, TEXTS[i % len(TEXTS)]) for i in range(300)] + [(5, "again")] * 200
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, ids int").repartition(5)
