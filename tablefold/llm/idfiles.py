@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import os
 from collections.abc import Iterable, Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ BLOCK_IDS = 262_144
 BATCH_CHARS = 4_000_000
 KNOWN_WORDS = 400_000
 
-#: Signs that never join a letter before them in one token.
+#: Signs that never join a letter before them in one token, unless its normal form or lower case ends in a mark.
 _TAIL = ".,;:!?&%$*#"
 #: Words of letters below the first and without the second are in normal form C, and Python's lower case is the tokenizer's.
 _LATIN, _DOTTED = "\u0180", "\u0130"
@@ -113,7 +114,9 @@ class WordEncoder:
     def _ids_of(self, words: pa.Array) -> pa.Array:
         """Ids of each of a column of different words; signs behind a letter are looked up by themselves."""
         stems = pc.utf8_rtrim(words, _TAIL)
-        cut = pc.and_(pc.not_equal(stems, words), pc.utf8_is_alpha(pc.utf8_slice_codeunits(stems, -1)))
+        last = pc.utf8_slice_codeunits(stems, -1)
+        letters = [c for c in last.unique().to_pylist() if normalize("NFC", c).lower()[-1:].isalpha()]  # some become a letter and a mark
+        cut = pc.and_(pc.not_equal(stems, words), pc.is_in(last, pa.array(letters, words.type)))
         pairs = zip(*(x.filter(cut).to_numpy(zero_copy_only=False).tolist() for x in (words, stems)), strict=True)
         tails = pa.array(["", *(w[len(c) :] for w, c in pairs)], words.type)
         parts = pa.concat_arrays([pc.if_else(cut, stems, words), tails]).dictionary_encode()

@@ -122,6 +122,12 @@ def test_columns_of_texts_with_nulls():
     assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", b""]
 
 
+def test_signs_join_the_mark_that_a_letter_becomes():
+    encoder = idfiles.WordEncoder(idfiles.tokenizer_path())
+    texts = [f"a{c}! {c}. {c}b?" for c in ("\u0130", "\u0958", "\u09dc", "\ufb2a", "\u00e9", "\u0416", "\u65e5", "e\u0301")]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_files_give_back_every_document(spark, tmp_path):
     rows = [(7, None), (3, "b c"), (3, "b c"), (3, "other"), (None, "x y"), (-4, ""), (9, "long " * 90_000)] + [(20 + i, TEXTS[i % len(TEXTS)]) for i in range(300)] + [(5, "again")] * 200
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, ids int").repartition(5)
