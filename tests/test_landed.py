@@ -1,5 +1,7 @@
 """Content of unlicensed repositories stays unread; places of URLs in a topic."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,13 @@ def test_names_are_numbered_apart(spark):
     cases = [[], ["a"], ["a", "b"], ["a", "a", "a"], ["id", "id", "id.1"], ["a", "a.1", "a"], ["x", "x", "x.1", "x", "x.1", "x.1.1", "x"], ["a.1", "a", "a", "a.1", "b", "b"], ["w"] * 40]
     got = spark.createDataFrame([(c,) for c in cases], "f array<string>").select(name_columns(F.col("f")).alias("n"), numbered(F.col("f")).alias("m")).collect()
     assert [r.n for r in got] == [by_hand(c) for c in cases] == [r.m for r in got]
+
+
+def test_repeats_of_a_wide_header_are_counted_without_comparing_all_pairs(spark):
+    """Comparing each name with all earlier ones took 10 seconds for 40,000 names and four times as long for twice as many."""
+    cases = [[f"w{i % 7}" for i in range(70_000)], ["a", None, "a", None, "", ""]]
+    frame = spark.createDataFrame([(c,) for c in cases], "f array<string>")
+    began = time.time()
+    got = [r.n for r in frame.select(name_columns(F.col("f")).alias("n")).collect()]
+    assert time.time() - began < 15
+    assert got[0] == by_hand(cases[0]) and got[1] == ["a", None, "a.1", None, "Unnamed: 4", "Unnamed: 5"]
