@@ -228,6 +228,57 @@ def test_no_vector_is_shuffled_or_stored_by_semantic_matching(spark, max_numbers
             assert "Exchange hashpartitioning" not in line or "vec#" not in line
 
 
+def test_types_far_from_each_other_are_met_in_one_block():
+    rng = np.random.default_rng(9)
+    types, heads = rng.normal(size=(3000, 64)), rng.normal(size=(500, 64))
+    types, heads = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (types, heads))
+    types[5], types[2900], heads[7] = 0.0, types[1], types[1]
+    positions = np.arange(len(types)) * 2
+    index = match.index_types(positions, types)
+    assert len(index[2]) == 1
+    every = np.round(heads @ types.T, match.DECIMALS)
+    for threshold in (0.3, -0.5):
+        kept, found, score, _ = match.best_in_index(heads, index, threshold)
+        assert kept.tolist() == np.nonzero(every.max(axis=1) > threshold)[0].tolist()
+        assert (found == positions[every.argmax(axis=1)][kept]).all() and np.allclose(score, every.max(axis=1)[kept], atol=1e-11)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("max_numbers", [1, 70, 120])
+def test_many_vectors_go_to_the_tasks_by_dimensions_and_are_not_shuffled(spark, kind, max_numbers, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK_TEXTS", 7)
+    monkeypatch.setattr(match, "BLOCK_WORDS", 5)
+    rng = np.random.default_rng(10)
+    numbers = [[float(np.float32(x)) for x in rng.normal(size=5)] for _ in range(30)]
+    numbers[4] = [0.0] * 5
+    vectors = spark.createDataFrame([(i * 10, x) for i, x in enumerate(numbers)] + [(70, numbers[3]), (None, numbers[0])], f"vec_id bigint, vec array<{kind}>").repartition(4)
+    ids = {f"w{i}": i % 32 * 10 for i in range(60)}  # two of the identifiers have no vector, one has two
+    words = spark.createDataFrame([*ids.items(), ("n", None)], "word string, vec_id bigint")
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 64, size=rng.integers(1, 9))) for _ in range(60)] + ["w4", "n", "", "w3 w3 w35"]
+    found = match.embed_text(spark.createDataFrame([(x,) for x in [*texts, None, texts[0]]], "text string"), words, 5, vectors=vectors, max_numbers=max_numbers)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[: plan.index("MapInArrow")]  # nothing moves once there are vectors
+    want = {}
+    for text_ in texts:
+        given = [numbers[n] for w in text_.split() if w in ids for n in ([7, 3] if ids[w] == 70 else [ids[w] // 10]) if n < 30 and n != 4]
+        if given:
+            want[text_] = np.mean([np.asarray(v) / np.linalg.norm(v) for v in given], axis=0)
+    got = {r.text: r.vec for r in found.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-12) for k in want)
+
+
+def test_types_of_many_vectors_are_embedded_alike(spark):
+    words = spark.createDataFrame([("a", 1), ("b", 2), ("c", 1), ("d", 2), ("z", 3), ("e", 4)], "word string, vec_id bigint")
+    vectors = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 2.0]), (3, [0.0, 0.0]), (4, [5.0, -1.0])], "vec_id bigint, vec array<float>")
+    labels = ["a b", "b c", "c", "a", "d", "z", "z a", "e", "b"]
+    ontology = spark.createDataFrame([(o, i, x) for o in "xy" for i, x in enumerate(labels)], "ontology string, type_pos bigint, cleaned_label string")
+    types = match.embed_types(ontology, words, 2, vectors, firsts=True, max_numbers=1)
+    plan = types._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[: plan.index("MapInArrow")]
+    got = {(r.ontology, r.type_pos): [round(x, 6) for x in r.vec] for r in types.collect()}
+    assert got == {(o, i): x for o in "xy" for i, x in ((0, [0.3, 0.9]), (2, [0.6, 0.8]), (4, [0.0, 1.0]), (7, [round(5 / 26**0.5, 6), round(-1 / 26**0.5, 6)]))}
+
+
 def test_first_column_wins_exact_match(spark):
     columns = spark.createDataFrame([(1, 0, "First-name"), (1, 1, "firstName"), (2, 0, "x")], "file_id int, col_idx int, header string")
     types = spark.createDataFrame([("schema", 5, "first name")], "ontology string, type_pos bigint, cleaned_label string")
